@@ -306,7 +306,8 @@ def fk_suite(tables: dict[str, DataFrame], edges: list[ForeignKey], stage: str)
                 some, [(edge.child, edge.parent, ",".join(edge.columns), None, 0, 0.0,
                         "skipped_missing_table")], FK_DDL))
         else:
-            parts.append(fk_check(child, parent, edge.child, edge.parent, list(edge.columns)))
+            parts.append(fk_check(
+                child, parent, edge.child, edge.parent, list(edge.columns), list(edge.parent_columns)))
     return union_reports(parts).withColumn("stage", F.lit(stage))
 
 

@@ -27,6 +27,7 @@ class ForeignKey:
     child: str
     parent: str
     columns: tuple[str, ...]
+    parent_columns: tuple[str, ...] = ()  # same names as in the child when empty
 
 
 @dataclass(frozen=True)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from workload import mart
+from workload import audits, cleaning, mart
 
-MODULES = (mart,)
+MODULES = (mart, cleaning, audits)
 
 QUERIES: dict = {}
 ORACLES: dict = {}
