@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from workload import audits, cleaning, mart
+from workload import audits, cleaning, manifests, mart
 
-MODULES = (mart, cleaning, audits)
+MODULES = (mart, cleaning, audits, manifests)
 
 QUERIES: dict = {}
 ORACLES: dict = {}
