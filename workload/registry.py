@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from workload import audits, cleaning, manifests, mart
+from workload import audits, cleaning, evaluation, manifests, mart
 
-MODULES = (mart, cleaning, audits, manifests)
+MODULES = (mart, cleaning, audits, manifests, evaluation)
 
 QUERIES: dict = {}
 ORACLES: dict = {}
