@@ -100,23 +100,44 @@ def as_text(value: Column, dtype: T.DataType) -> Column:
 
 
 def long_form(df: DataFrame, names: Sequence[str], value: str, double: bool = False) -> DataFrame:
-    """One row per (row, listed column): ``column_name`` and the value as text or double."""
+    """One row per (row, listed column): the column's place in ``names`` and its value.
+
+    Values are doubles or canonical text. Unpivoting expands rows inside generated code, and the
+    place is an int because it is part of every shuffled key; ``name_at`` turns it into the name.
+    """
+    places = [str(i) for i in range(len(names))]
     cells = []
-    for name in names:
-        dtype = dtype_of(df, name)
-        cell = quoted(name).try_cast("double") if double else as_text(quoted(name), dtype)
-        cells.append(F.struct(F.lit(name).alias("column_name"), cell.alias(value)))
-    return df.select(F.inline(F.array(*cells)))
+    for place, name in zip(places, names):
+        cell = quoted(name).try_cast("double") if double else as_text(quoted(name), dtype_of(df, name))
+        cells.append(cell.alias(place))
+    return df.select(*cells).unpivot([], places, "_place", value).select(
+        F.col("_place").cast("int").alias("column_no"), value
+    )
+
+
+def name_at(names: Sequence[str], place: str = "column_no") -> Column:
+    return F.element_at(F.array(*[F.lit(n) for n in names]), F.col(place) + 1)
+
+
+def _literal(value: object) -> str:
+    if value is None:
+        return "null"
+    if isinstance(value, bool):
+        return str(value).lower()
+    if isinstance(value, float):
+        return f"{value!r}D"
+    if isinstance(value, int):
+        return str(value)
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def rows_frame(df_or_spark, rows: list[tuple], ddl: str) -> DataFrame:
-    """A small literal frame that stays a LocalRelation (no Python worker, no RDD)."""
+    """A small literal frame. Inline values plan as a local relation, without Python workers."""
     spark = df_or_spark.sparkSession if isinstance(df_or_spark, DataFrame) else df_or_spark
-    schema = T.StructType.fromDDL(ddl) if hasattr(T.StructType, "fromDDL") else T._parse_datatype_string(ddl)
     if not rows:
-        return spark.createDataFrame([], schema)
-    structs = []
-    for row in rows:
-        cells = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)]
-        structs.append(F.struct(*cells))
-    return spark.range(1).select(F.inline(F.array(*structs)))
+        return spark.createDataFrame([], ddl)
+    fields = [part.strip().split(" ", 1) for part in ddl.split(",")]
+    values = ", ".join("(" + ", ".join(_literal(v) for v in row) + ")" for row in rows)
+    names = ", ".join(f"c{i}" for i in range(len(fields)))
+    cast = ", ".join(f"cast(c{i} as {t}) as `{n}`" for i, (n, t) in enumerate(fields))
+    return spark.sql(f"select {cast} from values {values} as t({names})")

@@ -7,9 +7,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeaudit.functions.columns import dtype_of, groupable, long_form, pct, present, quoted, rows_frame
+from lakeaudit.functions.columns import (
+    dtype_of, groupable, long_form, name_at, pct, present, quoted, rows_frame,
+)
 from lakeaudit.functions.ordered import lagged
-from lakeaudit.functions.quantiles import quantiles_from_counts, value_counts
+from lakeaudit.functions.quantiles import placed_counts, quantile_columns
 from lakeaudit.functions.skew import by_group_size
 from lakeaudit.spec import ForeignKey
 
@@ -88,31 +90,34 @@ def iqr_outliers(
             df, [], "table_name string, column_name string, method string, lower_bound double, "
             "upper_bound double, outlier_count bigint, outlier_pct double, min_value double, "
             "max_value double")
-    cells = long_form(df.select(*[quoted(n) for n in names]), names, "cell", double=True)
-    counts = cells.groupBy("column_name", "cell").agg(F.count(F.lit(1)).alias("_n"))
-    filled = counts.where("cell is not null")
-    quartiles = {"_q1": 0.25, "_q3": 0.75}
+    cells = long_form(df, names, "cell", double=True)
+    cell, key = F.col("cell"), "column_no"
+    counts = cells.groupBy(key, "cell").agg(F.count(F.lit(1)).alias("_n"))
     if approx:
-        bounds = cells.groupBy("column_name").agg(
-            F.percentile_approx("cell", F.array(F.lit(0.25), F.lit(0.75)), 10000).alias("_q")
-        ).select("column_name", F.col("_q")[0].alias("_q1"), F.col("_q")[1].alias("_q3"))
+        quarter = F.percentile_approx(cell, F.array(F.lit(0.25), F.lit(0.75)), 10000)
+        bounds = cells.groupBy(key).agg(quarter.alias("_q")).select(
+            key, F.col("_q")[0].alias("_q1"), F.col("_q")[1].alias("_q3"))
+        values = counts
     else:
-        bounds = quantiles_from_counts(filled, ["column_name"], "cell", quartiles)
+        # nulls are one row per column; giving them no weight keeps them out of the ranks
+        weight = F.when(cell.isNotNull(), F.col("_n")).otherwise(0)
+        values = placed_counts(counts.withColumns({"_rows": F.col("_n"), "_n": weight}), [key], "cell")
+        picks, results = quantile_columns("cell", {"_q1": 0.25, "_q3": 0.75})
+        bounds = values.groupBy(key).agg(F.max("_n_total").alias("_size"), *picks).select(key, *results)
     spread = (F.col("_q3") - F.col("_q1")) * F.lit(multiplier)
-    bounds = bounds.select(
-        "column_name", (F.col("_q1") - spread).alias("_low"), (F.col("_q3") + spread).alias("_high")
-    )
+    bounds = bounds.select(key, (F.col("_q1") - spread).alias("_low"), (F.col("_q3") + spread).alias("_high"))
     # one row per audited column
-    judged = counts.join(F.broadcast(bounds), "column_name")
-    outside = (F.col("cell") < F.col("_low")) | (F.col("cell") > F.col("_high"))
-    return judged.groupBy("column_name").agg(
-        F.max("_low").alias("_low"), F.max("_high").alias("_high"), F.sum("_n").alias("_rows"),
-        F.coalesce(F.sum(F.when(outside, F.col("_n"))), F.lit(0)).alias("outlier_count"),
+    judged = values.join(F.broadcast(bounds.where("_low is not null")), key)
+    rows = F.col("_n") if approx else F.col("_rows")
+    outside = (cell < F.col("_low")) | (cell > F.col("_high"))
+    return judged.groupBy(key).agg(
+        F.max("_low").alias("_low"), F.max("_high").alias("_high"), F.sum(rows).alias("_total"),
+        F.coalesce(F.sum(F.when(outside, rows)), F.lit(0)).alias("outlier_count"),
         F.min("cell").alias("_min"), F.max("cell").alias("_max"),
     ).select(
-        F.lit(table).alias("table_name"), "column_name", F.lit("iqr").alias("method"),
+        F.lit(table).alias("table_name"), name_at(names).alias("column_name"), F.lit("iqr").alias("method"),
         F.round("_low", 6).alias("lower_bound"), F.round("_high", 6).alias("upper_bound"),
-        "outlier_count", pct(F.col("outlier_count"), F.col("_rows")).alias("outlier_pct"),
+        "outlier_count", pct(F.col("outlier_count"), F.col("_total")).alias("outlier_pct"),
         F.round("_min", 6).alias("min_value"), F.round("_max", 6).alias("max_value"),
     )
 

@@ -13,6 +13,7 @@ from lakeaudit.functions.columns import present, quoted
 from lakeaudit.functions.ordered import prefix_sums
 
 RUN = ["model_name", "split"]
+BASELINES = ("random_baseline", "heuristic_position", "majority_class")
 
 # Bins of the first observed position in the error analysis, upper bound inclusive.
 POSITION_BINS = ((0, 5, "1-5"), (5, 10, "6-10"), (10, 15, "11-15"), (15, 20, "16-20"), (20, 100, "21+"))
@@ -20,10 +21,20 @@ POSITION_BINS = ((0, 5, "1-5"), (5, 10, "6-10"), (10, 15, "11-15"), (15, 20, "16
 
 # --- baselines --------------------------------------------------------------------------------
 
-def _predicted(df: DataFrame, model: str, pred: Column, score: Column) -> DataFrame:
-    return df.withColumns({
-        "model_name": F.lit(model), "y_pred": pred.cast("int"), "score": score.cast("double"),
-    })
+Prediction = tuple[Column, Column]
+
+
+def stack_predictions(df: DataFrame, models: dict[str, Prediction], keep: list[str] | None = None) -> DataFrame:
+    """Long predictions of several models given as (predicted class, score), in one pass."""
+    cells = [
+        F.struct(
+            F.lit(name).alias("model_name"), pred.cast("int").alias("y_pred"),
+            value.cast("double").alias("score"),
+        )
+        for name, (pred, value) in models.items()
+    ]
+    columns = [quoted(c) for c in (keep or df.columns)]
+    return df.select(*columns, F.inline(F.array(*cells)))
 
 
 def uniform_draw(parts: list[Column], seed: int) -> Column:
@@ -32,32 +43,38 @@ def uniform_draw(parts: list[Column], seed: int) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
-def random_baseline(df: DataFrame, keys: list[str], target: str = "y_true", seed: int = 42) -> DataFrame:
+def random_prediction(train: DataFrame, keys: list[str], target: str = "y_true", seed: int = 42) -> Prediction:
     """Positive with the training share of positives; draws differ between splits."""
-    train = df.where("split = 'train'")
     rate = train.agg(F.coalesce(F.avg(F.col(target).cast("double")), F.lit(0.0))).scalar()
     draw = uniform_draw([*[F.col(k) for k in keys], F.col("split")], seed)
-    return _predicted(df, "random_baseline", draw < rate, rate)
+    return draw < rate, rate
 
 
-def heuristic_baseline(
-    df: DataFrame, column: str = "first_observed_position", threshold: float = 10
-) -> DataFrame:
+def heuristic_prediction(column: str = "first_observed_position", threshold: float = 10) -> Prediction:
+    """Positive up to the threshold; a missing value counts as negative."""
     hit = F.coalesce(quoted(column) <= threshold, F.lit(False)).cast("int")
-    return _predicted(df, "heuristic_position", hit, hit)
+    return hit, hit
 
 
-def majority_baseline(df: DataFrame, target: str = "y_true") -> DataFrame:
+def majority_prediction(train: DataFrame, target: str = "y_true") -> Prediction:
     """The most frequent training class (the smaller one on a tie), scored by its share."""
     y = F.col(target)
-    train = df.where("split = 'train'")
     stats = train.agg(F.struct(
         F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")
     )).scalar()
     pos, neg = stats.getField("pos"), stats.getField("neg")
-    winner = F.when(pos > neg, 1).otherwise(0)
     share = F.try_divide(F.greatest(pos, neg).cast("double"), (pos + neg).cast("double"))
-    return _predicted(df, "majority_class", winner, share)
+    return F.when(pos > neg, 1).otherwise(0), share
+
+
+def baselines(df: DataFrame, keys: list[str], target: str = "y_true", seed: int = 42) -> dict[str, Prediction]:
+    """The three baselines, fitted on the rows whose split is train."""
+    train = df.where("split = 'train'")
+    return {
+        "random_baseline": random_prediction(train, keys, target, seed),
+        "heuristic_position": heuristic_prediction(),
+        "majority_class": majority_prediction(train, target),
+    }
 
 
 # --- metrics ----------------------------------------------------------------------------------
@@ -66,34 +83,43 @@ def _ratio(part: Column, whole: Column) -> Column:
     return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))
 
 
-def roc_auc(pred: DataFrame) -> DataFrame:
-    """Rank AUC with ties; null where only one class occurs.
-
-    Scores are counted first; each distinct score then needs the negatives below it, a running
-    total over range partitions, so no task sorts all scores.
-    """
-    y = F.col("y_true")
-    scored = pred.where("score is not null").groupBy(*RUN, "score").agg(
-        F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")
+def _cells_by_score(pred: DataFrame) -> DataFrame:
+    """Outcome counts per run and score: all that the metrics need, in one grouping."""
+    y, p = F.col("y_true"), F.col("y_pred")
+    return pred.groupBy(*RUN, "score").agg(
+        F.count_if((y == 1) & (p == 1)).alias("tp"), F.count_if((y == 0) & (p == 1)).alias("fp"),
+        F.count_if((y == 1) & (p == 0)).alias("fn"), F.count_if((y == 0) & (p == 0)).alias("tn"),
+        F.count_if((y == 1) & F.col("score").isNotNull()).alias("pos"),
+        F.count_if((y == 0) & F.col("score").isNotNull()).alias("neg"),
+        F.count(F.lit(1)).alias("n_rows"),
     )
-    placed = prefix_sums(scored, RUN, ["score"], ["pos", "neg"])
+
+
+def _auc_columns() -> Column:
+    """Rank AUC with ties: pairs won, half for equal scores, over all pairs."""
     wins = F.col("pos") * (F.col("neg_before") + F.col("neg") / F.lit(2.0))
     pairs = F.max("pos_total").cast("double") * F.max("neg_total").cast("double")
-    return placed.groupBy(*RUN).agg(F.try_divide(F.sum(wins), pairs).alias("roc_auc"))
+    return F.try_divide(F.sum(wins), pairs).alias("roc_auc")
+
+
+def _placed(pred: DataFrame) -> DataFrame:
+    # running totals over range partitions of (run, score): no task sorts all scores
+    return prefix_sums(_cells_by_score(pred), RUN, ["score"], ["pos", "neg"])
+
+
+def roc_auc(pred: DataFrame) -> DataFrame:
+    """Rank AUC per run; null where only one class occurs."""
+    return _placed(pred).groupBy(*RUN).agg(_auc_columns())
 
 
 def class_metrics(pred: DataFrame, with_auc: bool = True) -> DataFrame:
-    y, p = F.col("y_true"), F.col("y_pred")
-    cells = pred.groupBy(*RUN).agg(
-        F.count_if((y == 1) & (p == 1)).alias("tp"), F.count_if((y == 0) & (p == 1)).alias("fp"),
-        F.count_if((y == 1) & (p == 0)).alias("fn"), F.count_if((y == 0) & (p == 0)).alias("tn"),
-        F.count(F.lit(1)).alias("n_rows"),
+    """Accuracy, precision, recall, F1 (0 where undefined), AUC and class shares per run."""
+    by_score = _placed(pred) if with_auc else _cells_by_score(pred)
+    auc = _auc_columns() if with_auc else F.lit(None).cast("double").alias("roc_auc")
+    cells = by_score.groupBy(*RUN).agg(
+        *[F.sum(c).alias(c) for c in ("tp", "fp", "fn", "tn", "n_rows")], auc
     )
     tp, fp, fn, tn, n = (F.col(c) for c in ("tp", "fp", "fn", "tn", "n_rows"))
-    if with_auc:
-        cells = cells.join(roc_auc(pred), RUN, "left")
-    else:
-        cells = cells.withColumn("roc_auc", F.lit(None).cast("double"))
     return cells.select(
         *RUN, F.round(_ratio(tp + tn, n), 4).alias("accuracy"),
         F.round(_ratio(tp, tp + fp), 4).alias("precision"), F.round(_ratio(tp, tp + fn), 4).alias("recall"),

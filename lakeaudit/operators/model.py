@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeaudit.functions.columns import dtype_of, is_numeric, quoted, rows_frame
+from lakeaudit.functions.durable import durable
 
 WEIGHT = "class_weight"
 
@@ -111,7 +112,11 @@ def train_all(
     split: DataFrame, features: list[str], target: str, keep: list[str], seed: int = 42,
     only: list[str] | None = None, overrides: dict[str, object] | None = None,
 ) -> tuple[DataFrame, DataFrame, dict[str, PipelineModel]]:
-    """Fits each model on the training rows; scores of the other splits and importances."""
+    """Fits each model on the training rows; scores of the other splits and importances.
+
+    Fitting passes over the rows many times, so they are materialised once on shared storage.
+    """
+    split = durable(split)
     train, rest = split.where("split = 'train'"), split.where("split <> 'train'")
     specs = overrides or classifiers(target, seed)
     predictions = importances = None

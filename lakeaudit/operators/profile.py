@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeaudit.functions.columns import (
-    as_text, dtype_of, groupable, is_numeric, long_form, pct, quoted, rows_frame,
+    as_text, dtype_of, groupable, is_numeric, long_form, name_at, pct, quoted, rows_frame,
 )
-from lakeaudit.functions.quantiles import quantiles_from_counts, value_counts
+from lakeaudit.functions.quantiles import placed_counts, quantile_columns, value_counts
 
 # The percentiles of the numeric summary.
 SUMMARY_QUANTILES = {
@@ -47,12 +47,12 @@ def missingness(df: DataFrame, table: str, approx: bool = False) -> DataFrame:
         stats = df.agg(*aggs).select(F.inline(F.array(*cells)))
     else:
         cells = long_form(df, names, "cell")
-        values = cells.groupBy("column_name", "cell").agg(F.count(F.lit(1)).alias("_n"))
-        stats = values.groupBy("column_name").agg(
+        values = cells.groupBy("column_no", "cell").agg(F.count(F.lit(1)).alias("_n"))
+        stats = values.groupBy("column_no").agg(
             F.sum("_n").alias("_rows"),
             F.coalesce(F.sum(F.when(F.col("cell").isNotNull(), F.col("_n"))), F.lit(0)).alias("filled"),
             F.count("cell").alias("unique_count"),
-        )
+        ).withColumn("column_name", name_at(names))
     # the catalog side has one row per column of the schema
     catalog = F.broadcast(_column_catalog(df, names))
     joined = stats.join(catalog, "column_name", "right")
@@ -97,26 +97,34 @@ def numeric_summary(
             df, [], "table_name string, column_name string, count bigint, mean double, std double, "
             "min double, p01 double, p05 double, p25 double, median double, p75 double, "
             "p95 double, p99 double, max double")
-    cells = long_form(df.select(*[quoted(n) for n in names]), names, "cell", double=True)
-    cells = cells.where("cell is not null")
+    cells = long_form(df, names, "cell", double=True).where("cell is not null")
+    v = F.col("cell")
     if approx:
         probs = F.array(*[F.lit(p) for p in SUMMARY_QUANTILES.values()])
-        stats = cells.groupBy("column_name").agg(
-            F.count(F.lit(1)).alias("count"), F.avg("cell").alias("mean"),
-            F.stddev_samp("cell").alias("std"), F.min("cell").alias("min"), F.max("cell").alias("max"),
-            F.percentile_approx("cell", probs, 10000).alias("_q"),
+        stats = cells.groupBy("column_no").agg(
+            F.count(F.lit(1)).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
+            F.min(v).alias("min"), F.max(v).alias("max"),
+            F.percentile_approx(v, probs, 10000).alias("_q"),
         )
         for i, q in enumerate(SUMMARY_QUANTILES):
             stats = stats.withColumn(q, F.col("_q")[i])
     else:
-        counts = value_counts(cells, ["column_name"], "cell")
-        moments = cells.groupBy("column_name").agg(
-            F.count(F.lit(1)).alias("count"), F.avg("cell").alias("mean"),
-            F.stddev_samp("cell").alias("std"), F.min("cell").alias("min"), F.max("cell").alias("max"),
-        )
-        quants = quantiles_from_counts(counts, ["column_name"], "cell", SUMMARY_QUANTILES)
-        # both sides: one row per numeric column of the schema
-        stats = moments.join(F.broadcast(quants), "column_name")
+        # everything below works on the materialised distinct values, not on the table
+        placed = placed_counts(value_counts(cells, ["column_no"], "cell"), ["column_no"], "cell")
+        picks, results = quantile_columns("cell", SUMMARY_QUANTILES)
+        n = F.col("_n")
+        stats = placed.groupBy("column_no").agg(
+            F.sum(n).alias("count"), (F.sum(v * n) / F.sum(n)).alias("mean"), F.min(v).alias("min"),
+            F.max(v).alias("max"), *picks,
+        ).withColumn("_size", F.col("count"))
+        stats = stats.select("column_no", "count", "mean", "min", "max", *results)
+        # one row per numeric column of the schema
+        means = F.broadcast(stats.select("column_no", "mean"))
+        squares = placed.join(means, "column_no").groupBy("column_no").agg(
+            F.sum(n * (v - F.col("mean")) * (v - F.col("mean"))).alias("_squares"))
+        stats = stats.join(F.broadcast(squares), "column_no").withColumn(
+            "std", F.sqrt(F.try_divide(F.col("_squares"), F.col("count") - 1)))
+    stats = stats.withColumn("column_name", name_at(names))
     rounded = ["mean", "std", "min", *SUMMARY_QUANTILES, "max"]
     return stats.withColumn("std", F.coalesce("std", F.lit(0.0))).select(
         F.lit(table).alias("table_name"), "column_name", F.col("count"),

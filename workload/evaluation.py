@@ -6,6 +6,7 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomF
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from lakeaudit.functions.durable import durable
 from lakeaudit.operators import checks, evaluate, features as feat, govern, model, profile, report, split
 from lakeaudit.plans.race import CATALOG
 from workload import mart as mart_queries
@@ -40,13 +41,18 @@ def _predictions(spark, sf_dir):
     """The three baselines and a score with few ties: days since 1995 plus priority."""
     rows = _eval_rows(spark, sf_dir)
     days = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1995-01-01").cast("date"))
-    scored = evaluate._predicted(rows, "date_score", days > 1200, days + F.col("final_position") / 10.0)
-    return (
-        evaluate.random_baseline(rows, KEYS)
-        .unionByName(evaluate.heuristic_baseline(rows))
-        .unionByName(evaluate.majority_baseline(rows))
-        .unionByName(scored)
-    )
+    models = evaluate.baselines(_split_orders(spark, sf_dir), KEYS, "points_finish")
+    models["date_score"] = (days > 1200, days + F.col("final_position") / 10.0)
+    return evaluate.stack_predictions(rows, models)
+
+
+def _baseline(name):
+    def run(spark, sf_dir):
+        models = evaluate.baselines(_split_orders(spark, sf_dir), KEYS, "points_finish")
+        out = evaluate.stack_predictions(_eval_rows(spark, sf_dir), {name: models[name]})
+        return out.select(
+            "session_key", "split", "model_name", "y_true", "y_pred", F.round("score", 6).alias("score"))
+    return run
 
 
 def season_split(spark, sf_dir):
@@ -63,21 +69,6 @@ def contiguous_split(spark, sf_dir):
     return out.select("session_key", "split")
 
 
-def random_baseline(spark, sf_dir):
-    out = evaluate.random_baseline(_eval_rows(spark, sf_dir), KEYS)
-    return out.select("session_key", "split", "model_name", "y_true", "y_pred", F.round("score", 6).alias("score"))
-
-
-def heuristic_baseline(spark, sf_dir):
-    out = evaluate.heuristic_baseline(_eval_rows(spark, sf_dir))
-    return out.select("session_key", "split", "model_name", "y_true", "y_pred", "score")
-
-
-def majority_baseline(spark, sf_dir):
-    out = evaluate.majority_baseline(_eval_rows(spark, sf_dir))
-    return out.select("session_key", "split", "model_name", "y_true", "y_pred", F.round("score", 6).alias("score"))
-
-
 def class_metrics(spark, sf_dir):
     return evaluate.class_metrics(_predictions(spark, sf_dir))
 
@@ -151,15 +142,21 @@ def _silver_query(name):
 
 
 def skipped_check(spark, sf_dir):
-    """A check on a table that lacks the column it needs."""
+    """The same check on a table that has its column and on one that lacks it."""
+    query = "select 'labels' as report, count(points) as labelled_rows from {t}"
     orders = table(spark, sf_dir, "orders")
-    return checks.guarded(orders, "target_support", ["points"], "select sum(points) from {t}")
+    labels = orders.withColumn("points", F.col("o_totalprice"))
+    ran = checks.guarded(labels, "labels", ["points"], query)
+    return ran.unionByName(checks.guarded(orders, "orders", ["points"], query), allowMissingColumns=True)
 
 
 # --- governance -------------------------------------------------------------------------------
 
 def leakage_guard(spark, sf_dir):
-    return govern.leakage_guard(mart_queries.mart(spark, sf_dir), CATALOG)
+    """The guard, next to how empty each column is."""
+    mart = mart_queries.mart(spark, sf_dir)
+    missing = profile.null_counts(mart, "gold").select("column_name", "missing_count")
+    return govern.leakage_guard(mart, CATALOG).join(missing, "column_name")
 
 
 def feature_dictionary(spark, sf_dir):
@@ -223,6 +220,7 @@ def preprocess(spark, sf_dir):
     from pyspark.ml import Pipeline
 
     rows, names = _model_rows(spark, sf_dir)
+    rows = durable(rows)
     train = model.as_inputs(rows.where("split = 'train'"), names)
     names = model.usable_features(train, names)
     stages, modes = model.preprocess_stages(train, names, scale=True)
@@ -439,9 +437,9 @@ QUERIES = {
     "season_split": season_split,
     "split_summary": split_summary,
     "contiguous_split": contiguous_split,
-    "random_baseline": random_baseline,
-    "heuristic_baseline": heuristic_baseline,
-    "majority_baseline": majority_baseline,
+    "random_baseline": _baseline("random_baseline"),
+    "heuristic_baseline": _baseline("heuristic_position"),
+    "majority_baseline": _baseline("majority_class"),
     "class_metrics": class_metrics,
     "roc_auc": roc_auc,
     "confusion_long": confusion_long,
@@ -541,10 +539,12 @@ ORACLES = {
     "check_silver_pit_rows_by_session_key": _top_sql("lineitem", "l_orderkey", "where l_returnflag = 'R'"),
     "check_silver_weather_rows_by_session_key": _top_sql("events", "user_id"),
     "check_skipped_columns": """
-        select 'target_support' as report, 'skipped_missing_columns' as status, 'points' as missing_columns""",
-    "leakage_guard": "select * from (values " + ", ".join(
+        select 'labels' as report, count(o_totalprice) as labelled_rows, cast(null as varchar) as status,
+               cast(null as varchar) as missing_columns from orders
+        union all select 'orders', null, 'skipped_missing_columns', 'points'""",
+    "leakage_guard": f"with {mart_queries.MART_CTE} select g.*, missing_count from (values " + ", ".join(
         f"('{c}', '{_role(c)[0]}', {str(_role(c)[1]).lower()}, '{_role(c)[2]}')" for c in MART_COLUMNS)
-        + ") g(column_name, leakage_risk, allowed_for_modeling, reason)",
+        + f") g(column_name, leakage_risk, allowed_for_modeling, reason) join ({MART_MISSING}) using (column_name)",
     "feature_dictionary": f"with {mart_queries.MART_CTE}, {DICTIONARY_SQL} select * from dictionary",
     "feature_plan": f"""
         with {mart_queries.MART_CTE} select p.*, missing_pct
