@@ -88,6 +88,20 @@ def groupable(value: Column, dtype: T.DataType) -> Column:
     return value
 
 
+def content_key(value: Column, dtype: T.DataType) -> Column:
+    """A short stand-in for counting equal values: long text becomes its SHA-256 digest.
+
+    Grouping then ships at most 65 characters per text cell instead of the whole text.
+    """
+    if isinstance(dtype, (T.StringType, T.MapType, T.VariantType, T.ArrayType, T.StructType)):
+        return _digest(as_text(value, dtype))
+    return value
+
+
+def _digest(text: Column) -> Column:
+    return F.when(F.length(text) > 64, F.concat(F.lit("#"), F.sha2(text, 256))).otherwise(text)
+
+
 def as_text(value: Column, dtype: T.DataType) -> Column:
     """Text that is equal exactly when the values are equal; null stays null."""
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
@@ -102,13 +116,16 @@ def as_text(value: Column, dtype: T.DataType) -> Column:
 def long_form(df: DataFrame, names: Sequence[str], value: str, double: bool = False) -> DataFrame:
     """One row per (row, listed column): the column's place in ``names`` and its value.
 
-    Values are doubles or canonical text. Unpivoting expands rows inside generated code, and the
+    Values are doubles, or canonical text shortened to a digest when long. Unpivoting expands rows inside generated code, and the
     place is an int because it is part of every shuffled key; ``name_at`` turns it into the name.
     """
     places = [str(i) for i in range(len(names))]
     cells = []
     for place, name in zip(places, names):
-        cell = quoted(name).try_cast("double") if double else as_text(quoted(name), dtype_of(df, name))
+        if double:
+            cell = quoted(name).try_cast("double")
+        else:
+            cell = _digest(as_text(quoted(name), dtype_of(df, name)))
         cells.append(cell.alias(place))
     return df.select(*cells).unpivot([], places, "_place", value).select(
         F.col("_place").cast("int").alias("column_no"), value

@@ -1,16 +1,21 @@
-"""Finding groups too large for one task, so that only those take the range-partitioned way."""
+"""Groups too large for one task: found by counting, then sent a way that spreads them.
+
+Adaptive execution splits a skewed join only when both inputs come straight out of a shuffle, and
+never splits a window, so hot keys are handled here where they matter.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeaudit.functions.durable import durable
 
 LIMIT_CONF = "spark.lakeaudit.hotGroupRows"
 DEFAULT_LIMIT = 2_000_000
+MOST_HOT_GROUPS = 10_000
 
 
 def hot_group_rows(df: DataFrame) -> int:
@@ -18,14 +23,34 @@ def hot_group_rows(df: DataFrame) -> int:
 
 
 def hot_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
-    """Keys with more rows than the limit, or None. Their number is at most rows / limit."""
+    """Keys held by more rows than a task should see, or None.
+
+    A hot group has more than ``spark.lakeaudit.hotGroupRows`` rows and more than one part in
+    10,000 of the table, so there are fewer than 10,000 of them whatever the size of the table.
+    """
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = sizes.where(F.col("_rows") > hot_group_rows(df)).select(*keys)
-    if hot.isEmpty():
+    large = sizes.where(F.col("_rows") > hot_group_rows(df))
+    if large.isEmpty():
         return None
+    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    hot = large.where(F.col("_rows") * MOST_HOT_GROUPS > total).select(*keys)
     return durable(hot)
 
 
+def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    match = F.lit(True)
+    for k in keys:
+        match = match & left[k].eqNullSafe(right["_hot_" + k])
+    return match
+
+
+def split_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(usual rows, rows of hot groups)."""
+    listed = F.broadcast(hot.select(*[F.col(k).alias("_hot_" + k) for k in keys]))  # < 10,000 rows
+    match = _same_keys(df, listed, keys)
+    return df.join(listed, match, "left_anti"), df.join(listed, match, "left_semi")
+
+
 def by_group_size(
     df: DataFrame,
     keys: Sequence[str],
@@ -36,11 +61,20 @@ def by_group_size(
     hot = hot_groups(df, keys)
     if hot is None:
         return usual(df)
-    renamed = hot.select(*[F.col(k).alias("_hot_" + k) for k in keys])
-    match = None
-    for k in keys:
-        same = df[k].eqNullSafe(renamed["_hot_" + k])
-        match = same if match is None else match & same
-    cold_rows = df.join(renamed, match, "left_anti")
-    hot_rows = df.join(renamed, match, "left_semi")
+    cold_rows, hot_rows = split_hot(df, hot, keys)
     return usual(cold_rows).unionByName(spread(hot_rows))
+
+
+def left_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """left ⟕ right for a right side with one row per key, also when a key fills the left side.
+
+    The few right rows of hot keys are broadcast, so their left rows stay where they are.
+    """
+    keys = list(keys)
+    hot = hot_groups(left, keys)
+    if hot is None:
+        return left.join(right, keys, "left")
+    cold_rows, hot_rows = split_hot(left, hot, keys)
+    _, few = split_hot(right, hot, keys)
+    return cold_rows.join(right, keys, "left").unionByName(
+        hot_rows.join(F.broadcast(few), keys, "left"))  # at most one row per hot key

@@ -8,11 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeaudit.functions.columns import (
-    dtype_of, groupable, long_form, name_at, pct, present, quoted, rows_frame,
+    content_key, dtype_of, long_form, name_at, pct, present, quoted, rows_frame,
 )
 from lakeaudit.functions.ordered import lagged
 from lakeaudit.functions.quantiles import placed_counts, quantile_columns
-from lakeaudit.functions.skew import by_group_size
+from lakeaudit.functions.skew import by_group_size, left_join
 from lakeaudit.spec import ForeignKey
 
 KEY_DUPLICATES_DDL = (
@@ -26,7 +26,7 @@ KEY_DUPLICATES_DDL = (
 def full_row_duplicates(df: DataFrame, table: str, columns: list[str] | None = None) -> DataFrame:
     """Copies beyond the first of rows with equal content."""
     names = columns or df.columns
-    keys = [groupable(quoted(c), dtype_of(df, c)).alias(c) for c in names]
+    keys = [content_key(quoted(c), dtype_of(df, c)).alias(c) for c in names]
     copies = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
     return copies.agg(
         F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("_extra"),
@@ -45,7 +45,7 @@ def key_duplicates(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
             df, [(table, "key_duplicate", label, 0, 0, 0.0, "skipped_missing_columns")],
             KEY_DUPLICATES_DDL,
         )
-    groups = df.groupBy(*[groupable(quoted(k), dtype_of(df, k)).alias(k) for k in keys]).agg(
+    groups = df.groupBy(*[content_key(quoted(k), dtype_of(df, k)).alias(k) for k in keys]).agg(
         F.count(F.lit(1)).alias("_rows")
     )
     many = F.col("_rows") > 1
@@ -241,7 +241,7 @@ def outside_bounds(
     bounds = parent.groupBy(key).agg(
         F.min(start).alias("_start"), F.max(end).alias("_end")
     )
-    joined = child.select(key, moment).join(bounds, key, "left")
+    joined = left_join(child.select(key, moment), bounds, [key])
     at = quoted(moment)
     outside = F.col("_start").isNotNull() & ((at < F.col("_start")) | (at > F.col("_end")))
     return _anomaly_rows(joined, table, [("weather_outside_session_bounds", moment, outside, note)])

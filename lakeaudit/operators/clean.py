@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeaudit.functions.columns import (
-    cast_columns, dtype_of, groupable, present, quoted, rows_frame, snake_case,
+    cast_columns, content_key, dtype_of, groupable, present, quoted, rows_frame, snake_case,
 )
 from lakeaudit.spec import TableSpec
 
@@ -152,7 +152,7 @@ def cleaning_log(raw: DataFrame, spec: TableSpec) -> DataFrame:
 
     tagged = _tagged(df, spec, steps)
     cells = [
-        F.when(F.col("_tag") == 0, groupable(quoted(c), dtype_of(df, c))).alias(c) for c in content
+        F.when(F.col("_tag") == 0, content_key(quoted(c), dtype_of(df, c))).alias(c) for c in content
     ]
     copies = (
         tagged.select("_tag", *cells).groupBy("_tag", *[quoted(c) for c in content])

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lakeaudit.functions.columns import pct, present, quoted
 from lakeaudit.functions.quantiles import exact_quantiles
-from lakeaudit.functions.skew import by_group_size
+from lakeaudit.functions.skew import by_group_size, left_join
 
 # Search terms per message count. A term matches anywhere in the upper-cased
 # "message flag" text, so a virtual safety car counts in both of its terms.
@@ -219,21 +219,30 @@ def message_features(
 
 # --- joins ------------------------------------------------------------------------------------
 
+SMALL_LOOKUP_ROWS = 100_000
+
+
+def lookup_join(facts: DataFrame, lookup: DataFrame, on: list[str]) -> DataFrame:
+    """facts ⟕ lookup with one lookup row per key.
+
+    A lookup counted as small is broadcast; a larger one is joined with hot keys set apart.
+    """
+    if lookup.limit(SMALL_LOOKUP_ROWS + 1).count() <= SMALL_LOOKUP_ROWS:
+        return facts.join(F.broadcast(lookup), on, "left")
+    return left_join(facts, lookup, on)
+
+
 def lookup_backfill(
     df: DataFrame, lookup: DataFrame, key: str, value: str, lookup_key: str | None = None,
     lookup_value: str | None = None,
 ) -> DataFrame:
-    """Fills ``value`` where absent or null from one row per key of the lookup table.
-
-    No broadcast hint: Spark broadcasts the lookup when its size allows and shuffles otherwise.
-    """
+    """Fills ``value`` where absent or null from one row per key of the lookup table."""
     lookup_key, lookup_value = lookup_key or key, lookup_value or value
-    found = lookup.where(quoted(lookup_key).isNotNull()).groupBy(quoted(lookup_key).alias("_key")).agg(
+    found = lookup.where(quoted(lookup_key).isNotNull()).groupBy(quoted(lookup_key).alias(key)).agg(
         F.min(quoted(lookup_value)).alias("_found")
     )
-    joined = df.join(found, df[key] == found["_key"], "left").drop("_key")
     own = quoted(value) if value in df.columns else F.lit(None)
-    return joined.withColumn(value, F.coalesce(own, F.col("_found"))).drop("_found")
+    return lookup_join(df, found, [key]).withColumn(value, F.coalesce(own, F.col("_found"))).drop("_found")
 
 
 def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -246,16 +255,22 @@ def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
 def star(facts: DataFrame, dims: list[tuple[DataFrame, list[str]]]) -> DataFrame:
     """Left joins onto de-duplicated dimensions, each given with its key columns."""
     for dim, on in dims:
-        facts = facts.join(one_per_key(dim, on), on, "left")
+        facts = lookup_join(facts, one_per_key(dim, on), on)
     return facts
 
 
-def feature_left_join(base: DataFrame, features: DataFrame | None, on: list[str]) -> DataFrame:
-    """base ⟕ features; unchanged when there is no feature table or it lacks the keys."""
+def feature_left_join(
+    base: DataFrame, features: DataFrame | None, on: list[str], one_base_row_per_key: bool = False
+) -> DataFrame:
+    """base ⟕ features; unchanged when there is no feature table or it lacks the keys.
+
+    Where the keys are coarser than the base's grain, hot keys of the base are set apart.
+    """
     if features is None or len(present(features, on)) < len(on):
         return base
     new = [c for c in features.columns if c not in base.columns]
-    return base.join(features.select(*on, *new), on, "left")
+    features = features.select(*on, *new)
+    return base.join(features, on, "left") if one_base_row_per_key else left_join(base, features, on)
 
 
 def join_quality(

@@ -47,6 +47,28 @@ def usable_features(train: DataFrame, features: list[str]) -> list[str]:
     return [c for i, c in enumerate(features) if filled[f"f{i}"] > 0]
 
 
+MOST_CATEGORIES = 100_000
+
+
+def most_frequent(df: DataFrame, text: list[str]) -> dict[str, str]:
+    """Mode of each text column (the smallest on a tie); one small row per column reaches the driver.
+
+    Values are counted map-side before they are compared. One-hot encoding keeps its labels on the
+    driver, so a column with too many of them is refused.
+    """
+    values = df.select(*[quoted(c).alias(str(i)) for i, c in enumerate(text)]).unpivot(
+        [], [str(i) for i in range(len(text))], "_place", "cell")
+    counts = values.where("cell is not null").groupBy("_place", "cell").agg(F.count(F.lit(1)).alias("n"))
+    rows = counts.groupBy("_place").agg(
+        F.min_by("cell", F.struct(-F.col("n"), F.col("cell"))).alias("mode"),
+        F.count(F.lit(1)).alias("categories"),
+    ).collect()
+    for r in rows:
+        if r["categories"] > MOST_CATEGORIES:
+            raise ValueError(f"{text[int(r['_place'])]} has too many values for one-hot encoding")
+    return {text[int(r["_place"])]: r["mode"] for r in rows}
+
+
 def preprocess_stages(
     train: DataFrame, features: list[str], scale: bool
 ) -> tuple[list, dict[str, str]]:
@@ -64,8 +86,7 @@ def preprocess_stages(
         inputs.append(name)
     modes: dict[str, str] = {}
     if text:
-        row = train.agg(*[F.mode(quoted(c), deterministic=True).alias(c) for c in text]).first()
-        modes = {c: row[c] for c in text if row[c] is not None}
+        modes = most_frequent(train, text)
         for c in text:
             stages.append(StringIndexer(inputCol=c, outputCol=f"{c}__index", handleInvalid="keep"))
         stages.append(OneHotEncoder(

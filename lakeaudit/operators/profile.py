@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeaudit.functions.columns import (
-    as_text, dtype_of, groupable, is_numeric, long_form, name_at, pct, quoted, rows_frame,
+    as_text, content_key, dtype_of, groupable, is_numeric, long_form, name_at, pct, quoted, rows_frame,
 )
 from lakeaudit.functions.quantiles import placed_counts, quantile_columns, value_counts
 
@@ -138,7 +138,7 @@ def table_profile(df: DataFrame, table: str) -> DataFrame:
     Rows are grouped on their whole content once; the empty cells of a group are counted on its key.
     """
     nulls = sum((quoted(c).isNull().cast("bigint") for c in df.columns), F.lit(0).cast("bigint"))
-    keys = [groupable(quoted(c), dtype_of(df, c)).alias(c) for c in df.columns]
+    keys = [content_key(quoted(c), dtype_of(df, c)).alias(c) for c in df.columns]
     groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
     width = F.lit(len(df.columns)).cast("bigint")
     rows = F.coalesce(F.sum("_copies"), F.lit(0))

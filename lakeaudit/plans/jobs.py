@@ -75,13 +75,20 @@ def read_bronze(spark: SparkSession, root: str, infer: bool = False) -> dict[str
 def silver_job(
     spark: SparkSession, bronze: str, silver: str, reports: str | None = None
 ) -> dict[str, DataFrame]:
-    """Cleans and writes the ten tables, then audits them before and after."""
-    before = read_bronze(spark, bronze)
+    """Cleans and writes the ten tables, then audits them before and after.
+
+    The JSON is parsed once, into Parquet below ``_staged``; the cleaning and every audit of the
+    raw rows read that.
+    """
+    root = silver.rstrip("/")
+    before, after = {}, {}
+    for name, df in read_bronze(spark, bronze).items():
+        files.parquet_sink(df, f"{root}/_staged/{name}.parquet")
+        before[name] = spark.read.parquet(f"{root}/_staged/{name}.parquet")
     if all(df.isEmpty() for df in before.values()):
         raise FileNotFoundError(f"no landed rows below {bronze}")
-    after = {}
     for name, df in before.items():
-        path = f"{silver.rstrip('/')}/{name}_clean.parquet"
+        path = f"{root}/{name}_clean.parquet"
         files.parquet_sink(cleaning.clean(df, race.SPECS[name]), path)
         after[name] = spark.read.parquet(path)
     return _save(silver_reports(before, after), reports)

@@ -6,6 +6,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from lakeaudit.functions import skew
 from lakeaudit.functions.columns import cast_columns, snake_case
 from lakeaudit.operators import audit, checks, clean, evaluate, features as feat, govern, model, profile, split
 from lakeaudit.plans import race
@@ -169,6 +170,35 @@ def test_join_quality_sees_missing_and_fan_out(spark):
     assert (got["rows_before"], got["rows_after"], got["base_rows_without_match"]) == (3, 4, 1)
 
 
+def test_left_join_with_hot_keys(spark, hot):
+    left = spark.createDataFrame([(1, i) for i in range(20)] + [(2, 0), (3, 0), (None, 0)], "k int, i int")
+    right = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    got = sorted(map(tuple, skew.left_join(left, right, ["k"]).collect()), key=str)
+    want = [(k, i, {1: "a", 2: "b"}.get(k)) for k, i in map(tuple, left.collect())]
+    assert got == sorted(want, key=str)
+
+
+def test_lookup_too_large_to_broadcast(spark, hot, monkeypatch):
+    monkeypatch.setattr(feat, "SMALL_LOOKUP_ROWS", 1)
+    left = spark.createDataFrame([(1, i) for i in range(9)] + [(2, 0)], "k int, i int")
+    look = spark.createDataFrame([(1, 5), (2, 6)], "k int, m int")
+    got = sorted(map(tuple, feat.lookup_backfill(left, look, "k", "m").collect()))
+    assert got == [(1, i, 5) for i in range(9)] + [(2, 0, 6)]
+
+
+def test_long_texts_are_compared_whole(spark):
+    long = "x" * 500
+    df = spark.createDataFrame([(long + "a",), (long + "b",), (long + "a",), (None,)], "t string")
+    assert one(audit.full_row_duplicates(df, "t"))["duplicate_count"] == 1
+    assert one(profile.missingness(df, "t"))["unique_count"] == 2
+    assert one(audit.key_duplicates(df, "t", ["t"]))["affected_rows"] == 2
+
+
+def test_most_frequent_takes_the_smallest_on_a_tie(spark):
+    df = spark.createDataFrame([("b", None), ("a", "z"), (None, "z")], "s string, t string")
+    assert model.most_frequent(df, ["s", "t"]) == {"s": "a", "t": "z"}
+
+
 def test_feature_join_skips_unkeyed_features(spark):
     base = spark.createDataFrame([(1,)], "k int")
     assert feat.feature_left_join(base, None, ["k"]).columns == ["k"]

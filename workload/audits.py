@@ -235,7 +235,8 @@ def _summary_sql(column):
         f"round(quantile_cont({x}, {p}), 6) as {n}" for n, p in profile.SUMMARY_QUANTILES.items())
     return (
         f"select 'lineitem' as table_name, '{column}' as column_name, count({column}) as count, "
-        f"round(favg({x}), 6) as mean, round(coalesce(stddev_samp({x}), 0), 6) as std, "
+        # an exact sum, rounded half-up on its decimal digits: the mean of l_tax ends in a 5
+        f"cast(round(cast(favg({x}) as decimal(38, 12)), 6) as double) as mean, round(coalesce(stddev_samp({x}), 0), 6) as std, "
         f"round(min({x}), 6) as min, {qs}, round(max({x}), 6) as max from lineitem"
     )
 

@@ -89,6 +89,7 @@ def drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("driver_number"), F.col("c_name").alias("full_name"),
         F.col("c_mktsegment").alias("team_name"), "c_nationkey",
+        F.col("c_nationkey").cast("bigint").alias("meeting_key"),
     )
     nation = table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("driver_country_code"),
@@ -101,10 +102,13 @@ def drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = out.withColumn("circuit_key", F.col("circuit_key").cast("bigint")).drop("c_nationkey")
     events = _events(spark, sf_dir)
     on = ["driver_number"]
-    out = feat.feature_left_join(out, feat.position_features(events, on, "ts", "value", ["event_id"]), on)
-    out = feat.feature_left_join(out, feat.weather_features(events, on, WEATHER_MEANS), on)
-    return feat.feature_left_join(
-        out, feat.message_features(events, on, "event_type", "flag", TERMS), on)
+    for group in (
+        feat.position_features(events, on, "ts", "value", ["event_id"]),
+        feat.weather_features(events, on, WEATHER_MEANS),
+        feat.message_features(events, on, "event_type", "flag", TERMS),
+    ):
+        out = feat.feature_left_join(out, group, on, one_base_row_per_key=True)
+    return out
 
 
 def base(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,20 +134,17 @@ def base(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mart with unrounded values.
 
-    Laps and stops share one grouping of the line items. Customer-grain columns are assembled on
-    the customer key first, so the order rows move once per key.
+    Laps and stops share one grouping of the line items. Customer-grain columns, the meeting key
+    among them, are assembled on the customer key first, so the order rows move once per key.
     """
     rows = base(spark, sf_dir).drop("o_orderdate")
-    customers = table(spark, sf_dir, "customer").select(
-        "c_custkey", F.col("c_nationkey").cast("bigint").alias("nation"))
-    rows = feat.lookup_backfill(rows, customers, "driver_number", "meeting_key", "c_custkey", "nation")
     rows = feat.feature_left_join(rows, drivers(spark, sf_dir), ["driver_number"])
     laps = _laps(spark, sf_dir)
     aggs = feat.lap_aggregates(
         laps.columns, "l_linenumber", "l_extendedprice", LAP_MEANS, ("pit_out_lap_count", "pit_out"), 5)
     aggs += feat.pit_aggregates("l_linenumber", "l_extendedprice", 2, F.col("l_returnflag") == "R")
     lines = feat.grouped_with_median(laps, ["session_key"], "l_extendedprice", "median_lap_duration", aggs)
-    rows = feat.feature_left_join(rows, lines, ["session_key"])
+    rows = feat.feature_left_join(rows, lines, ["session_key"], one_base_row_per_key=True)
     return zero_fill(rows, list(feat.EVENT_COUNT_COLUMNS))
 
 
