@@ -28,8 +28,11 @@ def hot_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
     A hot group has more than ``spark.lakeaudit.hotGroupRows`` rows and more than one part in
     10,000 of the table, so there are fewer than 10,000 of them whatever the size of the table.
     """
+    limit = hot_group_rows(df)
+    if df.count() <= limit:  # a count without columns is answered from file footers
+        return None
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    large = sizes.where(F.col("_rows") > hot_group_rows(df))
+    large = sizes.where(F.col("_rows") > limit)
     if large.isEmpty():
         return None
     total = df.agg(F.count(F.lit(1)).alias("n")).scalar()

@@ -222,12 +222,15 @@ def message_features(
 SMALL_LOOKUP_ROWS = 100_000
 
 
-def lookup_join(facts: DataFrame, lookup: DataFrame, on: list[str]) -> DataFrame:
+def lookup_join(
+    facts: DataFrame, lookup: DataFrame, on: list[str], rows: int | None = None
+) -> DataFrame:
     """facts ⟕ lookup with one lookup row per key.
 
     A lookup counted as small is broadcast; a larger one is joined with hot keys set apart.
+    ``rows`` passes on a bound on its size that is already known.
     """
-    if lookup.limit(SMALL_LOOKUP_ROWS + 1).count() <= SMALL_LOOKUP_ROWS:
+    if (rows if rows is not None else lookup.count()) <= SMALL_LOOKUP_ROWS:
         return facts.join(F.broadcast(lookup), on, "left")
     return left_join(facts, lookup, on)
 
@@ -242,7 +245,7 @@ def lookup_backfill(
         F.min(quoted(lookup_value)).alias("_found")
     )
     own = quoted(value) if value in df.columns else F.lit(None)
-    return lookup_join(df, found, [key]).withColumn(value, F.coalesce(own, F.col("_found"))).drop("_found")
+    return lookup_join(df, found, [key], lookup.count()).withColumn(value, F.coalesce(own, F.col("_found"))).drop("_found")
 
 
 def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -255,7 +258,7 @@ def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
 def star(facts: DataFrame, dims: list[tuple[DataFrame, list[str]]]) -> DataFrame:
     """Left joins onto de-duplicated dimensions, each given with its key columns."""
     for dim, on in dims:
-        facts = lookup_join(facts, one_per_key(dim, on), on)
+        facts = lookup_join(facts, one_per_key(dim, on), on, dim.count())
     return facts
 
 

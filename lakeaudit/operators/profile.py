@@ -67,17 +67,13 @@ def missingness(df: DataFrame, table: str, approx: bool = False) -> DataFrame:
 
 def null_counts(df: DataFrame, table: str) -> DataFrame:
     """Missing counts only: a single aggregate without shuffling any cell."""
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    aggs += [F.count_if(quoted(n).isNull()).alias(f"m{i}") for i, n in enumerate(df.columns)]
-    cells = [
-        F.struct(
-            F.lit(table).alias("table_name"), F.lit(n).alias("column_name"),
-            F.col(f"m{i}").alias("missing_count"),
-            pct(F.col(f"m{i}"), F.col("_rows")).alias("missing_pct"),
-        )
-        for i, n in enumerate(df.columns)
-    ]
-    return df.agg(*aggs).select(F.inline(F.array(*cells)))
+    name = [n.replace("`", "``") for n in df.columns]
+    counts = df.selectExpr("count(*) as _rows", *[f"count(`{n}`) as f{i}" for i, n in enumerate(name)])
+    cells = ", ".join(f"struct({i} as _place, _rows - f{i} as missing_count, _rows)" for i in range(len(name)))
+    return counts.selectExpr(f"inline(array({cells}))").select(
+        F.lit(table).alias("table_name"), name_at(df.columns, "_place").alias("column_name"),
+        "missing_count", pct(F.col("missing_count"), F.col("_rows")).alias("missing_pct"),
+    )
 
 
 def numeric_summary(

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -11,14 +10,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stable(value: Column, digits: int = 4) -> Column:
-    """Rounding for comparison: exact ties go up whatever the order of a floating-point sum."""
-    return F.round(value + F.lit(1e-7), digits)
-
-
 def stable_doubles(df: DataFrame, digits: int = 4) -> DataFrame:
-    return df.select(*[
-        stable(F.col(n), digits).alias(n) if t == "double" else F.col(n) for n, t in df.dtypes
+    """Rounding for comparison: exact ties go up whatever the order of a floating-point sum."""
+    return df.selectExpr(*[
+        f"round(`{n}` + 1e-7D, {digits}) as `{n}`" if t == "double" else f"`{n}`" for n, t in df.dtypes
     ])
 
 
