@@ -113,25 +113,46 @@ def as_text(value: Column, dtype: T.DataType) -> Column:
     return value.cast("string")
 
 
-def long_form(df: DataFrame, names: Sequence[str], value: str, double: bool = False) -> DataFrame:
-    """One row per (row, listed column): the column's place in ``names`` and its value.
+def number_cells(df: DataFrame, names: Sequence[str], value: str) -> DataFrame:
+    """One row per (row, listed column): the column's place in ``names`` and its value as double.
 
-    Values are doubles, or canonical text shortened to a digest when long. Unpivoting expands rows inside generated code, and the
-    place is an int because it is part of every shuffled key; ``name_at`` turns it into the name.
+    Unpivoting expands rows inside generated code, and the place is an int because it is part of
+    every shuffled key; ``name_at`` turns it into the name.
     """
     places = [str(i) for i in range(len(names))]
-    cells = []
-    for place, name in zip(places, names):
-        if double:
-            cell = quoted(name).try_cast("double")
-        else:
-            cell = _digest(as_text(quoted(name), dtype_of(df, name)))
-        cells.append(cell.alias(place))
+    cells = [quoted(n).try_cast("double").alias(p) for p, n in zip(places, names)]
     return df.select(*cells).unpivot([], places, "_place", value).select(
         F.col("_place").cast("int").alias("column_no"), value
     )
 
 
+CELL_PARTS = ("cell_whole", "cell_real", "cell_text")
+
+
+def value_cells(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """One row per (row, listed column): its place and its value in the part that fits the type.
+
+    Whole numbers and reals keep their type, so grouping needs no text; other values are canonical
+    text, shortened to a digest when long. All three parts are null for a missing value.
+    """
+    cells, places = [], []
+    for i, name in enumerate(names):
+        dtype = dtype_of(df, name)
+        if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)):
+            cell, parts = quoted(name).cast("bigint"), (f"c{i}", "no_real", "no_text")
+        elif isinstance(dtype, (T.FloatType, T.DoubleType)):
+            cell, parts = quoted(name).cast("double"), ("no_whole", f"c{i}", "no_text")
+        else:
+            cell, parts = _digest(as_text(quoted(name), dtype)), ("no_whole", "no_real", f"c{i}")
+        cells.append(cell.alias(f"c{i}"))
+        places.append(f"({', '.join(parts)}) as `{i}`")
+    empty = {"no_whole": "bigint", "no_real": "double", "no_text": "string"}
+    wide = df.select(*cells, *[F.lit(None).cast(t).alias(n) for n, t in empty.items()])
+    return df.sparkSession.sql(
+        f"select cast(place as int) as column_no, {', '.join(CELL_PARTS)} from {{wide}} "
+        f"unpivot include nulls (({', '.join(CELL_PARTS)}) for place in ({', '.join(places)}))", wide=wide)
+
+
 def name_at(names: Sequence[str], place: str = "column_no") -> Column:
     return F.element_at(F.array(*[F.lit(n) for n in names]), F.col(place) + 1)
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeaudit.functions.columns import (
-    content_key, dtype_of, long_form, name_at, pct, present, quoted, rows_frame,
+    content_key, dtype_of, name_at, number_cells, pct, present, quoted, rows_frame,
 )
 from lakeaudit.functions.ordered import lagged
 from lakeaudit.functions.quantiles import placed_counts, quantile_columns
@@ -90,7 +90,7 @@ def iqr_outliers(
             df, [], "table_name string, column_name string, method string, lower_bound double, "
             "upper_bound double, outlier_count bigint, outlier_pct double, min_value double, "
             "max_value double")
-    cells = long_form(df, names, "cell", double=True)
+    cells = number_cells(df, names, "cell")
     cell, key = F.col("cell"), "column_no"
     counts = cells.groupBy(key, "cell").agg(F.count(F.lit(1)).alias("_n"))
     if approx:

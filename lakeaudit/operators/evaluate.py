@@ -163,36 +163,32 @@ def error_analysis(
         F.when((F.col("y_true") == 0) & (F.col("y_pred") == 1), "false_positive")
         .when((F.col("y_true") == 1) & (F.col("y_pred") == 0), "false_negative")
     )
-    errors = pred.withColumn("error_type", kind).where("error_type is not null")
     names = present(pred, group_columns)
-    out = None
-    if names:
-        cells = [
-            F.struct(F.lit(c).alias("group_column"), quoted(c).cast("string").alias("group_value"))
-            for c in names
-        ]
-        out = (
-            errors.select(*RUN, "error_type", F.inline(F.array(*cells)))
-            .groupBy(*RUN, "error_type", "group_column", "group_value").agg(F.count(F.lit(1)).alias("count"))
-        )
-    if position in pred.columns:
-        binned = errors.withColumn("_bin", position_bin(quoted(position).try_cast("double")))
-        kinds, bins = ("false_positive", "false_negative"), [b[2] for b in POSITION_BINS] + [None]
-        aggs, cells = [], []
-        for i, k in enumerate(kinds):
-            for j, b in enumerate(bins):
-                same = F.col("_bin").isNull() if b is None else F.col("_bin") == b
-                aggs.append(F.count_if((F.col("error_type") == k) & same).alias(f"c{i}_{j}"))
-                cells.append(F.struct(
-                    F.lit(k).alias("error_type"), F.lit("_position_bin").alias("group_column"),
-                    F.lit(b).cast("string").alias("group_value"), F.col(f"c{i}_{j}").alias("count"),
-                ))
-        per_bin = (
-            binned.groupBy(*RUN).agg(*aggs).select(*RUN, F.inline(F.array(*cells)))
-            .where("group_value is not null or count > 0")
+    binned = position in pred.columns
+    errors = pred.withColumn("error_type", kind).where("error_type is not null").select(
+        *RUN, "error_type", *[quoted(c).cast("string").alias(c) for c in names],
+        (position_bin(quoted(position).try_cast("double")) if binned else F.lit(None).cast("string")).alias("_bin"),
+    )
+    # one scan: count combinations, then list each once per group column
+    combined = errors.groupBy(*RUN, "error_type", *names, "_bin").agg(F.count(F.lit(1)).alias("_n"))
+
+    def cell(error_type: Column, column: str, value: Column, count: Column) -> Column:
+        return F.struct(
+            error_type.alias("error_type"), F.lit(column).alias("group_column"),
+            value.alias("group_value"), count.alias("count"),
         )
-        out = per_bin if out is None else out.unionByName(per_bin)
-    return out
+
+    own, zero = F.col("error_type"), F.lit(0).cast("bigint")
+    cells = [cell(own, c, quoted(c), F.col("_n")) for c in names]
+    if binned:
+        cells.append(cell(own, "_position_bin", F.col("_bin"), F.col("_n")))
+        cells += [
+            cell(F.lit(k), "_position_bin", F.lit(b[2]), zero)
+            for k in ("false_positive", "false_negative") for b in POSITION_BINS
+        ]
+    return combined.select(*RUN, F.inline(F.array(*cells))).groupBy(
+        *RUN, "error_type", "group_column", "group_value"
+    ).agg(F.sum("count").alias("count"))
 
 
 def error_summary(errors: DataFrame, group_column: str = "session_year") -> DataFrame:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeaudit.functions.columns import (
-    as_text, content_key, dtype_of, groupable, is_numeric, long_form, name_at, pct, quoted, rows_frame,
+    CELL_PARTS, as_text, content_key, dtype_of, groupable, is_numeric, name_at, number_cells, pct, quoted,
+    rows_frame, value_cells,
 )
 from lakeaudit.functions.quantiles import placed_counts, quantile_columns, value_counts
 
@@ -46,12 +49,12 @@ def missingness(df: DataFrame, table: str, approx: bool = False) -> DataFrame:
         ]
         stats = df.agg(*aggs).select(F.inline(F.array(*cells)))
     else:
-        cells = long_form(df, names, "cell")
-        values = cells.groupBy("column_no", "cell").agg(F.count(F.lit(1)).alias("_n"))
+        values = value_cells(df, names).groupBy("column_no", *CELL_PARTS).agg(F.count(F.lit(1)).alias("_n"))
+        has_value = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in CELL_PARTS])
         stats = values.groupBy("column_no").agg(
             F.sum("_n").alias("_rows"),
-            F.coalesce(F.sum(F.when(F.col("cell").isNotNull(), F.col("_n"))), F.lit(0)).alias("filled"),
-            F.count("cell").alias("unique_count"),
+            F.coalesce(F.sum(F.when(has_value, F.col("_n"))), F.lit(0)).alias("filled"),
+            F.count_if(has_value).alias("unique_count"),
         ).withColumn("column_name", name_at(names))
     # the catalog side has one row per column of the schema
     catalog = F.broadcast(_column_catalog(df, names))
@@ -93,7 +96,7 @@ def numeric_summary(
             df, [], "table_name string, column_name string, count bigint, mean double, std double, "
             "min double, p01 double, p05 double, p25 double, median double, p75 double, "
             "p95 double, p99 double, max double")
-    cells = long_form(df, names, "cell", double=True).where("cell is not null")
+    cells = number_cells(df, names, "cell").where("cell is not null")
     v = F.col("cell")
     if approx:
         probs = F.array(*[F.lit(p) for p in SUMMARY_QUANTILES.values()])
@@ -196,8 +199,6 @@ def cleaning_impact(before: DataFrame, after: DataFrame) -> DataFrame:
 
 
 def top_missing_per_table(report: DataFrame, k: int) -> DataFrame:
-    from pyspark.sql import Window
-
     w = Window.partitionBy("table_name").orderBy(F.desc("missing_pct"), "column_name")
     return report.withColumn("missing_rank", F.row_number().over(w)).where(F.col("missing_rank") <= k)
 
