@@ -6,9 +6,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeaudit.functions.columns import (
-    content_key, dtype_of, name_at, number_cells, pct, present, quoted, rows_frame,
+    as_text, content_key, dtype_of, name_at, number_cells, pct, present, quoted, rows_frame,
 )
 from lakeaudit.functions.ordered import lagged
 from lakeaudit.functions.quantiles import placed_counts, quantile_columns
@@ -301,19 +302,75 @@ def fk_check(
     )
 
 
+def _is_whole(dtype: T.DataType) -> bool:
+    return isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+
+
+def _key_cell(df: DataFrame, name: str, whole_only: bool) -> Column:
+    """The key as bigint where all keys are whole numbers, else as text that is equal for equal keys."""
+    value, dtype = quoted(name), dtype_of(df, name)
+    if whole_only:
+        return value.cast("bigint")
+    return as_text(value.cast("bigint") if _is_whole(dtype) else value, dtype)
+
+
 def fk_suite(tables: dict[str, DataFrame], edges: list[ForeignKey], stage: str) -> DataFrame:
-    parts = []
-    some = next(iter(tables.values()))
-    for edge in edges:
-        child, parent = tables.get(edge.child), tables.get(edge.parent)
-        if child is None and parent is None:
-            parts.append(rows_frame(
-                some, [(edge.child, edge.parent, ",".join(edge.columns), None, 0, 0.0,
-                        "skipped_missing_table")], FK_DDL))
-        else:
-            parts.append(fk_check(
-                child, parent, edge.child, edge.parent, list(edge.columns), list(edge.parent_columns)))
-    return union_reports(parts).withColumn("stage", F.lit(stage))
+    """All edges in one job: each table is read once, whatever the number of its edges.
+
+    A row is listed under every edge it takes part in, as (edge, key, side); one grouping by edge
+    and key, mostly done before the shuffle, then shows which child keys have no parent.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    width = max(len(e.columns) for e in edges)
+    names = [f"k{i}" for i in range(width)]
+    used = [(tables.get(t), c) for e in edges for t, cs in (
+        (e.child, e.columns), (e.parent, e.parent_columns or e.columns)) for c in cs]
+    whole_only = all(_is_whole(dtype_of(df, c)) for df, c in used if df is not None and c in df.columns)
+    filler = F.lit(0).cast("bigint") if whole_only else F.lit("")
+    catalog, listed = [], {}
+    for no, edge in enumerate(edges):
+        sides = ((edge.child, edge.columns, True), (edge.parent, edge.parent_columns or edge.columns, False))
+        frames = [tables.get(t) for t, _, _ in sides]
+        status = None
+        if None in frames:
+            status = "skipped_missing_table"
+        elif any(len(present(df, c)) < len(c) for df, (_, c, _) in zip(frames, sides)):
+            status = "skipped_missing_columns"
+        catalog.append((no, edge.child, edge.parent, ",".join(edge.columns), status))
+        if status:
+            continue
+        for df, (table, columns, is_child) in zip(frames, sides):
+            keys = [_key_cell(df, c, whole_only) for c in columns]
+            whole = reduce(lambda x, y: x & y, [quoted(c).isNotNull() for c in columns])
+            keys += [filler] * (width - len(keys))
+            listed.setdefault(table, []).append(F.struct(
+                F.lit(no).alias("edge"), F.lit(is_child).alias("is_child"), whole.alias("whole"),
+                *[F.when(whole, k).alias(n) for k, n in zip(keys, names)]))
+    parts = [tables[t].select(F.inline(F.array(*cells))) for t, cells in listed.items()]
+    edge_rows = F.broadcast(rows_frame(  # one row per edge
+        spark, catalog, "edge int, child_table string, parent_table string, key_columns string, skipped string"))
+    if parts:
+        rows = reduce(lambda x, y: x.unionByName(y), parts)
+        keys = rows.groupBy("edge", "whole", *names).agg(
+            F.bool_or("is_child").alias("child"), F.bool_or(~F.col("is_child")).alias("parent"))
+        kid = F.col("whole") & F.col("child")
+        counts = keys.groupBy("edge").agg(
+            F.bool_or("child").alias("has_child"), F.bool_or("parent").alias("has_parent"),
+            F.count_if(kid).alias("keys"), F.count_if(kid & ~F.col("parent")).alias("unmatched"))
+    else:
+        counts = spark.createDataFrame([], "edge int, has_child boolean, has_parent boolean, keys bigint, unmatched bigint")
+    no_child, no_parent = ~F.coalesce("has_child", F.lit(False)), ~F.coalesce("has_parent", F.lit(False))
+    status = (
+        F.when(F.col("skipped").isNotNull(), F.col("skipped")).when(no_child, "skipped_empty_child")
+        .when(no_parent, "skipped_empty_parent").otherwise("checked"))
+    checked = status == "checked"
+    return counts.join(edge_rows, "edge", "right").select(
+        "child_table", "parent_table", "key_columns",
+        F.when(checked, F.col("keys")).alias("distinct_child_keys"),
+        F.when(checked, F.col("unmatched")).otherwise(0).alias("unmatched_rows"),
+        F.when(checked, pct(F.col("unmatched"), F.col("keys"))).otherwise(0.0).alias("unmatched_pct"),
+        status.alias("status"), F.lit(stage).alias("stage"),
+    )
 
 
 def error_taxonomy(reports: dict[str, DataFrame]) -> DataFrame:

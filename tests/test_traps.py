@@ -10,7 +10,7 @@ from lakeaudit.functions import skew
 from lakeaudit.functions.columns import cast_columns, snake_case
 from lakeaudit.operators import audit, checks, clean, evaluate, features as feat, govern, model, profile, split
 from lakeaudit.plans import race
-from lakeaudit.spec import TableSpec
+from lakeaudit.spec import ForeignKey, TableSpec
 
 
 def one(df):
@@ -146,6 +146,28 @@ def test_fk_statuses(spark):
     assert one(audit.fk_check(child, None, "c", "p", ["k"]))["status"] == "skipped_missing_table"
 
 
+@pytest.mark.parametrize("kind", ["int", "string"])
+def test_fk_suite_equals_single_checks(spark, kind):
+    tables = {
+        "a": spark.createDataFrame([(1, 1), (1, 2), (2, None), (None, 1)], "x int, y int"),
+        "b": spark.createDataFrame([(1, 1), (5, 5)], "x bigint, y bigint"),
+        "e": spark.createDataFrame([], "x int, y int"),
+    }
+    if kind == "string":
+        tables = {n: df.select(F.col("x").cast("string"), "y") for n, df in tables.items()}
+    edges = [
+        ForeignKey("a", "b", ("x",)), ForeignKey("a", "b", ("x", "y")), ForeignKey("b", "a", ("x", "y")),
+        ForeignKey("a", "e", ("x",)), ForeignKey("e", "a", ("x",)), ForeignKey("e", "e", ("x",)),
+        ForeignKey("a", "b", ("z",)), ForeignKey("a", "gone", ("x",)), ForeignKey("a", "b", ("y",), ("x",)),
+    ]
+    got = sorted(map(tuple, audit.fk_suite(tables, edges, "s").drop("stage").collect()), key=str)
+    want = []
+    for e in edges:
+        want.append(tuple(one(audit.fk_check(
+            tables.get(e.child), tables.get(e.parent), e.child, e.parent, list(e.columns), list(e.parent_columns)))))
+    assert got == sorted(want, key=str)
+
+
 def test_bounds_count_each_child_once(spark):
     ts = lambda h: dt.datetime(2024, 1, 1, h)
     child = spark.createDataFrame([(1, ts(1)), (1, ts(5)), (2, ts(5)), (1, None)], "k int, d timestamp")
