@@ -113,17 +113,27 @@ def as_text(value: Column, dtype: T.DataType) -> Column:
     return value.cast("string")
 
 
+def stacked(df: DataFrame, sets: Sequence[Sequence[Column]], names: Sequence[str]) -> DataFrame:
+    """One row per (row, set of columns): the set's number ``place`` and its columns as ``names``.
+
+    UNPIVOT expands rows inside generated code, which an array with INLINE does not.
+    """
+    cells = [c.alias(f"c{i}_{j}") for i, s in enumerate(sets) for j, c in enumerate(s)]
+    places = ", ".join(
+        "(" + ", ".join(f"c{i}_{j}" for j in range(len(names))) + f") as `{i}`" for i in range(len(sets)))
+    listed = ", ".join(names)
+    return df.sparkSession.sql(
+        f"select cast(place as int) as place, {listed} from {{wide}} "
+        f"unpivot include nulls (({listed}) for place in ({places}))", wide=df.select(*cells))
+
+
 def number_cells(df: DataFrame, names: Sequence[str], value: str) -> DataFrame:
     """One row per (row, listed column): the column's place in ``names`` and its value as double.
 
-    Unpivoting expands rows inside generated code, and the place is an int because it is part of
-    every shuffled key; ``name_at`` turns it into the name.
+    The place is an int because it is part of every shuffled key; ``name_at`` gives the name.
     """
-    places = [str(i) for i in range(len(names))]
-    cells = [quoted(n).try_cast("double").alias(p) for p, n in zip(places, names)]
-    return df.select(*cells).unpivot([], places, "_place", value).select(
-        F.col("_place").cast("int").alias("column_no"), value
-    )
+    cells = stacked(df, [[quoted(n).try_cast("double")] for n in names], [value])
+    return cells.withColumnRenamed("place", "column_no")
 
 
 CELL_PARTS = ("cell_whole", "cell_real", "cell_text")
@@ -135,22 +145,17 @@ def value_cells(df: DataFrame, names: Sequence[str]) -> DataFrame:
     Whole numbers and reals keep their type, so grouping needs no text; other values are canonical
     text, shortened to a digest when long. All three parts are null for a missing value.
     """
-    cells, places = [], []
-    for i, name in enumerate(names):
+    no_whole, no_real, no_text = (F.lit(None).cast(t) for t in ("bigint", "double", "string"))
+    sets = []
+    for name in names:
         dtype = dtype_of(df, name)
         if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)):
-            cell, parts = quoted(name).cast("bigint"), (f"c{i}", "no_real", "no_text")
+            sets.append([quoted(name).cast("bigint"), no_real, no_text])
         elif isinstance(dtype, (T.FloatType, T.DoubleType)):
-            cell, parts = quoted(name).cast("double"), ("no_whole", f"c{i}", "no_text")
+            sets.append([no_whole, quoted(name).cast("double"), no_text])
         else:
-            cell, parts = _digest(as_text(quoted(name), dtype)), ("no_whole", "no_real", f"c{i}")
-        cells.append(cell.alias(f"c{i}"))
-        places.append(f"({', '.join(parts)}) as `{i}`")
-    empty = {"no_whole": "bigint", "no_real": "double", "no_text": "string"}
-    wide = df.select(*cells, *[F.lit(None).cast(t).alias(n) for n, t in empty.items()])
-    return df.sparkSession.sql(
-        f"select cast(place as int) as column_no, {', '.join(CELL_PARTS)} from {{wide}} "
-        f"unpivot include nulls (({', '.join(CELL_PARTS)}) for place in ({', '.join(places)}))", wide=wide)
+            sets.append([no_whole, no_real, _digest(as_text(quoted(name), dtype))])
+    return stacked(df, sets, CELL_PARTS).withColumnRenamed("place", "column_no")
 
 
 def name_at(names: Sequence[str], place: str = "column_no") -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeaudit.functions.columns import (
-    as_text, content_key, dtype_of, name_at, number_cells, pct, present, quoted, rows_frame,
+    as_text, content_key, dtype_of, name_at, number_cells, pct, present, quoted, rows_frame, stacked,
 )
 from lakeaudit.functions.ordered import lagged
 from lakeaudit.functions.quantiles import placed_counts, quantile_columns
@@ -341,16 +341,19 @@ def fk_suite(tables: dict[str, DataFrame], edges: list[ForeignKey], stage: str)
             continue
         for df, (table, columns, is_child) in zip(frames, sides):
             keys = [_key_cell(df, c, whole_only) for c in columns]
-            whole = reduce(lambda x, y: x & y, [quoted(c).isNotNull() for c in columns])
             keys += [filler] * (width - len(keys))
-            listed.setdefault(table, []).append(F.struct(
-                F.lit(no).alias("edge"), F.lit(is_child).alias("is_child"), whole.alias("whole"),
-                *[F.when(whole, k).alias(n) for k, n in zip(keys, names)]))
-    parts = [tables[t].select(F.inline(F.array(*cells))) for t, cells in listed.items()]
-    edge_rows = F.broadcast(rows_frame(  # one row per edge
-        spark, catalog, "edge int, child_table string, parent_table string, key_columns string, skipped string"))
+            listed.setdefault(table, []).append([F.lit(2 * no + is_child), *keys])
+    parts = [stacked(tables[t], cells, ["edge_side", *names]) for t, cells in listed.items()]
+    edge_rows = rows_frame(
+        spark, catalog, "edge int, child_table string, parent_table string, key_columns string, skipped string")
     if parts:
         rows = reduce(lambda x, y: x.unionByName(y), parts)
+        whole = reduce(lambda x, y: x & y, [F.col(n).isNotNull() for n in names])
+        is_child = (F.col("edge_side") % 2) == 1
+        # incomplete keys only show that a side has rows, so they become one group per edge
+        rows = rows.select(
+            F.floor(F.col("edge_side") / 2).cast("int").alias("edge"), is_child.alias("is_child"),
+            whole.alias("whole"), *[F.when(whole, F.col(n)).alias(n) for n in names])
         keys = rows.groupBy("edge", "whole", *names).agg(
             F.bool_or("is_child").alias("child"), F.bool_or(~F.col("is_child")).alias("parent"))
         kid = F.col("whole") & F.col("child")
@@ -364,7 +367,7 @@ def fk_suite(tables: dict[str, DataFrame], edges: list[ForeignKey], stage: str)
         F.when(F.col("skipped").isNotNull(), F.col("skipped")).when(no_child, "skipped_empty_child")
         .when(no_parent, "skipped_empty_parent").otherwise("checked"))
     checked = status == "checked"
-    return counts.join(edge_rows, "edge", "right").select(
+    return edge_rows.join(F.broadcast(counts), "edge", "left").select(  # counts: one row per edge
         "child_table", "parent_table", "key_columns",
         F.when(checked, F.col("keys")).alias("distinct_child_keys"),
         F.when(checked, F.col("unmatched")).otherwise(0).alias("unmatched_rows"),

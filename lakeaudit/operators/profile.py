@@ -56,9 +56,8 @@ def missingness(df: DataFrame, table: str, approx: bool = False) -> DataFrame:
             F.coalesce(F.sum(F.when(has_value, F.col("_n"))), F.lit(0)).alias("filled"),
             F.count_if(has_value).alias("unique_count"),
         ).withColumn("column_name", name_at(names))
-    # the catalog side has one row per column of the schema
-    catalog = F.broadcast(_column_catalog(df, names))
-    joined = stats.join(catalog, "column_name", "right")
+    # both sides have one row per column of the schema
+    joined = _column_catalog(df, names).join(F.broadcast(stats), "column_name", "left")
     rows, filled = F.coalesce("_rows", F.lit(0)), F.coalesce("filled", F.lit(0))
     return joined.select(
         F.lit(table).alias("table_name"), "column_name", "dtype",
