@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import functools
 import os
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeaudit.functions.durable import shared_folder
@@ -55,6 +56,29 @@ def salted_join(many: DataFrame, one: DataFrame, keys: list[str], how: str = "in
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
 
 
+def gapless(df: DataFrame, group: str, order: Sequence[str], name: str, parts: int) -> DataFrame:
+    """Adds gapless numbers from 0 within each ``group``, however large a group is.
+
+    Rows are dealt into ``parts`` parts per group by the hash of all columns, equal rows are counted
+    first, every part is numbered alone and then moved by the total of the parts before it (a row per
+    group and part).
+    """
+    columns = list(df.columns)
+    known = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
+    known = known.withColumn("_part", F.pmod(F.xxhash64(*columns), F.lit(parts)).cast("int"))
+    before = Window.partitionBy(group, "_part").orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    known = known.withColumn(
+        "_start", F.sum("_copies").over(before.rowsBetween(Window.unboundedPreceding, -1)))
+    totals = known.groupBy(group, "_part").agg(F.sum("_copies").alias("_rows"))
+    earlier = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select(group, "_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_first"))
+    placed = known.join(starts, [group, "_part"])
+    first = F.col("_first") + F.coalesce("_start", F.lit(0))
+    copy = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1))
+    return placed.select(*columns, first.alias("_at"), copy.alias("_copy")).select(
+        *columns, (F.col("_at") + F.col("_copy")).alias(name))
+
+
 # ---------------------------------------------------------------- hashing of words and word windows
 
 _BASE = 0x9E3779B97F4A7C15 | 1

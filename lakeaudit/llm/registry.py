@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from lakeaudit.llm import sharding, topk
+from lakeaudit.llm import packing, sharding, topk
 
 QUERIES = {
     "op2_rendezvous_shards": sharding.op2,
+    "op8_bin_completion": packing.op8,
     "op10_tiled_top_k": topk.op10,
 }
 

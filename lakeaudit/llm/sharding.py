@@ -19,10 +19,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeaudit.llm.common import table
+from lakeaudit.llm.common import gapless, table
 
 _DIGITS = 13  # 52 bits, exact in a double
 
@@ -73,27 +73,9 @@ def assign(df: DataFrame, key: str, weights: Sequence[float], grown: Sequence[fl
     return out.withColumn(name, F.col("_best")["shard"].cast("int")).drop("_best")
 
 
-def slots(df: DataFrame, shard: str, order: Sequence[str], name: str = "slot", buckets: int = 1024) -> DataFrame:
-    """Adds gapless numbers from 0 within each shard.
-
-    Rows are dealt into ``buckets`` parts per shard by the hash of all columns, equal rows are
-    counted first, every part is numbered alone and then moved by the total of the parts before it
-    (a row per shard and part: shards x buckets rows).
-    """
-    columns = list(df.columns)
-    known = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
-    known = known.withColumn("_part", F.pmod(F.xxhash64(*columns), F.lit(buckets)).cast("int"))
-    before = Window.partitionBy(shard, "_part").orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    known = known.withColumn(
-        "_start", F.sum("_copies").over(before.rowsBetween(Window.unboundedPreceding, -1)))
-    totals = known.groupBy(shard, "_part").agg(F.sum("_copies").alias("_rows"))
-    earlier = Window.partitionBy(shard).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select(shard, "_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_first"))
-    placed = known.join(starts, [shard, "_part"])
-    first = F.col("_first") + F.coalesce("_start", F.lit(0))
-    copy = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1))
-    return placed.select(*columns, first.alias("_at"), copy.alias("_copy")).select(
-        *columns, (F.col("_at") + F.col("_copy")).alias(name))
+def slots(df: DataFrame, shard: str, order: Sequence[str], name: str = "slot", parts: int = 1024) -> DataFrame:
+    """Adds gapless numbers from 0 within each shard; see ``common.gapless``."""
+    return gapless(df, shard, order, name, parts)
 
 
 def write_shards(df: DataFrame, key: str, weights: Sequence[float], path: str, tasks_per_shard: int = 8) -> None:
