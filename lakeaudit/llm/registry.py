@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from lakeaudit.llm import packing, sharding, topk
+from lakeaudit.llm import packing, quality, sharding, topk
 
 QUERIES = {
     "op2_rendezvous_shards": sharding.op2,
+    "op3_host_rules": quality.op3,
     "op8_bin_completion": packing.op8,
     "op10_tiled_top_k": topk.op10,
 }
 
 ORACLES = {
+    "op3_host_rules": quality.OP3_SQL,
     "op10_tiled_top_k": topk.OP10_SQL,
 }
