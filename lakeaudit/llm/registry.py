@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from lakeaudit.llm import packing, quality, sharding, topk
+from lakeaudit.llm import language, packing, quality, sharding, topk
 
 QUERIES = {
     "op2_rendezvous_shards": sharding.op2,
     "op3_host_rules": quality.op3,
+    "op7_language_families": language.op7,
     "op8_bin_completion": packing.op8,
     "op10_tiled_top_k": topk.op10,
 }
