@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from lakeaudit.llm import language, packing, quality, sharding, topk
+from lakeaudit.llm import language, packing, pii, quality, sharding, topk
 
 QUERIES = {
+    "op1_lstm_crf_pii": pii.op1,
     "op2_rendezvous_shards": sharding.op2,
     "op3_host_rules": quality.op3,
     "op7_language_families": language.op7,
