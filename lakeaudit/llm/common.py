@@ -187,23 +187,25 @@ def window_starts(word_offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.n
 # ---------------------------------------------------------------- sorted integers in a binary cell
 
 def pack_sorted(values: np.ndarray) -> bytes:
-    """Sorted uint64 values as a first value and 4-byte gaps, or plainly where a gap is wider."""
+    """Sorted uint64 values as a first value and 4-byte gaps; wider gaps are listed before them."""
     if not len(values):
         return b""
     gaps = np.diff(values)
-    if len(gaps) and int(gaps.max()) < 1 << 32:
-        return b"g" + values[:1].tobytes() + gaps.astype(np.uint32).tobytes()
-    return b"p" + values.tobytes()
+    wide = np.flatnonzero(gaps >> np.uint64(32)).astype(np.uint32)
+    head = np.array([len(wide)], dtype=np.uint64).tobytes() + values[:1].astype(np.uint64).tobytes()
+    return head + wide.tobytes() + (gaps[wide] >> np.uint64(32)).astype(np.uint32).tobytes() + gaps.astype(np.uint32).tobytes()
 
 
 def unpack_sorted(blob: bytes | None) -> np.ndarray:
     if not blob:
         return np.zeros(0, dtype=np.uint64)
-    if blob[:1] == b"p":
-        return np.frombuffer(blob, dtype=np.uint64, offset=1)
-    gaps = np.frombuffer(blob, dtype=np.uint32, offset=9).astype(np.uint64)
-    first = np.frombuffer(blob, dtype=np.uint64, count=1, offset=1)
-    return np.concatenate([first, first + np.cumsum(gaps, dtype=np.uint64)])
+    head = np.frombuffer(blob, dtype=np.uint64, count=2)
+    n = int(head[0])
+    wide = np.frombuffer(blob, dtype=np.uint32, count=n, offset=16)
+    high = np.frombuffer(blob, dtype=np.uint32, count=n, offset=16 + 4 * n).astype(np.uint64)
+    gaps = np.frombuffer(blob, dtype=np.uint32, offset=16 + 8 * n).astype(np.uint64)
+    gaps[wide] += high << np.uint64(32)
+    return np.concatenate([head[1:], head[1] + np.cumsum(gaps, dtype=np.uint64)])
 
 
 def run_starts(ordered: np.ndarray) -> np.ndarray:

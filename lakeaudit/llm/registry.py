@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from lakeaudit.llm import language, packing, pii, quality, sharding, topk
+from lakeaudit.llm import language, packing, pii, quality, sharding, substrings, topk
 
 QUERIES = {
     "op1_lstm_crf_pii": pii.op1,
     "op2_rendezvous_shards": sharding.op2,
     "op3_host_rules": quality.op3,
+    "op4_block_anchors": substrings.op4,
     "op7_language_families": language.op7,
     "op8_bin_completion": packing.op8,
     "op10_tiled_top_k": topk.op10,
@@ -15,5 +16,6 @@ QUERIES = {
 
 ORACLES = {
     "op3_host_rules": quality.OP3_SQL,
+    "op4_block_anchors": substrings.OP4_SQL,
     "op10_tiled_top_k": topk.OP10_SQL,
 }
