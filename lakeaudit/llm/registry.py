@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakeaudit.llm import language, packing, pii, quality, sharding, substrings, topk
+from lakeaudit.llm import language, neardup, packing, pii, quality, sharding, substrings, topk
 
 QUERIES = {
     "op1_lstm_crf_pii": pii.op1,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_block_anchors": substrings.op4,
     "op7_language_families": language.op7,
     "op8_bin_completion": packing.op8,
+    "op9_odd_sketches": neardup.op9,
     "op10_tiled_top_k": topk.op10,
 }
 
