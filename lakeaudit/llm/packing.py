@@ -23,6 +23,7 @@ Defined results
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -34,14 +35,13 @@ from lakeaudit.llm.common import durable, gapless, ready, table, text_slices
 CAPACITY = 1024
 END_ID = 2
 #: Words kept with their ids in a worker; the cache is emptied when it is full.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 900_000
 _CACHED_CHARS = 64
 
 _CODERS: dict[str, tuple] = {}
 #: White space other than the space and the line end. Fixed values.
 _OTHER_SPACES = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
     chr(c) for c in range(0x2000, 0x200B))
-_PLAIN = re.compile(r" \S+")
 _CUT = re.compile(r"(?<=\S)(?=[ \n])")
 
 
@@ -68,43 +68,61 @@ def chunks(text: str) -> list[str]:
     return parts if parts[0] else parts[1:]
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letters that byte-level vocabularies write for bytes: printable bytes stand for themselves,
+    the others for the code points from 256 on, in order."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
 def _encoded_words(coder, words: list[str]) -> dict[str, bytes]:
-    """Ids of single chunks. Plain words are encoded many at once, told apart by two line ends, which
-    are a token of their own before a space; this costs the library a call per thousand words."""
-    plain = [w for w in words if _PLAIN.fullmatch(w)]
-    rest = [w for w in words if not _PLAIN.fullmatch(w)]
-    known = {w: np.array(x.ids, dtype="<u4").tobytes()
-             for w, x in zip(rest, coder.encode_batch_fast(rest, add_special_tokens=False))}
-    gap = coder.encode("\n\n", add_special_tokens=False).ids
-    for start in range(0, len(plain), 1000):
-        part = plain[start:start + 1000]
-        joined = coder.encode_batch_fast(["".join(w + "\n\n" for w in part) + " ."], add_special_tokens=False)
-        ids = np.array(joined[0].ids, dtype="<u4")
-        ends = np.flatnonzero(ids == gap[0])
-        if len(gap) != 1 or len(ends) != len(part):
-            raise ValueError("this vocabulary has no token for two line ends")
-        blob, at = ids.tobytes(), 0
-        for w, end in zip(part, ends.tolist()):
-            known[w] = blob[4 * at:4 * end]
-            at = end + 1
+    """Ids of single chunks. A run of letters is merged as one piece, so the library's merge model can
+    have it without the steps before it; other chunks take all steps."""
+    known, rest, merge = {}, [], coder.model.tokenize
+    for w in words:
+        if w[1:].isalpha() and w[0] == " ":
+            letters = w.encode().decode("latin-1").translate(_BYTE_LETTERS)
+            known[w] = array("I", [t.id for t in merge(letters)]).tobytes()
+        else:
+            rest.append(w)
+    for w, x in zip(rest, coder.encode_batch_fast(rest, add_special_tokens=False)):
+        known[w] = array("I", x.ids).tobytes()
     return known
 
 
+def _learn(coder, known: dict[str, bytes], missing: set[str]) -> None:
+    """Adds the ids of ``missing`` chunks. A letter before a mark ends a piece of text that is merged
+    alone, so a word with one mark behind it is the word's ids and the mark's."""
+    marked = {w for w in missing if w[-1] in ",." and len(w) > 2 and w[-2].isalpha()}
+    words = (missing - marked) | ({w[:-1] for w in marked} - known.keys())
+    known.update(_encoded_words(coder, list(words)))
+    marks = _encoded_words(coder, [",", "."])
+    for w in marked:
+        known[w] = known[w[:-1]] + marks[w[-1]]
+
+
 def encoded(path: str, texts: list[str]) -> list[bytes]:
     """The ids of each text as little-endian unsigned 32-bit integers."""
     coder, known = _coder(path)
     cut = [chunks(t) for t in texts]
-    missing = list({c for parts in cut for c in parts}.difference(known))
+    found = [list(map(known.get, parts)) for parts in cut]
+    gaps = [i for i, ids in enumerate(found) if None in ids]
+    missing = {c for i in gaps for c, ids in zip(cut[i], found[i]) if ids is None}
     if missing:
         if len(known) + len(missing) > CACHE_WORDS:
-            known.clear()
-            missing = list({c for parts in cut for c in parts})
-        known.update(_encoded_words(coder, missing))
-    out = [b"".join(map(known.__getitem__, parts)) for parts in cut]
-    for c in missing:
-        if len(c) > _CACHED_CHARS:
-            del known[c]
-    return out
+            known.clear()  # what this batch had found, it holds
+        _learn(coder, known, missing)
+        for i in gaps:
+            found[i] = [known[c] if ids is None else ids for c, ids in zip(cut[i], found[i])]
+        for c in missing:
+            if len(c) > _CACHED_CHARS:
+                known.pop(c, None)
+                known.pop(c[:-1], None)
+    return [b"".join(ids) for ids in found]
 
 
 def cut_lengths(total: int, capacity: int) -> list[int]:
