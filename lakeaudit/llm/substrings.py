@@ -183,7 +183,7 @@ def _least(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         "owners": pa.array([least[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary())})
 
 
-def _remove(window: int):
+def _remove(window: int, as_is: bool):
     def cut(key, rows: pa.Table, answers: pa.Table) -> pa.Table:
         batch = _Batch(rows, window)
         hashes = [unpack_sorted(b) for b in answers.column("windows").to_pylist()]
@@ -214,7 +214,7 @@ def _remove(window: int):
                 covered[start + int(i)] = gone[at[i]:at[i + 1]]
         kept = []
         for i, text in enumerate(texts.to_pylist()):
-            if text is not None:
+            if text is not None and (i in covered or not as_is):
                 words = text.encode("utf-8").split()
                 if i in covered:
                     words = [w for w, g in zip(words, covered[i].tolist()) if not g]
@@ -226,8 +226,12 @@ def _remove(window: int):
     return cut
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every row with its kept words as text, and ``n_words`` and ``n_removed``; ``window`` is even."""
+def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
+                   as_is: bool = False) -> DataFrame:
+    """Every row with its kept words as text, and ``n_words`` and ``n_removed``; ``window`` is even.
+
+    ``as_is`` leaves texts that lose no word as they are, white space included.
+    """
     if window % 2 or window < 4:
         raise ValueError("the window must be an even number of words, four at least")
     ready(docs.sparkSession)
@@ -247,7 +251,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     least = windows.groupBy("_range").applyInArrow(_least, "_batch long, windows binary, owners binary")
     fields = [f"_rest{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(rest)]
     schema = ", ".join(["_key long, _text string, n_words long, n_removed long", *fields])
-    done = by_batch.cogroup(least.groupBy("_batch")).applyInArrow(_remove(window), schema)
+    done = by_batch.cogroup(least.groupBy("_batch")).applyInArrow(_remove(window, as_is), schema)
     names = {c: f"_rest{i}" for i, c in enumerate(rest)} | {id_col: "_key", text_col: "_text"}
     kept = [F.col(names[c]).alias(c) for c in docs.columns if c in names]
     return done.select(*kept, "n_words", "n_removed")
