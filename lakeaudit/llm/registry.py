@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from lakeaudit.llm import language, neardup, packing, pii, quality, sharding, substrings, topk
+from lakeaudit.llm import language, neardup, packing, pieces, pii, quality, sharding, substrings, topk, urls
 
 QUERIES = {
     "op1_lstm_crf_pii": pii.op1,
     "op2_rendezvous_shards": sharding.op2,
     "op3_host_rules": quality.op3,
     "op4_block_anchors": substrings.op4,
+    "op5_temporal_lists": urls.op5,
+    "op6_shared_prefix": pieces.op6,
     "op7_language_families": language.op7,
     "op8_bin_completion": packing.op8,
     "op9_odd_sketches": neardup.op9,
@@ -18,5 +20,6 @@ QUERIES = {
 ORACLES = {
     "op3_host_rules": quality.OP3_SQL,
     "op4_block_anchors": substrings.OP4_SQL,
+    "op5_temporal_lists": urls.OP5_SQL,
     "op10_tiled_top_k": topk.OP10_SQL,
 }
