@@ -36,7 +36,7 @@ KINDS = ("email", "ip", "card", "phone")
 #: Documents in the sample that the tagger learns from, windows planted, passes over them.
 SAMPLE_DOCS = 1_500
 PLANTED = 1_400
-EPOCHS = 10
+EPOCHS = 8
 WINDOW, STRIDE, MARGIN = 80, 32, 24
 
 # The patterns are fixed by the contract of the query.

@@ -135,7 +135,7 @@ class Tagger:
             g["embed"] += seen.T @ (dz_all @ self.p[f"x{d}"].T).reshape(-1, embedded.shape[2])
         return float((z - gold_score).mean()), {k: v / n for k, v in g.items()}
 
-    def fit(self, ids: np.ndarray, gold: np.ndarray, epochs: int, batch: int = 128, rate: float = 0.02,
+    def fit(self, ids: np.ndarray, gold: np.ndarray, epochs: int, batch: int = 64, rate: float = 0.02,
             seed: int = 5) -> float:
         rng = np.random.default_rng(seed)
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
