@@ -2,11 +2,12 @@
 
 import pytest
 
-import __spark_entry__ as registry
+import __spark_entry__ as entry
 from tests.compare import connect, differences
+from workload import registry as own
 
 SF = "/root/testdata/sf0.001"
-CHECKED = sorted(registry.oracle_sql())
+CHECKED = sorted(own.ORACLES)  # the training-data queries have tests of their own
 MODELS = {"preprocess", "logistic_regression", "random_forest", "boosted_trees", "feature_importance"}
 
 
@@ -16,13 +17,14 @@ def con():
 
 
 def test_every_check_has_a_query():
-    assert set(CHECKED) <= set(registry.queries())
-    assert set(registry.queries()) - set(CHECKED) == MODELS | {"numeric_summary_approx"}
+    assert set(CHECKED) <= set(own.QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(own.QUERIES) - set(CHECKED) == MODELS | {"numeric_summary_approx"}
 
 
 @pytest.mark.parametrize("name", CHECKED)
 def test_result(spark, con, name):
-    assert differences(registry.queries()[name](spark, SF), con, registry.oracle_sql()[name]) == []
+    assert differences(own.QUERIES[name](spark, SF), con, own.ORACLES[name]) == []
 
 
 def plan(df):
@@ -34,30 +36,30 @@ def plan(df):
     "reconcile", "class_metrics", "error_analysis", "temporal_bounds", "contiguous_split", "schema_profile",
 ])
 def test_plan_stays_in_the_jvm_and_joins_on_keys(spark, name):
-    text = plan(registry.queries()[name](spark, SF))
+    text = plan(own.QUERIES[name](spark, SF))
     for bad in ("EvalPython", "CartesianProduct", "BroadcastNestedLoopJoin", "MapInPandas"):
         assert bad not in text
 
 
 @pytest.mark.parametrize("name", ["key_dedupe", "clean_table", "first_n_features", "latest_preferred"])
 def test_first_rows_are_limited_before_the_shuffle(spark, name):
-    text = plan(registry.queries()[name](spark, SF))
+    text = plan(own.QUERIES[name](spark, SF))
     assert text.count("WindowGroupLimit") >= 2 and "Partial" in text
 
 
 def test_scans_read_only_what_they_need(spark):
-    text = plan(registry.queries()["pit_features"](spark, SF))
+    text = plan(own.QUERIES["pit_features"](spark, SF))
     assert "PushedFilters: [IsNotNull(l_returnflag), EqualTo(l_returnflag,R)]" in text
     schema = text[text.index("ReadSchema"):]
     assert "l_comment" not in schema and "l_tax" not in schema
 
 
 def test_one_scan_per_audit(spark):
-    assert plan(registry.queries()["domain_violations"](spark, SF)).count("FileScan") == 2  # the feed unions two reads
-    assert plan(registry.queries()["key_duplicates"](spark, SF)).count("FileScan") == 3
+    assert plan(own.QUERIES["domain_violations"](spark, SF)).count("FileScan") == 2  # the feed unions two reads
+    assert plan(own.QUERIES["key_duplicates"](spark, SF)).count("FileScan") == 3
 
 
 def test_hot_keys_give_the_same_mart(spark, con, hot):
     """Every key with more than three rows takes the spread way; the mart does not change."""
     for name in ("order_feature_mart", "lap_features", "temporal_lag", "temporal_bounds", "error_analysis"):
-        assert differences(registry.queries()[name](spark, SF), con, registry.oracle_sql()[name]) == []
+        assert differences(own.QUERIES[name](spark, SF), con, own.ORACLES[name]) == []
