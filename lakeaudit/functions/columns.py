@@ -61,10 +61,6 @@ def parse_timestamp(value: Column, source_type: str) -> Column:
     return value.try_cast("timestamp")
 
 
-def null_or(value: Column, condition: Column) -> Column:
-    return value.isNull() | condition
-
-
 def pct(part: Column, whole: Column, digits: int = 4) -> Column:
     """``part`` as a percentage of ``whole``; 0 when the whole is empty."""
     share = F.try_divide(part.cast("double") * F.lit(100.0), whole.cast("double"))
@@ -82,12 +78,22 @@ def is_numeric(dtype: T.DataType) -> bool:
 def groupable(value: Column, dtype: T.DataType) -> Column:
     """A form of the value that can be a grouping key (maps and variants cannot)."""
     if isinstance(dtype, T.MapType):
-        return F.to_json(F.array_sort(F.map_entries(value)))
+        return F.to_json(_by_key(value))
     if isinstance(dtype, T.VariantType):
         return F.to_json(value)
     return value
 
 
+def _by_key(value: Column) -> Column:
+    """A map's entries in the order of their keys alone, as values may have no order."""
+    return F.transform(F.array_sort(F.map_keys(value)), lambda k: F.struct(k.alias("key"), value[k].alias("value")))
+
+
+def not_nan(value: Column, dtype: T.DataType) -> Column:
+    """The value with NaN as missing."""
+    return F.nanvl(value, F.lit(None).cast(dtype)) if isinstance(dtype, (T.FloatType, T.DoubleType)) else value
+
+
 def content_key(value: Column, dtype: T.DataType) -> Column:
     """A short stand-in for counting equal values: long text becomes its SHA-256 digest.
 
@@ -107,7 +113,7 @@ def as_text(value: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
         return (value + F.lit(0.0)).cast("string")  # -0.0 and 0.0 are one value
     if isinstance(dtype, T.MapType):
-        return F.to_json(F.array_sort(F.map_entries(value)))
+        return F.to_json(_by_key(value))
     if isinstance(dtype, NESTED_TYPES):
         return F.to_json(value)
     return value.cast("string")
@@ -129,10 +135,11 @@ def stacked(df: DataFrame, sets: Sequence[Sequence[Column]], names: Sequence[str
 
 def number_cells(df: DataFrame, names: Sequence[str], value: str) -> DataFrame:
     """One row per (row, listed column): the column's place in ``names`` and its value as double.
+    NaN counts as missing.
 
     The place is an int because it is part of every shuffled key; ``name_at`` gives the name.
     """
-    cells = stacked(df, [[quoted(n).try_cast("double")] for n in names], [value])
+    cells = stacked(df, [[F.nanvl(quoted(n).try_cast("double"), F.lit(None).cast("double"))] for n in names], [value])
     return cells.withColumnRenamed("place", "column_no")
 
 
@@ -152,7 +159,7 @@ def value_cells(df: DataFrame, names: Sequence[str]) -> DataFrame:
         if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)):
             sets.append([quoted(name).cast("bigint"), no_real, no_text])
         elif isinstance(dtype, (T.FloatType, T.DoubleType)):
-            sets.append([no_whole, quoted(name).cast("double"), no_text])
+            sets.append([no_whole, F.nanvl(quoted(name).cast("double"), F.lit(None).cast("double")), no_text])
         else:
             sets.append([no_whole, no_real, _digest(as_text(quoted(name), dtype))])
     return stacked(df, sets, CELL_PARTS).withColumnRenamed("place", "column_no")

@@ -1,83 +1,29 @@
-"""Groups too large for one task: found by counting, then sent a way that spreads them.
+"""Joins of a large side with a table that has a row per key, when one key may fill the large side.
 
-Adaptive execution splits a skewed join only when both inputs come straight out of a shuffle, and
-never splits a window, so hot keys are handled here where they matter.
+Adaptive execution splits a skewed join only when both inputs come straight out of a shuffle. Here
+every row picks one of a few copies of its partner by the hash of its other columns, so a hot key
+meets its partner in several tasks; no key is counted, and building the plan runs nothing.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lakeaudit.functions.durable import durable
+SALTS = 16
 
-LIMIT_CONF = "spark.lakeaudit.hotGroupRows"
-DEFAULT_LIMIT = 2_000_000
-MOST_HOT_GROUPS = 10_000
 
-
-def hot_group_rows(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get(LIMIT_CONF, str(DEFAULT_LIMIT)))
-
-
-def hot_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
-    """Keys held by more rows than a task should see, or None.
-
-    A hot group has more than ``spark.lakeaudit.hotGroupRows`` rows and more than one part in
-    10,000 of the table, so there are fewer than 10,000 of them whatever the size of the table.
-    """
-    limit = hot_group_rows(df)
-    if df.count() <= limit:  # a count without columns is answered from file footers
-        return None
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    large = sizes.where(F.col("_rows") > limit)
-    if large.isEmpty():
-        return None
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    hot = large.where(F.col("_rows") * MOST_HOT_GROUPS > total).select(*keys)
-    return durable(hot)
-
-
-def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    match = F.lit(True)
-    for k in keys:
-        match = match & left[k].eqNullSafe(right["_hot_" + k])
-    return match
-
-
-def split_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(usual rows, rows of hot groups)."""
-    listed = F.broadcast(hot.select(*[F.col(k).alias("_hot_" + k) for k in keys]))  # < 10,000 rows
-    match = _same_keys(df, listed, keys)
-    return df.join(listed, match, "left_anti"), df.join(listed, match, "left_semi")
-
-
-def by_group_size(
-    df: DataFrame,
-    keys: Sequence[str],
-    usual: Callable[[DataFrame], DataFrame],
-    spread: Callable[[DataFrame], DataFrame],
-) -> DataFrame:
-    """``usual`` for groups that fit a task, ``spread`` for hot ones; rows of both together."""
-    hot = hot_groups(df, keys)
-    if hot is None:
-        return usual(df)
-    cold_rows, hot_rows = split_hot(df, hot, keys)
-    return usual(cold_rows).unionByName(spread(hot_rows))
-
-
-def left_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """left ⟕ right for a right side with one row per key, also when a key fills the left side.
-
-    The few right rows of hot keys are broadcast, so their left rows stay where they are.
-    """
+def left_join(left: DataFrame, right: DataFrame, keys: Sequence[str], salts: int = SALTS) -> DataFrame:
+    """left ⟕ right for a right side with one row per key. Null keys match nothing."""
     keys = list(keys)
-    hot = hot_groups(left, keys)
-    if hot is None:
-        return left.join(right, keys, "left")
-    cold_rows, hot_rows = split_hot(left, hot, keys)
-    _, few = split_hot(right, hot, keys)
-    return cold_rows.join(right, keys, "left").unionByName(
-        hot_rows.join(F.broadcast(few), keys, "left"))  # at most one row per hot key
+    rest = [
+        F.col("`" + f.name.replace("`", "``") + "`") for f in left.schema.fields
+        if f.name not in keys and not isinstance(f.dataType, (T.MapType, T.VariantType))
+    ]
+    salt = F.pmod(F.xxhash64(*rest), F.lit(salts)) if rest else F.spark_partition_id().cast("long") % salts
+    salted = left.withColumn("_salt", salt.cast("int"))
+    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(copies, [*keys, "_salt"], "left").drop("_salt")

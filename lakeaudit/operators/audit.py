@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeaudit.functions.columns import (
-    as_text, content_key, dtype_of, name_at, number_cells, pct, present, quoted, rows_frame, stacked,
+    as_text, content_key, dtype_of, is_numeric, name_at, number_cells, pct, present, quoted, rows_frame, stacked,
 )
 from lakeaudit.functions.ordered import lagged
 from lakeaudit.functions.quantiles import placed_counts, quantile_columns
-from lakeaudit.functions.skew import by_group_size, left_join
+from lakeaudit.functions.skew import left_join
 from lakeaudit.spec import ForeignKey
 
 KEY_DUPLICATES_DDL = (
@@ -194,7 +194,7 @@ def row_time_checks(
         if "date" in c.lower():
             checks.append((
                 "unparseable_datetime", c, unparseable(df, c),
-                "Non-null values that failed datetime parsing",
+                f"{c}: text that is not a date",
             ))
     if start_end and len(present(df, start_end)) == 2:
         types = dict(df.dtypes)
@@ -220,14 +220,7 @@ def lag_decrease(
     rows = df.select(*columns).withColumn("_number", quoted(number).try_cast("double"))
     order = ([time] if time else []) + ["_number"]
 
-    def usual(part: DataFrame) -> DataFrame:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return part.withColumn("_before", F.lag("_number").over(w))
-
-    def spread(part: DataFrame) -> DataFrame:
-        return lagged(part, keys, order, "_number", "_before")
-
-    compared = by_group_size(rows, keys, usual, spread)
+    compared = lagged(rows, keys, order, "_number", "_before")
     return _anomaly_rows(compared, table, [(
         "lap_number_decrease_within_stint", number, F.col("_number") < F.col("_before"),
         "Number decreased when ordered within its group",
@@ -306,12 +299,24 @@ def _is_whole(dtype: T.DataType) -> bool:
     return isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
 
 
-def _key_cell(df: DataFrame, name: str, whole_only: bool) -> Column:
-    """The key as bigint where all keys are whole numbers, else as text that is equal for equal keys."""
+def _common_type(one: T.DataType, other: T.DataType) -> T.DataType | None:
+    """The number type in which keys of two types are compared, as a join on them would; else None."""
+    if _is_whole(one) and _is_whole(other):
+        return T.LongType()
+    if is_numeric(one) and is_numeric(other):
+        return one if one == other else T.DoubleType()
+    for number, text in ((one, other), (other, one)):
+        if is_numeric(number) and isinstance(text, T.StringType):
+            return T.LongType() if _is_whole(number) else T.DoubleType()
+    return None
+
+
+def _key_cell(df: DataFrame, name: str, common: T.DataType | None, whole_only: bool) -> Column:
+    """The key in the edge's common type: as bigint where all keys are whole numbers, else as text."""
     value, dtype = quoted(name), dtype_of(df, name)
-    if whole_only:
-        return value.cast("bigint")
-    return as_text(value.cast("bigint") if _is_whole(dtype) else value, dtype)
+    if common is not None:
+        value, dtype = value.try_cast(common), common
+    return value if whole_only else as_text(value, dtype)
 
 
 def fk_suite(tables: dict[str, DataFrame], edges: list[ForeignKey], stage: str) -> DataFrame:
@@ -339,8 +344,9 @@ def fk_suite(tables: dict[str, DataFrame], edges: list[ForeignKey], stage: str)
         catalog.append((no, edge.child, edge.parent, ",".join(edge.columns), status))
         if status:
             continue
+        common = [_common_type(dtype_of(frames[0], a), dtype_of(frames[1], b)) for a, b in zip(sides[0][1], sides[1][1])]
         for df, (table, columns, is_child) in zip(frames, sides):
-            keys = [_key_cell(df, c, whole_only) for c in columns]
+            keys = [_key_cell(df, c, t, whole_only) for c, t in zip(columns, common)]
             keys += [filler] * (width - len(keys))
             listed.setdefault(table, []).append([F.lit(2 * no + is_child), *keys])
     parts = [stacked(tables[t], cells, ["edge_side", *names]) for t, cells in listed.items()]

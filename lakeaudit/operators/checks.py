@@ -136,7 +136,3 @@ def save_reports(reports: dict[str, DataFrame], folder: str, prefix: str) -> dic
         paths[name] = f"{folder.rstrip('/')}/check_{prefix}_{name}.csv"
         csv_sink(df, paths[name])
     return paths
-
-
-def have(df: DataFrame, names: list[str]) -> bool:
-    return len(present(df, names)) == len(names)

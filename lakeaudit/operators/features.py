@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lakeaudit.functions.columns import pct, present, quoted
 from lakeaudit.functions.quantiles import exact_quantiles
-from lakeaudit.functions.skew import by_group_size, left_join
+from lakeaudit.functions.skew import left_join
 
 # Search terms per message count. A term matches anywhere in the upper-cased
 # "message flag" text, so a virtual safety car counts in both of its terms.
@@ -69,31 +69,14 @@ def grouped_with_median(
 ) -> DataFrame:
     """``groupBy(keys).agg(aggs)`` plus the exact median of ``value``.
 
-    Usual groups sort their rows inside the shuffle the grouping needs anyway: the middle one or
-    two values are averaged. Hot groups take counted values and range partitions instead.
+    The aggregates are combined before their shuffle. For the median only (key, value, count) rows
+    travel, through range partitions, so a group of any size is spread.
     """
+    plain = df.groupBy(*keys).agg(*aggs, *([F.percentile_approx(value, 0.5).alias(name)] if approx else []))
     if approx:
-        return df.groupBy(*keys).agg(*aggs, F.percentile_approx(value, 0.5).alias(name))
-
-    def usual(part: DataFrame) -> DataFrame:
-        ordered = Window.partitionBy(*keys).orderBy(F.col(value).asc_nulls_last())
-        ranked = part.withColumns({
-            "_nth": F.row_number().over(ordered),
-            "_filled": F.count(value).over(Window.partitionBy(*keys)),
-        })
-        twice = F.col("_nth") * 2
-        middle = (twice >= F.col("_filled")) & (twice <= F.col("_filled") + 2)
-        median = F.avg(F.when(middle & F.col(value).isNotNull(), F.col(value)))
-        return ranked.groupBy(*keys).agg(*aggs, median.alias(name))
-
-    def spread(part: DataFrame) -> DataFrame:
-        plain = part.groupBy(*keys).agg(*aggs)
-        medians = exact_quantiles(part, keys, value, {name: 0.5})
-        renamed = medians.select(*[F.col(k).alias("_m_" + k) for k in keys], name)
-        match = reduce(lambda a, b: a & b, [plain[k].eqNullSafe(renamed["_m_" + k]) for k in keys])
-        return plain.join(renamed, match, "left").drop(*["_m_" + k for k in keys])
-
-    return by_group_size(df, keys, usual, spread)
+        return plain
+    medians = exact_quantiles(df.select(*keys, value), keys, value, {name: 0.5})
+    return _join_same_keys(plain, medians, keys)
 
 
 def lap_features(
@@ -168,7 +151,7 @@ def position_features(
 
 
 def _join_same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Both sides were grouped on ``keys`` from the same rows, so the join moves no data."""
+    """Null-safe join of two sides that were grouped on ``keys`` from the same rows."""
     renamed = right.select(
         *[F.col(k).alias("_r_" + k) for k in keys], *[c for c in right.columns if c not in keys]
     )
@@ -219,22 +202,6 @@ def message_features(
 
 # --- joins ------------------------------------------------------------------------------------
 
-SMALL_LOOKUP_ROWS = 100_000
-
-
-def lookup_join(
-    facts: DataFrame, lookup: DataFrame, on: list[str], rows: int | None = None
-) -> DataFrame:
-    """facts ⟕ lookup with one lookup row per key.
-
-    A lookup counted as small is broadcast; a larger one is joined with hot keys set apart.
-    ``rows`` passes on a bound on its size that is already known.
-    """
-    if (rows if rows is not None else lookup.count()) <= SMALL_LOOKUP_ROWS:
-        return facts.join(F.broadcast(lookup), on, "left")
-    return left_join(facts, lookup, on)
-
-
 def lookup_backfill(
     df: DataFrame, lookup: DataFrame, key: str, value: str, lookup_key: str | None = None,
     lookup_value: str | None = None,
@@ -245,7 +212,7 @@ def lookup_backfill(
         F.min(quoted(lookup_value)).alias("_found")
     )
     own = quoted(value) if value in df.columns else F.lit(None)
-    return lookup_join(df, found, [key], lookup.count()).withColumn(value, F.coalesce(own, F.col("_found"))).drop("_found")
+    return left_join(df, found, [key]).withColumn(value, F.coalesce(own, F.col("_found"))).drop("_found")
 
 
 def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -258,7 +225,7 @@ def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
 def star(facts: DataFrame, dims: list[tuple[DataFrame, list[str]]]) -> DataFrame:
     """Left joins onto de-duplicated dimensions, each given with its key columns."""
     for dim, on in dims:
-        facts = lookup_join(facts, one_per_key(dim, on), on, dim.count())
+        facts = left_join(facts, one_per_key(dim, on), on)
     return facts
 
 
@@ -267,7 +234,7 @@ def feature_left_join(
 ) -> DataFrame:
     """base ⟕ features; unchanged when there is no feature table or it lacks the keys.
 
-    Where the keys are coarser than the base's grain, hot keys of the base are set apart.
+    Where the keys are coarser than the base's grain, hot keys of the base are spread.
     """
     if features is None or len(present(features, on)) < len(on):
         return base

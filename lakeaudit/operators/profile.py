@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeaudit.functions.columns import (
-    CELL_PARTS, as_text, content_key, dtype_of, groupable, is_numeric, name_at, number_cells, pct, quoted,
+    CELL_PARTS, as_text, content_key, dtype_of, groupable, is_numeric, name_at, not_nan, number_cells, pct, quoted,
     rows_frame, value_cells,
 )
 from lakeaudit.functions.quantiles import placed_counts, quantile_columns, value_counts
@@ -38,8 +38,8 @@ def missingness(df: DataFrame, table: str, approx: bool = False) -> DataFrame:
     if approx:
         aggs = [F.count(F.lit(1)).alias("_rows")]
         for i, n in enumerate(names):
-            cell = groupable(quoted(n), dtype_of(df, n))
-            aggs += [F.count(quoted(n)).alias(f"n{i}"), F.approx_count_distinct(cell).alias(f"d{i}")]
+            cell = groupable(not_nan(quoted(n), dtype_of(df, n)), dtype_of(df, n))
+            aggs += [F.count(not_nan(quoted(n), dtype_of(df, n))).alias(f"n{i}"), F.approx_count_distinct(cell).alias(f"d{i}")]
         cells = [
             F.struct(
                 F.lit(n).alias("column_name"), F.col("_rows"), F.col(f"n{i}").alias("filled"),
@@ -69,9 +69,9 @@ def missingness(df: DataFrame, table: str, approx: bool = False) -> DataFrame:
 
 def null_counts(df: DataFrame, table: str) -> DataFrame:
     """Missing counts only: a single aggregate without shuffling any cell."""
-    name = [n.replace("`", "``") for n in df.columns]
-    counts = df.selectExpr("count(*) as _rows", *[f"count(`{n}`) as f{i}" for i, n in enumerate(name)])
-    cells = ", ".join(f"struct({i} as _place, _rows - f{i} as missing_count, _rows)" for i in range(len(name)))
+    filled = [F.count(not_nan(quoted(n), dtype_of(df, n))).alias(f"f{i}") for i, n in enumerate(df.columns)]
+    counts = df.agg(F.count(F.lit(1)).alias("_rows"), *filled)
+    cells = ", ".join(f"struct({i} as _place, _rows - f{i} as missing_count, _rows)" for i in range(len(df.columns)))
     return counts.selectExpr(f"inline(array({cells}))").select(
         F.lit(table).alias("table_name"), name_at(df.columns, "_place").alias("column_name"),
         "missing_count", pct(F.col("missing_count"), F.col("_rows")).alias("missing_pct"),
@@ -135,7 +135,7 @@ def table_profile(df: DataFrame, table: str) -> DataFrame:
 
     Rows are grouped on their whole content once; the empty cells of a group are counted on its key.
     """
-    nulls = sum((quoted(c).isNull().cast("bigint") for c in df.columns), F.lit(0).cast("bigint"))
+    nulls = sum((not_nan(quoted(c), dtype_of(df, c)).isNull().cast("bigint") for c in df.columns), F.lit(0).cast("bigint"))
     keys = [content_key(quoted(c), dtype_of(df, c)).alias(c) for c in df.columns]
     groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
     width = F.lit(len(df.columns)).cast("bigint")

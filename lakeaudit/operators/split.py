@@ -64,13 +64,3 @@ def resolve_splits(
     return contiguous_split(df, order), {
         "split_method": "smoke_fallback", "evidence_tier": "smoke_wiring_only",
     }
-
-
-def assert_seasons(df: DataFrame, year: str, seasons: dict[str, list[int]]) -> None:
-    pairs = df.select("split", year).distinct()
-    wanted = None
-    for split, years in seasons.items():
-        hit = (F.col("split") == split) & F.col(year).isin(*years)
-        wanted = hit if wanted is None else wanted | hit
-    if not pairs.where(~wanted).isEmpty():
-        raise ValueError("a split holds a season that was not planned for it")

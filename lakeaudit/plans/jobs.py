@@ -6,7 +6,6 @@ their declared schemas, written once, and audited from what was written.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,7 +30,7 @@ def _save(frames: dict[str, DataFrame], folder: str | None) -> dict[str, DataFra
 
 def landed_lines(spark: SparkSession, root: str) -> DataFrame:
     """All landed lines with endpoint and file."""
-    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json*").text(root)
+    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", files.LINE_FILES).text(root)
     path = F.col("_metadata.file_path")
     return lines.select("value", path.alias("file_path"), files.path_endpoint(path).alias("endpoint"))
 
@@ -65,9 +64,9 @@ def read_bronze(spark: SparkSession, root: str, infer: bool = False) -> dict[str
     out = {}
     for name in race.TABLE_ORDER:
         schema = None if infer else race.RAW_DDL[name]
-        try:
+        if files.folder_exists(spark, files.endpoint_folder(spark, root, name)):
             out[name] = files.endpoint_scan(spark, root, name, schema)
-        except AnalysisException:
+        else:
             out[name] = spark.createDataFrame([], race.RAW_DDL[name] + ", source_file string")
     return out
 
@@ -120,7 +119,6 @@ def silver_reports(before: dict[str, DataFrame], after: dict[str, DataFrame]) ->
         "silver_temporal_anomaly_report": staged(temporal_report),
         "silver_referential_integrity_report": staged(
             lambda t, s: audit.fk_suite(t, race.FOREIGN_KEYS, s)),
-        "silver_data_quality_notes": race.quality_notes(log.sparkSession),
     }
 
 

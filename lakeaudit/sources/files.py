@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +13,8 @@ from lakeaudit.functions.columns import pct
 # Layout of landed files, <endpoint>/year=<Y>[/session_key=<K>]..., as folders or
 # as a file name; a writer partitioning by endpoint names its folder endpoint=<endpoint>.
 ENDPOINT_PATTERN = r"(?:^|/)(?:endpoint=)?([^/=]+)/year=\d+"
+LINE_FILES = "*.{json,jsonl,txt}*"  # files of JSON lines, as fetched or as landed
+NO_SESSION = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder value for a missing key
 YEAR_PATTERN = r"/year=(\d+)"
 SESSION_PATTERN = r"/session_key=(\d+)"
 PARENT_PATTERN = r"(?:^|/)(?:endpoint=)?([^/=]+)/[^/]+$"
@@ -112,12 +113,24 @@ def with_provenance(df: DataFrame) -> DataFrame:
     })
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, asked of the file system it names."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
+def endpoint_folder(spark: SparkSession, root: str, endpoint: str) -> str:
+    """The endpoint's folder: as ``land`` writes it, else under its plain name."""
+    landed = f"{root.rstrip('/')}/endpoint={endpoint}"
+    return landed if folder_exists(spark, landed) else f"{root.rstrip('/')}/{endpoint}"
+
+
 def endpoint_scan(
     spark: SparkSession, root: str, endpoint: str, schema: T.StructType | str | None = None,
     years: list[int] | None = None,
 ) -> DataFrame:
     """All files of one endpoint with ``source_file``; ``years`` narrows the listing itself."""
-    base = f"{root.rstrip('/')}/{endpoint}"
+    base = endpoint_folder(spark, root, endpoint)
     paths = [f"{base}/year={y}" for y in years] if years else base
     return json_scan(spark, paths, schema).withColumn("source_file", F.col("_metadata.file_path"))
 
@@ -126,15 +139,14 @@ def parquet_optional(
     spark: SparkSession, path: str, empty_ddl: str | None = None
 ) -> DataFrame | None:
     """The table at ``path``; else an empty table of the given schema, or None without one."""
-    try:
+    if folder_exists(spark, path):
         return spark.read.parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], empty_ddl) if empty_ddl else None
+    return spark.createDataFrame([], empty_ddl) if empty_ddl else None
 
 
 # --- inventory --------------------------------------------------------------------------------
 
-def file_inventory(spark: SparkSession, root: str, pattern: str = "*.json*") -> DataFrame:
+def file_inventory(spark: SparkSession, root: str, pattern: str = LINE_FILES) -> DataFrame:
     """One row per file: endpoint, year, session_key, path, size, modification time (UTC).
 
     A scan never visits empty files, so they are added from the scan's own file listing.
@@ -162,7 +174,7 @@ def _plain_path(path: Column) -> Column:
     return F.regexp_replace(path, r"^file:/+", "/")
 
 
-def rows_per_file(spark: SparkSession, root: str, pattern: str = "*.json*") -> DataFrame:
+def rows_per_file(spark: SparkSession, root: str, pattern: str = LINE_FILES) -> DataFrame:
     """Inventory with the number of non-blank lines, counted in one scan of all files."""
     lines = _reader(spark).option("pathGlobFilter", pattern).text(root).select(
         "value", F.col("_metadata.file_path").alias("file_path")
@@ -233,19 +245,25 @@ def empty_table_sink(spark: SparkSession, ddl: str, path: str) -> None:
 
 
 def jsonl_sink(df: DataFrame, path: str, slices: list[str] | None = None) -> None:
-    """JSON lines, optionally in one folder per slice.
+    """JSON lines, optionally in one folder per slice; slices that are not in ``df`` stay as they are.
 
-    The rebalance hint lets adaptive execution gather small slices and split hot ones by size.
+    The rows keep their slice keys, the folders hold copies of them. The rebalance hint lets adaptive
+    execution gather small slices and split hot ones by size.
     """
     if slices:
-        df.hint("rebalance", *slices).write.mode("overwrite").partitionBy(*slices).json(path)
+        folders = df.withColumns({f"_folder_{k}": F.col(k) for k in slices})
+        renamed = folders.withColumnsRenamed({k: f"_row_{k}" for k in slices}).withColumnsRenamed(
+            {f"_folder_{k}": k for k in slices})
+        rows = F.to_json(F.struct(*[renamed[f"_row_{c}" if c in slices else c].alias(c) for c in df.columns]))
+        renamed.select(rows.alias("value"), *slices).hint("rebalance", *slices).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy(*slices).text(path)
     else:
         df.write.mode("overwrite").json(path)
 
 
 def csv_sink(report: DataFrame, path: str) -> None:
-    """A report as one CSV file. Reports have a row per rule, column or group, never per record."""
-    report.coalesce(1).write.mode("overwrite").option("header", "true").csv(path)
+    """A report as CSV files, one per task that has rows; adaptive execution keeps small ones together."""
+    report.write.mode("overwrite").option("header", "true").csv(path)
 
 
 def csv_source(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
@@ -262,8 +280,3 @@ def run_manifest_sink(spark: SparkSession, path: str, entries: dict[str, object]
         else:
             cells.append(F.lit(value).alias(name))
     spark.range(1).select(*cells).coalesce(1).write.mode("overwrite").json(path)
-
-
-def for_display(df: DataFrame, max_rows: int = 500_000):
-    """Rows for a person to look at; audits never go through here."""
-    return df.limit(max_rows).toPandas()

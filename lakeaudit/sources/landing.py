@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeaudit.sources.files import jsonl_sink
+from lakeaudit.sources.files import NO_SESSION, jsonl_sink
 from lakeaudit.operators.reconcile import FAILED, MANIFEST_COLUMNS, SLICE_KEYS, SUCCESS
 
 
@@ -23,8 +23,8 @@ def landing_manifest(
     failed = F.col("_error").isNotNull()
     year, session = F.col("year").cast("string"), F.col("session_key").cast("string")
     where = F.concat(
-        F.lit(root.rstrip("/") + "/endpoint="), F.col("endpoint"), F.lit("/year="), F.coalesce(year, F.lit("")),
-        F.coalesce(F.concat(F.lit("/session_key="), session), F.lit("")),
+        F.lit(root.rstrip("/") + "/endpoint="), F.col("endpoint"), F.lit("/year="), F.coalesce(year, F.lit(NO_SESSION)),
+        F.lit("/session_key="), F.coalesce(session, F.lit(NO_SESSION)),
     )
     now = F.lit(landed_at) if landed_at else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     return rows.select(

@@ -16,9 +16,3 @@ def spark():
     session.stop()
 
 
-@pytest.fixture
-def hot(spark):
-    """Treat every group of more than three rows as too large for one task."""
-    spark.conf.set("spark.lakeaudit.hotGroupRows", "3")
-    yield
-    spark.conf.unset("spark.lakeaudit.hotGroupRows")

@@ -85,7 +85,7 @@ def test_median_usual(spark):
     assert got == medians(rows)
 
 
-def test_median_hot(spark, hot):
+def test_median_hot(spark):
     rows = skewed()
     out = {r["g"]: (r["m"], r["n"]) for r in _median_frame(spark, rows).collect()}
     assert {g: m for g, (m, _) in out.items()} == medians(rows)
@@ -112,6 +112,6 @@ def test_lag_decrease_usual(spark):
     assert got == want
 
 
-def test_lag_decrease_hot(spark, hot):
+def test_lag_decrease_hot(spark):
     got, want = _decreases(spark)
     assert got == want

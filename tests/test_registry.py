@@ -57,9 +57,3 @@ def test_scans_read_only_what_they_need(spark):
 def test_one_scan_per_audit(spark):
     assert plan(own.QUERIES["domain_violations"](spark, SF)).count("FileScan") == 2  # the feed unions two reads
     assert plan(own.QUERIES["key_duplicates"](spark, SF)).count("FileScan") == 3
-
-
-def test_hot_keys_give_the_same_mart(spark, con, hot):
-    """Every key with more than three rows takes the spread way; the mart does not change."""
-    for name in ("order_feature_mart", "lap_features", "temporal_lag", "temporal_bounds", "error_analysis"):
-        assert differences(own.QUERIES[name](spark, SF), con, own.ORACLES[name]) == []

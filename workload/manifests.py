@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from lakeaudit.functions.durable import scratch_path
 from lakeaudit.operators import checks, reconcile as ops
+from lakeaudit.operators.clean import clean
+from lakeaudit.plans import jobs, race
 from lakeaudit.sources import files, landing
 from workload.common import table
 
@@ -77,7 +81,7 @@ def largest_per_key(spark, sf_dir):
 
 
 def reconcile(spark, sf_dir):
-    return _reconciled(spark, sf_dir).drop("notes")
+    return _reconciled(spark, sf_dir)
 
 
 def reconcile_rollup(spark, sf_dir):
@@ -146,7 +150,7 @@ def schema_drift_flags(spark, sf_dir):
 def _bronze(spark, sf_dir, name):
     files_frame = _frame(spark, sf_dir, "files")
     return checks.bronze_checks(
-        files_frame, inventory=files_frame, reconciled=_reconciled(spark, sf_dir).drop("notes"))[name]
+        files_frame, inventory=files_frame, reconciled=_reconciled(spark, sf_dir))[name]
 
 
 def _bronze_query(name):
@@ -169,8 +173,9 @@ def _records(spark, sf_dir):
 
 
 def _land(spark, sf_dir):
+    """All slices; day 5 is a slice without a session."""
     root = scratch_path(spark, "landed")
-    records = _records(spark, sf_dir)
+    records = _records(spark, sf_dir).withColumn("session_key", F.nullif("session_key", F.lit(5)))
     manifest = landing.land(records, records.select(*ops.SLICE_KEYS).distinct(), root)
     return root, manifest
 
@@ -194,6 +199,35 @@ def landed_matches_manifest(spark, sf_dir):
         *ops.SLICE_KEYS, "manifest_record_count", "file_row_count", "reconciliation_status")
 
 
+def land_twice(spark, sf_dir):
+    """A first run lands the days up to 20, a second one lands day 20 again and the days after it."""
+    root = scratch_path(spark, "landed")
+    records = _records(spark, sf_dir)
+    for part in (records.where("session_key <= 20").withColumn("value", F.lit(-1.0)), records.where("session_key >= 20")):
+        landing.land(part, part.select(*ops.SLICE_KEYS).distinct(), root)
+    found = files.json_scan(spark, root, EVENT_DDL + ", session_key bigint")
+    return found.groupBy("session_key").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("value") == -1).alias("first_run"), F.sum("event_id").alias("ids"))
+
+
+def land_then_clean(spark, sf_dir):
+    """Events landed as position records, read back as bronze and cleaned."""
+    root = scratch_path(spark, "landed")
+    records = table(spark, sf_dir, "events").select(
+        F.lit("position").alias("endpoint"), F.year("ts").cast("bigint").alias("year"), F.day("ts").cast("bigint").alias("session_key"),
+        F.when(F.col("user_id") % 7 != 0, F.col("user_id")).alias("driver_number"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ssXXX").alias("date"), F.lit(1).cast("bigint").alias("meeting_key"),
+        (F.col("event_id") % 23 - 1).alias("position"))
+    landing.land(records, records.select(*ops.SLICE_KEYS).distinct(), root)
+    bronze = jobs.read_bronze(spark, root)
+    cleaned = clean(bronze["position"], race.SPECS["position"])
+    counts = [df.agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("rows")) for n, df in bronze.items() if n != "position"]
+    kept = cleaned.groupBy("session_key").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("driver_number").alias("drivers"), F.min("position").alias("least"))
+    empty = reduce(lambda a, b: a.unionByName(b), counts).agg(F.sum("rows").alias("others"))
+    return kept.withColumn("others", empty.scalar())
+
+
 def file_inventory(spark, sf_dir):
     root, _ = _land(spark, sf_dir)
     inventory = files.file_inventory(spark, root)
@@ -325,7 +359,10 @@ reconciled as (
          when file_exists then 'stale_file'
          when manifest_status = 'success' then 'missing_file'
          when endpoint = 'signup' then 'optional_endpoint'
-         else 'manifest_only' end as issue_type
+         else 'manifest_only' end as issue_type,
+    'scope=' || case when endpoint = 'signup' then 'optional' when endpoint = 'view' then 'global' else 'session' end
+      || ' manifest=' || coalesce(manifest_status, 'none') || ' promised=' || coalesce(cast(manifest_record_count as varchar), 'none')
+      || ' found=' || coalesce(cast(file_row_count as varchar), 'none') as notes
   from j
 )
 """
@@ -356,8 +393,9 @@ BLOCKING = (
     "manifest_success_missing_file",
 )
 SLICE_COUNTS = """
-    select event_type as endpoint, cast(year(ts) as bigint) as year, cast(day(ts) as bigint) as session_key,
+    select event_type as endpoint, cast(year(ts) as bigint) as year, cast(nullif(day(ts), 5) as bigint) as session_key,
            count(*) as {name} from events group by 1, 2, 3"""
+ALL_DAYS = SLICE_COUNTS.replace("nullif(day(ts), 5)", "day(ts)")
 SCHEMA_SQL = """
 lines as (
   select o_orderstatus as endpoint, year(o_orderdate) as f, o_orderkey, o_orderpriority,
@@ -411,6 +449,8 @@ QUERIES = {
     "file_inventory": file_inventory,
     "rows_per_file": rows_per_file,
     "path_metadata": path_metadata,
+    "land_twice": land_twice,
+    "land_then_clean": land_then_clean,
     "json_scan": json_scan,
     "strict_json_scan": strict_json_scan,
     "malformed_lines": malformed_lines,
@@ -479,7 +519,7 @@ ORACLES = {
     "check_reconciliation_by_endpoint": f"with {RECONCILED_SQL} select endpoint, reconciliation_status, count(*) as count from reconciled group by 1, 2",
     "check_reconciliation_issues": f"with {RECONCILED_SQL} select * from reconciled where reconciliation_status not in ('matched', 'optional_missing')",
     "landing_manifest": f"""
-        with s as ({SLICE_COUNTS.format(name='n')})
+        with s as ({ALL_DAYS.format(name='n')})
         select endpoint, year, session_key, case when session_key = 13 then 0 else n end as record_count,
                case when session_key = 13 then 'failed' else 'success' end as status,
                case when session_key = 13 then 'timeout' else '' end as error_message from s
@@ -497,13 +537,23 @@ ORACLES = {
                case event_type when 'view' then cast(2024 as bigint) when 'click' then 2023 when 'error' then 2022 end as year,
                case when event_type in ('view', 'click') then cast(day(ts) as bigint) end as session_key
         from events""",
+    "land_twice": """
+  select cast(day(ts) as bigint) as session_key, count(*) as rows, count(*) filter (where day(ts) < 20) as first_run,
+         cast(sum(event_id) as bigint) as ids from events group by 1""",
+    "land_then_clean": """
+  with k as (
+    select distinct cast(day(ts) as bigint) as session_key, user_id, date_trunc('second', ts) as at,
+           min(event_id % 23 - 1) over (partition by day(ts), user_id, date_trunc('second', ts)) as position
+    from events where user_id % 7 <> 0 and event_id % 23 - 1 > 0)
+  select session_key, count(*) as rows, cast(sum(user_id) as bigint) as drivers, min(position) as least, cast(0 as bigint) as others
+  from k group by 1""",
     "json_scan": """
         select event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') as ts, user_id, event_type, value, props from events""",
     "strict_json_scan": "select event_id, value from events",
     "malformed_lines": """select '{"event_id":' || event_id as value from events where value > 20""",
     "provenance_columns": """
         select event_id, event_type as source_endpoint, cast(year(ts) as bigint) as source_year,
-               cast(day(ts) as bigint) as source_session_key from events""",
+               cast(nullif(day(ts), 5) as bigint) as source_session_key from events""",
     "roundtrip_sinks": f"""
         with {RECONCILED_SQL}
         select 'parquet' as sink, count(*) as row_count, cast(sum(o_orderkey) as bigint) as total from orders
