@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from workload import audits, cleaning, evaluation, manifests, mart
+from workload import audits, cleaning, evaluation, manifests, mart, race
 
-MODULES = (mart, cleaning, audits, manifests, evaluation)
+MODULES = (mart, cleaning, audits, manifests, evaluation, race)
 
 QUERIES: dict = {}
 ORACLES: dict = {}
