@@ -2,26 +2,31 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def _local_only(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only on a single machine."""
+    """The folder named by ``spark.checkpoint.dir``.
+
+    Where that is unset, a folder of this application below ``hadoop.tmp.dir`` on the default file
+    system, removed when the application ends. A default file system that is a local disk only serves
+    a single machine.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not _local_only(spark):
+    context = spark.sparkContext
+    hadoop = context._jsc.hadoopConfiguration()
+    system = context._jvm.org.apache.hadoop.fs.FileSystem.get(hadoop)
+    if system.getUri().getScheme() == "file" and not context._jsc.isLocal():
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="lakeaudit-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    name = f"{hadoop.get('hadoop.tmp.dir')}/lakeaudit-{context.applicationId}-{uuid.uuid4().hex[:8]}"
+    folder = system.makeQualified(context._jvm.org.apache.hadoop.fs.Path(name))
+    system.deleteOnExit(folder)
+    spark.conf.set("spark.checkpoint.dir", folder.toString())
+    return folder.toString()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

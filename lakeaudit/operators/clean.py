@@ -243,8 +243,8 @@ def rejected_records(log: DataFrame, table_names: list[str]) -> DataFrame:
         [(t, NOTHING_REJECTED_RULE, "No records rejected in this run", 0) for t in table_names],
         "table_name string, rule_id string, reason string, rejected_count bigint",
     )
-    any_removed = log.agg(F.coalesce(F.bool_or(F.col("rows_removed") > 0), F.lit(False))).scalar()
-    return removed.unionByName(none.where(~any_removed))
+    any_removed = log.agg(F.coalesce(F.bool_or(F.col("rows_removed") > 0), F.lit(False)))
+    return removed.unionByName(none.where(~any_removed.scalar()))
 
 
 def zero_fill(df: DataFrame, names: list[str]) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeaudit.functions.durable import durable
 from lakeaudit.operators import (
     audit, checks, clean as cleaning, evaluate, features as feat, govern, model, profile,
     reconcile as recon, report, split,
@@ -94,7 +95,7 @@ def silver_job(
 
 
 def silver_reports(before: dict[str, DataFrame], after: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Every audit of the cleaning, as lazy frames."""
+    """Every audit of the cleaning; the log and the profiles are stored once, the rest is lazy."""
     raw = {n: df.drop("source_file") for n, df in before.items()}
     kept = {n: df.drop("source_file") for n, df in after.items()}
 
@@ -104,8 +105,10 @@ def silver_reports(before: dict[str, DataFrame], after: dict[str, DataFrame]) ->
     def staged(fn) -> DataFrame:
         return fn(raw, "before").unionByName(fn(kept, "after"), allowMissingColumns=True)
 
-    log = audit.union_reports([cleaning.cleaning_log(df, race.SPECS[n]) for n, df in before.items()])
-    before_profiles, after_profiles = each(profile.table_profile, raw), each(profile.table_profile, kept)
+    # a row per rule or table, each read by two reports: stored once
+    log = durable(audit.union_reports([cleaning.cleaning_log(df, race.SPECS[n]) for n, df in before.items()]))
+    before_profiles = durable(each(profile.table_profile, raw))
+    after_profiles = durable(each(profile.table_profile, kept))
     return {
         "silver_cleaning_rules": log,
         "silver_rejected_records_summary": cleaning.rejected_records(log, list(before)),
@@ -232,7 +235,7 @@ def model_job(
     base = evaluate.stack_predictions(
         held_out, evaluate.baselines(rows, race.GRAIN), ["split", "y_true", *context])
     scored, importances, _ = model.train_all(rows, features, target, context, seed, only, overrides)
-    predictions = base.unionByName(scored)
+    predictions = durable(base.unionByName(scored))  # read by metrics, confusion and errors
     metrics = evaluate.class_metrics(predictions)
     is_base = F.col("model_name").isin(*evaluate.BASELINES)
     errors = evaluate.error_analysis(predictions)

@@ -162,6 +162,10 @@ def _bronze_query(name):
 EVENT_DDL = "event_id bigint, ts string, user_id bigint, event_type string, value double, props string"
 
 
+def slice_files(spark, sf_dir):
+    return _frame(spark, sf_dir, "files")
+
+
 def _records(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     return ev.select(
@@ -303,19 +307,6 @@ def roundtrip_sinks(spark, sf_dir):
     return out
 
 
-def layer_volume(spark, sf_dir):
-    """Rows and files of the landed feed, of two cleaned tables and of the mart."""
-    row_counts = _frame(spark, sf_dir, "files").select(F.col("endpoint").alias("entity"), "row_count")
-    silver = None
-    for name in ("orders", "lineitem"):
-        part = table(spark, sf_dir, name).agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("entity"), "row_count")
-        silver = part if silver is None else silver.unionByName(part)
-    gold = table(spark, sf_dir, "orders").agg(F.count(F.lit(1)).alias("row_count")).select(
-        F.lit("order_feature_mart").alias("entity"), "row_count")
-    return ops.volume_by_layer({"bronze": row_counts, "silver": silver, "gold": gold})
-
-
 def endpoint_row_counts(spark, sf_dir):
     return ops.rows_by_endpoint(_frame(spark, sf_dir, "files"))
 
@@ -456,7 +447,6 @@ QUERIES = {
     "malformed_lines": malformed_lines,
     "provenance_columns": provenance_columns,
     "roundtrip_sinks": roundtrip_sinks,
-    "layer_volume": layer_volume,
     "endpoint_row_counts": endpoint_row_counts,
     "first_sessions": first_sessions,
 }
@@ -560,14 +550,6 @@ ORACLES = {
         union all select 'csv', count(*), cast(sum(count) as bigint) from ({ROLLUP_SQL})
         union all select 'empty', 0, 0 union all select 'absent', 0, 0
         union all select 'json', count(*), cast(sum(event_id) as bigint) from events""",
-    "layer_volume": f"""
-        with {SLICES_SQL}
-        select 'bronze' as layer, endpoint as entity, cast(sum(row_count) as bigint) as row_count, count(*) as file_count
-        from files group by 2
-        union all select 'bronze', 'all_endpoints', cast(sum(row_count) as bigint), count(*) from files
-        union all select 'silver', 'orders', count(*), 1 from orders
-        union all select 'silver', 'lineitem', count(*), 1 from lineitem
-        union all select 'gold', 'order_feature_mart', count(*), 1 from orders""",
     "endpoint_row_counts": f"""
         with {SLICES_SQL} select endpoint, cast(sum(row_count) as bigint) as total_rows, count(*) as file_count
         from files group by 1""",

@@ -7,9 +7,14 @@ table is: types, which rows stay, and the order in which the first row of a key
 
 from __future__ import annotations
 
-from lakeaudit.operators import audit
+from functools import reduce
+
+from pyspark.sql import functions as F
+
+from lakeaudit.operators import audit, reconcile
 from lakeaudit.operators.clean import clean
 from lakeaudit.plans import race
+from workload.manifests import SLICES_SQL, slice_files
 from workload.common import sql_stable, stable_doubles, table
 
 SOURCES = ("region", "nation", "customer", "orders", "lineitem", "events")
@@ -273,3 +278,24 @@ RACE_DOUBLES = [
 ]
 QUERIES["race_mart"] = race_mart
 ORACLES["race_mart"] = f"select * replace ({sql_stable(RACE_DOUBLES)}) from ({RACE_MART_SQL})"
+
+
+def layer_volume(spark, sf_dir):
+    """Rows and files of the landed feed, rows of the ten cleaned tables and of the mart."""
+    def counted(df, name):
+        return df.agg(F.lit(name).alias("entity"), F.count(F.lit(1)).alias("row_count"))
+
+    silver = reduce(lambda a, b: a.unionByName(b), [counted(cleaned(spark, sf_dir, n), n) for n in race.TABLE_ORDER])
+    mart, _ = race.build_mart({n: cleaned(spark, sf_dir, n) for n in race.TABLE_ORDER})
+    return reconcile.volume_by_layer({
+        "bronze": slice_files(spark, sf_dir).select(F.col("endpoint").alias("entity"), "row_count"),
+        "silver": silver, "gold": counted(mart, "driver_race_feature_mart")})
+
+
+QUERIES["layer_volume"] = layer_volume
+ORACLES["layer_volume"] = f"""
+with {SLICES_SQL}, {_CLEANED}
+select 'bronze' as layer, endpoint as entity, cast(sum(row_count) as bigint) as row_count, count(*) as file_count from files group by 2
+union all select 'bronze', 'all_endpoints', cast(sum(row_count) as bigint), count(*) from files
+{' '.join(f"union all select 'silver', '{n}', count(*), 1 from {n}" for n in race.TABLE_ORDER)}
+union all select 'gold', 'driver_race_feature_mart', count(*), 1 from ({RACE_MART_SQL})"""
