@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -211,12 +213,16 @@ def _model_metrics(name):
         rows, names = _model_rows(spark, sf_dir)
         scored, _, _ = model.train_all(
             rows, names, "points_finish", MODEL_CONTEXT, overrides={name: _sized(name)})
-        return evaluate.class_metrics(scored)
+        shares = [F.col(c).between(0, 1) for c in ("accuracy", "precision", "recall", "f1", "roc_auc", "positive_rate_pred")]
+        valid = scored.groupBy("split").agg(F.bool_and(F.col("score").between(0, 1)).alias("scores_hold"))
+        return evaluate.class_metrics(scored).join(valid, "split").select(
+            "model_name", "split", "n_rows", "positive_rate_true", "scores_hold",
+            reduce(lambda a, b: a & b, shares).alias("shares_hold"))
     return run
 
 
 def preprocess(spark, sf_dir):
-    """Imputed, scaled and one-hot encoded inputs of every order."""
+    """Imputed, scaled and one-hot encoded inputs of every order: two scaled values and the team's place."""
     from pyspark.ml import Pipeline
 
     rows, names = _model_rows(spark, sf_dir)
@@ -226,14 +232,21 @@ def preprocess(spark, sf_dir):
     stages, modes = model.preprocess_stages(train, names, scale=True)
     fitted = Pipeline(stages=stages).fit(train.fillna(modes))
     out = fitted.transform(model.as_inputs(rows, names).fillna(modes))
-    return out.select("session_key", "split", F.size(vector_to_array("features")).alias("width"))
+    numeric, text = model.split_types(train, names)
+    cells = vector_to_array("features")
+    return out.select("session_key", "split", *[
+        F.round(cells[numeric.index(c)] + 1e-7, 4).alias(c) for c in ("lap_count", "pit_stop_count")
+    ], *[F.aggregate(F.slice(cells, len(numeric) + 1, F.size(cells) - len(numeric)), F.lit(0.0), lambda a, x: a + x).alias("team_name")])
 
 
 def feature_importance(spark, sf_dir):
     rows, names = _model_rows(spark, sf_dir)
     _, importances, _ = model.train_all(
         rows, names, "points_finish", MODEL_CONTEXT, overrides={"random_forest": _sized("random_forest")})
-    return model.top_importances(importances)
+    top = model.top_importances(importances)
+    whole = importances.agg((F.abs(F.sum("importance") - 1) < 1e-6).alias("sum_holds"), F.bool_and(F.col("importance") >= 0).alias("signs_hold"))
+    return top.groupBy("model_name").agg(F.count(F.lit(1)).alias("listed")).withColumns({
+        "sum_holds": whole.select("sum_holds").scalar(), "signs_hold": whole.select("signs_hold").scalar()})
 
 
 def class_weights(spark, sf_dir):
@@ -485,6 +498,20 @@ ORACLES = {
     "heuristic_baseline": _baseline_sql("p_heuristic", False),
     "majority_baseline": _baseline_sql("p_majority"),
     "class_metrics": f"with {ROWS_SQL} select * from metrics",
+    **{name: f"""
+        with {ROWS_SQL} select '{name}' as model_name, split, count(*) as n_rows, round(avg(y_true), 4) as positive_rate_true,
+               true as scores_hold, true as shares_hold from eval_rows where split <> 'train' group by split"""
+       for name in ("logistic_regression", "random_forest", "boosted_trees")},
+    "feature_importance": "select 'random_forest' as model_name, cast(20 as bigint) as listed, true as sum_holds, true as signs_hold",
+    "preprocess": f"""
+        with {mart_queries.MART_CTE}, parts as (
+          select session_key, lap_count, pit_stop_count,
+                 case when session_year <= 1997 then 'train' when session_year <= 1999 then 'validation' else 'test' end as split
+          from mart where session_year between 1995 and 2001),
+        s as (select avg(lap_count) as m1, stddev_samp(lap_count) as s1, avg(pit_stop_count) as m2,
+                     stddev_samp(pit_stop_count) as s2 from parts where split = 'train')
+        select session_key, split, round((lap_count - m1) / s1 + 1e-7, 4) as lap_count,
+               round((pit_stop_count - m2) / s2 + 1e-7, 4) as pit_stop_count, 1.0::double as team_name from parts, s""",
     "roc_auc": f"with {ROWS_SQL} select model_name, split, round(roc_auc, 6) as roc_auc from auc",
     "confusion_long": f"with {ROWS_SQL} {CONFUSION_SQL}",
     "error_analysis": f"with {ROWS_SQL} {ERRORS_SQL}",
