@@ -18,7 +18,7 @@ def components(edges: DataFrame) -> DataFrame:
     edges = durable(edges.select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
     state = None
-    while True:
+    while not edges.isEmpty():
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         # large star: larger neighbours go to the least one

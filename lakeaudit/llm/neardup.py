@@ -15,7 +15,7 @@
    one component or is checked, whatever the size of a bucket.
 5. Links become components; each is named by its least key.
 
-With 32 bands of 4 samples a pair of similarity 0.8 shares no band with a chance of 5e-8.
+With 24 bands of 3 samples a pair of similarity 0.8 shares no band with a chance of 3e-8.
 
 Defined results
   * Words are lower-cased (A to Z) and split at white space. A text with fewer words than a shingle
@@ -35,13 +35,15 @@ from pyspark.sql import functions as F
 from lakeaudit.llm.common import durable, mix, ready, salted_join, table, text_slices, window_hashes, word_hashes
 from lakeaudit.llm.components import components
 
-BANDS, ROWS = 32, 4
-SAMPLES = BANDS * ROWS
+BANDS, ROWS = 24, 3
+SAMPLES = 128
 SKETCH_BITS = 512
 #: Nodes of a block when parts of a bucket are compared with each other.
 BLOCK_NODES = 512
 #: Pairs with one hub that are confirmed together.
 HUB_PAIRS = 256
+#: Up to so many rows of two numbers (some 40 MB when hashed) a table is sent to every executor.
+BROADCAST_ROWS = 1_000_000
 
 _SEEDS = np.random.default_rng(23).integers(0, 2**32, (2, SAMPLES), dtype=np.uint64).astype(np.uint32)
 _SEEDS[0] |= 1
@@ -85,7 +87,7 @@ def samples(flat: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def bands(sample: np.ndarray) -> np.ndarray:
-    wide = sample.astype(np.uint64).reshape(len(sample), BANDS, ROWS)
+    wide = sample[:, :BANDS * ROWS].astype(np.uint64).reshape(len(sample), BANDS, ROWS)
     key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (len(sample), BANDS))
     for r in range(ROWS):
         key = mix(key * np.uint64(0x9E3779B97F4A7C15) + wide[:, :, r])
@@ -144,7 +146,7 @@ def _signatures(key: str, size: int):
 
 
 def _full_sets(size: int):
-    """(node, sketch, full set) of texts that are the wanted node."""
+    """(node, full set) of texts that are the wanted node."""
     def build(batches):
         for batch in batches:
             wanted = batch.column(1).to_numpy()
@@ -153,8 +155,7 @@ def _full_sets(size: int):
                 nodes = _nodes(flat, at)
                 rows = np.flatnonzero(nodes == wanted[start:stop])
                 yield pa.record_batch({
-                    "node": pa.array(nodes[rows]), "sketch": batch.column(2).slice(start, stop - start).take(pa.array(rows)),
-                    "full": pa.array([flat[at[i]:at[i + 1]].tobytes() for i in rows], pa.binary())})
+                    "node": pa.array(nodes[rows]), "full": pa.array([flat[at[i]:at[i + 1]].tobytes() for i in rows], pa.binary())})
     return build
 
 
@@ -199,11 +200,37 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("node", "hub", "own", "theirs").mapInArrow(check, "a long, b long")
 
 
+_CELL = ("same", "place", "left_block", "right_block")
+
+
+def _likely(percent: int):
+    """Rows of a cell whose sketch allows the similarity to a row of the other side and another part."""
+    most = most_ones(percent / 100)
+
+    def flag(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        tables = []
+        if left.num_rows and right.num_rows:
+            a, b = _bits(left.column("sketch")), _bits(right.column("sketch"))
+            a_part, b_part = left.column("part").to_numpy(), right.column("part").to_numpy()
+            seen, kept = np.zeros(len(a), bool), np.zeros(len(b), bool)
+            for i in range(len(b)):
+                near = (_ones(a, b[i][None]) <= most) & (a_part != b_part[i])
+                seen |= near
+                kept[i] = near.any()
+            for side, rows, mask in ((0, left, seen), (1, right, kept)):
+                picked = rows.filter(pa.array(mask)).select([*_CELL, "node", "part"])
+                tables.append(picked.append_column("side", pa.array(np.full(picked.num_rows, side, np.int32))))
+        if not tables:
+            tables = [left.slice(0, 0).select([*_CELL, "node", "part"]).append_column("side", pa.array([], pa.int32()))]
+        return pa.concat_tables(tables)
+    return flag
+
+
 def _across(percent: int):
-    """Links between rows of two sides (or within one), one per member of the right side and part."""
+    """Links between rows of the two sides of a cell, one per row of the right side and part of the left."""
     most = most_ones(percent / 100)
 
-    def compare(left: pa.Table, right: pa.Table, same: bool) -> pa.Table:
+    def compare(key, left: pa.Table, right: pa.Table) -> pa.Table:
         a, b = [], []
         if left.num_rows and right.num_rows:
             nodes, parts = left.column("node").to_numpy(), left.column("part").to_numpy()
@@ -212,7 +239,7 @@ def _across(percent: int):
                     right.column("node").to_pylist(), right.column("part").to_pylist(),
                     _bits(right.column("sketch")), right.column("full").to_pylist()):
                 ones = _ones(bits, sketch[None])
-                usable = np.flatnonzero((ones <= most) & (parts != part) & (~same | (nodes < node)))
+                usable = np.flatnonzero((ones <= most) & (parts != part))
                 mine, joined = np.frombuffer(blob, np.uint64), set()
                 for i in usable[np.argsort(ones[usable], kind="stable")]:
                     if parts[i] not in joined and alike(mine, np.frombuffer(full[i], np.uint64), percent):
@@ -220,14 +247,7 @@ def _across(percent: int):
                         a.append(node)
                         b.append(int(nodes[i]))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    def main(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        return compare(left, right, False)
-
-    def rest(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        return compare(left, right, True)
-
-    return main, rest
+    return compare
 
 
 def _own_columns(df: DataFrame) -> DataFrame:
@@ -235,37 +255,83 @@ def _own_columns(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).alias(c) for c in df.columns])
 
 
-def _still_apart(members: DataFrame, parts: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
-    """Links found in buckets whose members are in several parts; None if there is no such bucket."""
-    placed = members.join(parts, "node", "left").select("key", "node", F.coalesce("label", "node").alias("part"))
+def _blocks_to_compare(members: DataFrame, parts: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+    """(left, right): rows (cell, node, part) of the blocks that cover all pairs of bucket members in
+    different parts; None if every bucket is in one part."""
+    placed = members.join(parts, "node").select("key", "node", F.col("label").alias("part"))
     sizes = placed.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"))
     largest = sizes.groupBy("key").agg(F.max(F.struct("n", "part"))["part"].alias("main"), F.count(F.lit(1)).alias("parts"))
     split = durable(largest.where("parts > 1").select("key", "main"))
     if split.isEmpty():
         return None
-    outside = salted_join(placed, split, ["key"], salts=16).where("part <> main")
-    outside = durable(outside.select("key", "node", "part", "main"))
+    outside = durable(salted_join(placed, split, ["key"], salts=8).where("part <> main").select("key", "node", "part", "main"))
+    # members outside a bucket's largest part against all of that part
     mains = outside.select("main").distinct()
-    inside = placed.select("node", "part").distinct()
-    inside = salted_join(inside.withColumnRenamed("part", "main"), mains, ["main"], salts=16).withColumn("part", F.col("main"))
+    inside = placed.select("node", F.col("part").alias("main")).distinct()
+    inside = durable(salted_join(inside, mains, ["main"], salts=8))
     blocks = inside.groupBy("main").agg(F.ceil(F.count(F.lit(1)) / BLOCK_NODES).alias("blocks"))
-    inside = salted_join(inside, blocks, ["main"], salts=16).select(
-        "main", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"), "node", "part")
-    others = outside.select("main", "node", "part").distinct().join(blocks, "main").select(
-        "main", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "node", "part")
-    compare_main, compare_rest = _across(percent)
-    links = _own_columns(inside.join(sets, "node")).groupBy("main", "block").cogroup(
-        _own_columns(others.join(sets, "node")).groupBy("main", "block")).applyInArrow(compare_main, "a long, b long")
-    # members outside the largest part, with each other: blocks against blocks within a bucket
-    counts = outside.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK_NODES).alias("blocks"))
-    dealt = outside.join(counts, "key").select(
-        "key", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("own"), "node", "part").join(sets, "node")
-    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    left = dealt.withColumn("right_block", every).withColumnRenamed("own", "left_block")
-    right = dealt.withColumn("left_block", every).withColumnRenamed("own", "right_block")
-    by = ("key", "left_block", "right_block")
-    more = _own_columns(left).groupBy(*by).cogroup(_own_columns(right).groupBy(*by)).applyInArrow(compare_rest, "a long, b long")
-    return links.union(more)
+    first, every = F.lit(0).cast("long"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    left = salted_join(inside, blocks, ["main"], salts=8).select(
+        F.lit(False).alias("same"), F.col("main").alias("place"), F.pmod(F.xxhash64("node"), F.col("blocks")).alias("left_block"),
+        first.alias("right_block"), "node", F.col("main").alias("part"))
+    right = outside.select("main", "node", "part").distinct().join(blocks, "main").select(
+        F.lit(False).alias("same"), F.col("main").alias("place"), F.explode(every).alias("left_block"),
+        first.alias("right_block"), "node", "part")
+    # and against each other: blocks of a bucket's outside members against blocks
+    counts = outside.groupBy("key").agg(
+        F.ceil(F.count(F.lit(1)) / BLOCK_NODES).alias("blocks"), F.min("part").alias("low"), F.max("part").alias("high"))
+    dealt = outside.join(counts.where("low <> high"), "key").select(
+        F.lit(True).alias("same"), F.col("key").alias("place"), "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("own"),
+        "node", "part")
+    more_left = dealt.select("same", "place", F.col("own").alias("left_block"), F.explode(every).alias("right_block"), "node", "part")
+    more_right = dealt.select("same", "place", F.explode(every).alias("left_block"), F.col("own").alias("right_block"), "node", "part")
+    return left.union(more_left), right.union(more_right)
+
+
+def _still_apart(members: DataFrame, parts: DataFrame, sketches: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+    """Links between bucket members in different parts; None if there is nothing to compare."""
+    blocks = _blocks_to_compare(members, parts)
+    if blocks is None:
+        return None
+    left, right = (_own_columns(side.join(sketches.select("node", "sketch"), "node")).groupBy(*_CELL) for side in blocks)
+    likely = durable(left.cogroup(right).applyInArrow(
+        _likely(percent), "same boolean, place long, left_block long, right_block long, node long, part long, side int"))
+    if likely.isEmpty():
+        return None
+    whole = likely.join(sets, "node")
+    sides = (_own_columns(whole.where(F.col("side") == side).drop("side")).groupBy(*_CELL) for side in (0, 1))
+    left, right = sides
+    return left.cogroup(right).applyInArrow(_across(percent), "a long, b long")
+
+
+# ---------------------------------------------------------------- parts
+
+def _roots(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, label) from links (a, b) of at most one hub b per node a.
+
+    A hub has more company than what it is hub of (or as much and a larger number), so the links form
+    trees; every round halves the way to a tree's root.
+    """
+    way = durable(nodes.join(links.select(F.col("a").alias("node"), F.col("b").alias("up")), "node", "left").select(
+        "node", F.coalesce("up", "node").alias("up")))
+    while True:
+        above = way.select(F.col("node").alias("up"), F.col("up").alias("top"))
+        longer = durable(salted_join(way, above, ["up"], salts=8))
+        if longer.where("up <> top").isEmpty():
+            return way.withColumnRenamed("up", "label")
+        way = longer.select("node", F.col("top").alias("up"))
+
+
+def _merged(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """The parts (node, label) after joining those that ``links`` (a, b) connect."""
+    ends = links.join(parts.select(F.col("node").alias("a"), F.col("label").alias("la")), "a").join(
+        parts.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b")
+    edges = durable(ends.select(F.col("la").alias("a"), F.col("lb").alias("b")).where("a <> b").distinct())
+    if edges.isEmpty():
+        return parts
+    joined = components(edges).select(F.col("node").alias("label"), F.col("label").alias("whole"))
+    return durable(salted_join(parts, joined, ["label"], "left", salts=8).select(
+        "node", F.coalesce("whole", "label").alias("label")))
 
 
 # ---------------------------------------------------------------- the operator
@@ -278,42 +344,42 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     signed = durable(slim.mapInArrow(
         _signatures("_key", shingle), "_key long, n_shingles long, node long, bands array<long>, sketch binary"))
     linkable = signed.where(F.col("node").isNotNull() & F.col("_key").isNotNull())
-    nodes = durable(linkable.groupBy("node").agg(
-        F.min("_key").alias("first_key"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
-
-    banded = nodes.select("node", F.explode("bands").alias("key"))
-    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = durable(salted_join(banded, shared, ["key"], salts=8))
-    company = members.groupBy("node").agg(F.sum("n").alias("company"))
-    weighed = members.join(company, "node")
-    hubs = weighed.groupBy("key").agg(F.max(F.struct("company", "node"))["node"].alias("hub"))
-    starred = salted_join(members, hubs, ["key"], salts=8).where("node <> hub")
+    banded = linkable.select("node", F.explode("bands").alias("key"))
+    shared = banded.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("key")
+    members = durable(salted_join(banded, shared, ["key"], salts=8).distinct())
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    sized = durable(salted_join(members, sizes, ["key"], salts=8))
+    company = sized.groupBy("node").agg(F.sum("n").alias("company"))
+    hubs = sized.join(company, "node").groupBy("key").agg(F.max(F.struct("company", "node"))["node"].alias("hub"))
+    starred = salted_join(sized, hubs, ["key"], salts=8).where("node <> hub")
     pairs = starred.groupBy("node", "hub").agg(F.max("n").alias("n")).select(
         "node", "hub", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / HUB_PAIRS)).alias("block"))
 
-    involved = durable(company.select("node").join(nodes.select("node", "first_key", "sketch"), "node"))
-    texts = slim.join(involved.withColumnRenamed("first_key", "_key"), "_key").select("_text", "node", "sketch")
-    sets = texts.mapInArrow(_full_sets(shingle), "node long, sketch binary, full binary")
-    sets = durable(sets.groupBy("node").agg(F.first("sketch").alias("sketch"), F.first("full").alias("full")))
+    of_rows = linkable.groupBy("node").agg(F.min("_key").alias("first_key"), F.first("sketch").alias("sketch"))
+    involved = durable(of_rows.join(company.select("node"), "node"))
+    wanted = involved.select(F.col("first_key").alias("_key"), "node")
+    if involved.count() <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)  # then the texts of all other documents stay where they are
+    texts = slim.join(wanted, "_key").select("_text", "node")
+    sets = texts.mapInArrow(_full_sets(shingle), "node long, full binary").groupBy("node").agg(F.first("full").alias("full"))
+    sets = durable(sets.join(involved.select("node", "sketch"), "node"))
 
     likely = durable(_sketched(pairs, involved, percent))
     best = likely.groupBy("node").agg(F.min(F.struct("ones", "hub", "block")).alias("best"))
-    links = durable(_confirmed(best.select("node", "best.hub", "best.block"), sets, percent))
-    parts = components(links)
-    other = likely.join(parts.withColumnRenamed("label", "mine"), "node", "left")
-    other = salted_join(other, parts.select(F.col("node").alias("hub"), F.col("label").alias("its")), ["hub"], "left", 8)
-    apart = F.coalesce("mine", "node") != F.coalesce("its", "hub")
-    more = _confirmed(other.where(apart).select("node", "hub", "block"), sets, percent)
-    links = durable(links.union(more))
-    parts = components(links)
-    rest = _still_apart(members, parts, sets, percent)
+    first = _confirmed(best.select("node", "best.hub", "best.block"), sets, percent)
+    parts = _roots(involved.select("node"), first)
+    other = likely.join(parts.withColumnRenamed("label", "mine"), "node")
+    other = salted_join(other, parts.select(F.col("node").alias("hub"), F.col("label").alias("its")), ["hub"], salts=8)
+    parts = _merged(parts, _confirmed(other.where("mine <> its").select("node", "hub", "block"), sets, percent))
+    rest = _still_apart(members, parts, involved, sets, percent)
     if rest is not None:
-        parts = components(links.union(rest))
+        parts = _merged(parts, rest)
 
-    named = parts.join(nodes.select("node", "first_key"), "node")
+    nodes = linkable.groupBy("node").agg(F.min("_key").alias("first_key"))
+    named = parts.join(nodes, "node")
     least = named.groupBy("label").agg(F.min("first_key").alias("component_id"))
     joined = salted_join(named.select("node", "label"), least, ["label"], salts=16).select("node", "component_id")
-    of_node = nodes.select("node", "first_key").join(joined, "node", "left").select(
+    of_node = nodes.join(joined, "node", "left").select(
         "node", F.coalesce("component_id", "first_key").alias("component_id"))
     out = salted_join(signed.select("_key", "n_shingles", "node"), of_node, ["node"], "left", salts=16)
     component = F.when(F.col("_key").isNotNull(), F.coalesce("component_id", "_key"))
