@@ -8,7 +8,7 @@
    company over all bands (in a group of edited copies: what they were made from), so its pairs grow
    with its size and not with its square.
 3. Sketches drop pairs that cannot reach the similarity (five standard errors below it). Full sets
-   confirm the rest, each node's best hub first, the others only between parts still apart.
+   confirm each node's best hub; these links are trees.
 4. What is left: buckets whose members are still in several parts. There, every member outside the
    bucket's largest part is compared with all of that part, and with the other such members, in
    blocks of bounded size; sketches first, then full sets. So every pair that shares a band ends in
@@ -40,8 +40,8 @@ SAMPLES = 128
 SKETCH_BITS = 512
 #: Nodes of a block when parts of a bucket are compared with each other.
 BLOCK_NODES = 512
-#: Pairs with one hub that are confirmed together.
-HUB_PAIRS = 256
+#: Tasks over which the pairs of one hub are dealt.
+HUB_BLOCKS = 32
 #: Up to so many rows of two numbers (some 40 MB when hashed) a table is sent to every executor.
 BROADCAST_ROWS = 1_000_000
 
@@ -146,7 +146,7 @@ def _signatures(key: str, size: int):
 
 
 def _full_sets(size: int):
-    """(node, full set) of texts that are the wanted node."""
+    """(node, sketch, full set) of texts that are the wanted node."""
     def build(batches):
         for batch in batches:
             wanted = batch.column(1).to_numpy()
@@ -154,8 +154,12 @@ def _full_sets(size: int):
                 flat, at = _shingles(data, offsets, size)
                 nodes = _nodes(flat, at)
                 rows = np.flatnonzero(nodes == wanted[start:stop])
+                held = [flat[at[i]:at[i + 1]] for i in rows]
+                sizes = np.array([len(h) for h in held], dtype=np.int64)
+                own = np.concatenate(held) if held else flat[:0]
+                sketch = odd_sketches(samples(own, np.concatenate([[0], np.cumsum(sizes)])))
                 yield pa.record_batch({
-                    "node": pa.array(nodes[rows]), "full": pa.array([flat[at[i]:at[i + 1]].tobytes() for i in rows], pa.binary())})
+                    "node": pa.array(nodes[rows]), "sketch": pa.array([x.tobytes() for x in sketch], pa.binary()), "full": pa.array([flat[at[i]:at[i + 1]].tobytes() for i in rows], pa.binary())})
     return build
 
 
@@ -169,11 +173,12 @@ def _ones(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64)
 
 
-def _with_hub(pairs: DataFrame, what: DataFrame, column: str, own: str, of_hub: str) -> DataFrame:
-    """Adds ``column`` of both nodes of pairs (node, hub, block); a hub is sent once per block."""
-    hubs = pairs.select("hub", "block").distinct().join(
-        what.select(F.col("node").alias("hub"), F.col(column).alias(of_hub)), "hub")
-    return pairs.join(hubs, ["hub", "block"]).join(what.select("node", F.col(column).alias(own)), "node")
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Adds the full sets of both nodes of pairs (node, hub); a hub is sent once per block of its pairs."""
+    placed = pairs.withColumn("block", F.pmod(F.xxhash64("node"), F.lit(HUB_BLOCKS)))
+    hubs = placed.select("hub", "block").distinct().join(
+        sets.select(F.col("node").alias("hub"), F.col("full").alias("theirs")), "hub")
+    return placed.join(hubs, ["hub", "block"]).join(sets.select("node", F.col("full").alias("own")), "node")
 
 
 def _sketched(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
@@ -184,8 +189,9 @@ def _sketched(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     def ones(a: pa.Array, b: pa.Array) -> pa.Array:
         return pa.array(_ones(_bits(a), _bits(b)) if len(a) else np.zeros(0, np.int64))
 
-    both = _with_hub(pairs, sketches, "sketch", "own", "theirs")
-    return both.select("node", "hub", "block", ones("own", "theirs").alias("ones")).where(F.col("ones") <= most)
+    theirs = sketches.select(F.col("node").alias("hub"), F.col("sketch").alias("theirs"))
+    both = salted_join(pairs, theirs, ["hub"], salts=8).join(sketches.select("node", F.col("sketch").alias("own")), "node")
+    return both.select("node", "hub", ones("own", "theirs").alias("ones")).where(F.col("ones") <= most)
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -196,7 +202,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             good = [alike(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in zip(a, b)]
             yield pa.record_batch({"a": batch.column("node"), "b": batch.column("hub")}).filter(pa.array(good, pa.bool_()))
 
-    both = _with_hub(pairs, sets, "full", "own", "theirs")
+    both = _with_sets(pairs, sets)
     return both.select("node", "hub", "own", "theirs").mapInArrow(check, "a long, b long")
 
 
@@ -256,44 +262,44 @@ def _own_columns(df: DataFrame) -> DataFrame:
 
 
 def _blocks_to_compare(members: DataFrame, parts: DataFrame) -> tuple[DataFrame, DataFrame] | None:
-    """(left, right): rows (cell, node, part) of the blocks that cover all pairs of bucket members in
+    """(left, right): rows (cell, node, part, sketch) of the blocks that cover all pairs of bucket members in
     different parts; None if every bucket is in one part."""
-    placed = members.join(parts, "node").select("key", "node", F.col("label").alias("part"))
+    placed = members.join(parts, "node").select("key", "node", F.col("label").alias("part"), "sketch")
     sizes = placed.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"))
     largest = sizes.groupBy("key").agg(F.max(F.struct("n", "part"))["part"].alias("main"), F.count(F.lit(1)).alias("parts"))
     split = durable(largest.where("parts > 1").select("key", "main"))
     if split.isEmpty():
         return None
-    outside = durable(salted_join(placed, split, ["key"], salts=8).where("part <> main").select("key", "node", "part", "main"))
+    outside = durable(salted_join(placed, split, ["key"], salts=8).where("part <> main").select("key", "node", "part", "main", "sketch"))
     # members outside a bucket's largest part against all of that part
     mains = outside.select("main").distinct()
-    inside = placed.select("node", F.col("part").alias("main")).distinct()
+    inside = placed.select("node", F.col("part").alias("main"), "sketch").distinct()
     inside = durable(salted_join(inside, mains, ["main"], salts=8))
     blocks = inside.groupBy("main").agg(F.ceil(F.count(F.lit(1)) / BLOCK_NODES).alias("blocks"))
     first, every = F.lit(0).cast("long"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
     left = salted_join(inside, blocks, ["main"], salts=8).select(
         F.lit(False).alias("same"), F.col("main").alias("place"), F.pmod(F.xxhash64("node"), F.col("blocks")).alias("left_block"),
-        first.alias("right_block"), "node", F.col("main").alias("part"))
-    right = outside.select("main", "node", "part").distinct().join(blocks, "main").select(
+        first.alias("right_block"), "node", F.col("main").alias("part"), "sketch")
+    right = outside.select("main", "node", "part", "sketch").distinct().join(blocks, "main").select(
         F.lit(False).alias("same"), F.col("main").alias("place"), F.explode(every).alias("left_block"),
-        first.alias("right_block"), "node", "part")
+        first.alias("right_block"), "node", "part", "sketch")
     # and against each other: blocks of a bucket's outside members against blocks
     counts = outside.groupBy("key").agg(
         F.ceil(F.count(F.lit(1)) / BLOCK_NODES).alias("blocks"), F.min("part").alias("low"), F.max("part").alias("high"))
     dealt = outside.join(counts.where("low <> high"), "key").select(
         F.lit(True).alias("same"), F.col("key").alias("place"), "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("own"),
-        "node", "part")
-    more_left = dealt.select("same", "place", F.col("own").alias("left_block"), F.explode(every).alias("right_block"), "node", "part")
-    more_right = dealt.select("same", "place", F.explode(every).alias("left_block"), F.col("own").alias("right_block"), "node", "part")
+        "node", "part", "sketch")
+    more_left = dealt.select("same", "place", F.col("own").alias("left_block"), F.explode(every).alias("right_block"), "node", "part", "sketch")
+    more_right = dealt.select("same", "place", F.explode(every).alias("left_block"), F.col("own").alias("right_block"), "node", "part", "sketch")
     return left.union(more_left), right.union(more_right)
 
 
-def _still_apart(members: DataFrame, parts: DataFrame, sketches: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+def _still_apart(members: DataFrame, parts: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
     """Links between bucket members in different parts; None if there is nothing to compare."""
     blocks = _blocks_to_compare(members, parts)
     if blocks is None:
         return None
-    left, right = (_own_columns(side.join(sketches.select("node", "sketch"), "node")).groupBy(*_CELL) for side in blocks)
+    left, right = (_own_columns(side).groupBy(*_CELL) for side in blocks)
     likely = durable(left.cogroup(right).applyInArrow(
         _likely(percent), "same boolean, place long, left_block long, right_block long, node long, part long, side int"))
     if likely.isEmpty():
@@ -347,13 +353,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     banded = linkable.select("node", F.explode("bands").alias("key"))
     shared = banded.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("key")
     members = durable(salted_join(banded, shared, ["key"], salts=8).distinct())
-    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    sized = durable(salted_join(members, sizes, ["key"], salts=8))
-    company = sized.groupBy("node").agg(F.sum("n").alias("company"))
-    hubs = sized.join(company, "node").groupBy("key").agg(F.max(F.struct("company", "node"))["node"].alias("hub"))
-    starred = salted_join(sized, hubs, ["key"], salts=8).where("node <> hub")
-    pairs = starred.groupBy("node", "hub").agg(F.max("n").alias("n")).select(
-        "node", "hub", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / HUB_PAIRS)).alias("block"))
+    company = members.groupBy("node").agg(F.count(F.lit(1)).alias("company"))
+    hubs = members.join(company, "node").groupBy("key").agg(F.max(F.struct("company", "node"))["node"].alias("hub"))
+    pairs = salted_join(members, hubs, ["key"], salts=8).where("node <> hub").select("node", "hub").distinct()
 
     of_rows = linkable.groupBy("node").agg(F.min("_key").alias("first_key"), F.first("sketch").alias("sketch"))
     involved = durable(of_rows.join(company.select("node"), "node"))
@@ -361,22 +363,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     if involved.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)  # then the texts of all other documents stay where they are
     texts = slim.join(wanted, "_key").select("_text", "node")
-    sets = texts.mapInArrow(_full_sets(shingle), "node long, full binary").groupBy("node").agg(F.first("full").alias("full"))
-    sets = durable(sets.join(involved.select("node", "sketch"), "node"))
-
-    likely = durable(_sketched(pairs, involved, percent))
-    best = likely.groupBy("node").agg(F.min(F.struct("ones", "hub", "block")).alias("best"))
-    first = _confirmed(best.select("node", "best.hub", "best.block"), sets, percent)
-    parts = _roots(involved.select("node"), first)
-    other = likely.join(parts.withColumnRenamed("label", "mine"), "node")
-    other = salted_join(other, parts.select(F.col("node").alias("hub"), F.col("label").alias("its")), ["hub"], salts=8)
-    parts = _merged(parts, _confirmed(other.where("mine <> its").select("node", "hub", "block"), sets, percent))
-    rest = _still_apart(members, parts, involved, sets, percent)
+    sets = durable(texts.mapInArrow(_full_sets(shingle), "node long, sketch binary, full binary").groupBy("node").agg(
+        F.first("sketch").alias("sketch"), F.first("full").alias("full")))
+
+    likely = _sketched(pairs, involved, percent)
+    best = likely.groupBy("node").agg(F.min(F.struct("ones", "hub")).alias("best"))
+    parts = _roots(involved.select("node"), _confirmed(best.select("node", "best.hub"), sets, percent))
+    rest = _still_apart(members, parts.join(involved.select("node", "sketch"), "node"), sets, percent)
     if rest is not None:
         parts = _merged(parts, rest)
 
     nodes = linkable.groupBy("node").agg(F.min("_key").alias("first_key"))
-    named = parts.join(nodes, "node")
+    named = parts.join(involved.select("node", "first_key"), "node")
     least = named.groupBy("label").agg(F.min("first_key").alias("component_id"))
     joined = salted_join(named.select("node", "label"), least, ["label"], salts=16).select("node", "component_id")
     of_node = nodes.join(joined, "node", "left").select(
