@@ -65,12 +65,11 @@ def vectors(column: pa.Array):
 
 
 def linear_svm(x: np.ndarray, positive: np.ndarray, c: float = 10.0, epochs: int = 12) -> np.ndarray:
-    """Weights (the last is the bias) of an L2-loss SVM; both classes weigh the same in total."""
-    x = np.hstack([x, np.ones((len(x), 1), dtype=np.float32)])
+    """Weights of an L2-loss SVM; both classes weigh the same in total. The last column of ``x`` is 1."""
     y = np.where(positive, 1.0, -1.0)
     share = np.where(positive, 0.5 / max(positive.mean(), 1e-9), 0.5 / max(1 - positive.mean(), 1e-9))
     damp = 0.5 / (c * share)
-    square = (x.astype(np.float64) ** 2).sum(1) + damp
+    square = np.einsum("ij,ij->i", x, x).astype(np.float64) + damp
     alpha, w = np.zeros(len(x)), np.zeros(x.shape[1])
     order = np.random.default_rng(3)
     for _ in range(epochs):
@@ -179,11 +178,14 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "lang", ke
     languages = sorted(found["label"].unique())
     if not languages:
         return Model([], [], np.zeros((0, WIDTH + 1), dtype=np.float32))
-    x = np.stack([np.frombuffer(b, dtype=np.float16) for b in found["x"]]).astype(np.float32)
     y = found["label"].map({n: i for i, n in enumerate(languages)}).to_numpy()
     order = np.lexsort((found["x"].map(hash_of).to_numpy(), y))  # the same model for any order of rows
-    x, y, whole = x[order], y[order], found["whole"].to_numpy()[order]
-    groups = families(np.stack([x[(y == i) & whole].mean(0) if ((y == i) & whole).any() else x[y == i].mean(0)
+    y, whole, blobs = y[order], found["whole"].to_numpy()[order], found["x"].to_numpy()[order]
+    x = np.ones((len(y), WIDTH + 1), dtype=np.float32)  # one copy: this is most of what the driver holds
+    for i, blob in enumerate(blobs):
+        x[i, :WIDTH] = np.frombuffer(blob, dtype=np.float16)
+    del found, blobs
+    groups = families(np.stack([x[(y == i) & whole, :WIDTH].mean(0) if ((y == i) & whole).any() else x[y == i, :WIDTH].mean(0)
                                 for i in range(len(languages))]))
     family = np.zeros(len(languages), dtype=np.int64)
     for f, members in enumerate(groups):

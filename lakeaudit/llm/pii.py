@@ -33,10 +33,10 @@ from lakeaudit.llm.common import ready, table, text_slices
 from lakeaudit.llm.tagger import OTHER, OTHER_LETTER, PAD, Tagger
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents in the sample that the tagger learns from, windows planted, passes over them.
+#: Documents in the sample that the tagger learns from, windows planted, batches of training.
 SAMPLE_DOCS = 1_500
 PLANTED = 1_400
-EPOCHS = 8
+STEPS = 700
 WINDOW, STRIDE, MARGIN = 80, 32, 24
 
 # The patterns are fixed by the contract of the query.
@@ -350,7 +350,7 @@ def training_set(windows: list[tuple[str, list[Span]]], planted: int = PLANTED,
 
 
 def train(docs: DataFrame, text_col: str = "text", sample_docs: int = SAMPLE_DOCS, planted: int = PLANTED,
-          epochs: int = EPOCHS) -> Tagger:
+          steps: int = STEPS) -> Tagger:
     """A tagger fitted on at most ``sample_docs`` texts, chosen by a hash of the text."""
     ready(docs.sparkSession)
     texts = docs.where(F.col(text_col).isNotNull()).select(
@@ -362,7 +362,7 @@ def train(docs: DataFrame, text_col: str = "text", sample_docs: int = SAMPLE_DOC
         _sampled_windows, "window string, kinds array<string>, starts array<int>, ends array<int>")
     found = sorted((r["window"], list(zip(r["kinds"], r["starts"], r["ends"]))) for r in windows.collect())
     tagger = Tagger(_TAGS, _forbidden())
-    tagger.fit(*training_set(found, planted), epochs=epochs)
+    tagger.fit(*training_set(found, planted), steps=steps)
     return tagger
 
 

@@ -135,16 +135,16 @@ class Tagger:
             g["embed"] += seen.T @ (dz_all @ self.p[f"x{d}"].T).reshape(-1, embedded.shape[2])
         return float((z - gold_score).mean()), {k: v / n for k, v in g.items()}
 
-    def fit(self, ids: np.ndarray, gold: np.ndarray, epochs: int, batch: int = 64, rate: float = 0.02,
+    def fit(self, ids: np.ndarray, gold: np.ndarray, steps: int, batch: int = 64, rate: float = 0.02,
             seed: int = 5) -> float:
+        """Adam over ``steps`` batches, in passes over the windows in random order."""
         rng = np.random.default_rng(seed)
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         s = {k: np.zeros_like(v) for k, v in self.p.items()}
         step, loss = 0, 0.0
-        steps = epochs * -(-len(ids) // batch)
-        for _ in range(epochs):
+        while step < steps:
             order = rng.permutation(len(ids))
-            for at in range(0, len(ids), batch):
+            for at in range(0, min(len(ids), (steps - step) * batch), batch):
                 rows = order[at:at + batch]
                 loss, g = self.gradients(ids[rows], gold[rows])
                 step += 1

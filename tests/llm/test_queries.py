@@ -33,8 +33,7 @@ def test_pipeline_stages(spark, docs, no_docs, rows, monkeypatch, tmp_path):
     """Each stage's decisions take effect on the next one's input; awkward rows and empty tables pass."""
     from lakeaudit.llm import pii
 
-    monkeypatch.setattr(pii, "PLANTED", 300)
-    monkeypatch.setattr(pii, "train", lambda d, f=pii.train: f(d, planted=300, epochs=3))
+    monkeypatch.setattr(pii, "train", lambda d, f=pii.train: f(d, planted=300, steps=60))
     for label, frame in (("full", docs), ("none", no_docs)):
         counts, now = [], frame
         for name, stage in corpus_pipeline.STAGES:

@@ -265,7 +265,7 @@ def test_packed_documents(docs, no_docs, rows, spark):
 
 @pytest.fixture(scope="module")
 def tagger(spark):
-    return pii.train(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), sample_docs=200, planted=500, epochs=6)
+    return pii.train(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), sample_docs=200, planted=1000)
 
 
 def test_base_patterns():
