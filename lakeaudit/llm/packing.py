@@ -4,11 +4,14 @@
 a sequence and an offset. Pieces are counted per length, so the packing problem is a histogram with
 at most ``capacity`` entries, whatever the number of documents; it is solved by branch-and-bound:
 
-* the largest remaining length is completed by undominated fillings of the rest of its sequence,
-  fewest wasted tokens first, and a completion is repeated as often as the counts allow;
-* a branch is pruned once its waste exceeds what an improvement may waste;
+* the largest remaining length is completed by fillings of the rest of its sequence, of any number of
+  pieces, fewest wasted tokens first; a completion is repeated as often as the counts allow, and then
+  less often. Fillings are made as they are asked for; sums that the counts cannot make are never tried;
+* a branch is pruned once its waste exceeds what an improvement may waste, or if its rest was met before;
+* branches that pass over the fewest better-looking choices come first;
 * the incumbent starts as best-fit decreasing and is replaced by every better solution. The search
-  ends at the lower bound or after ``node_limit`` nodes; the best solution found then stands.
+  ends at the lower bound, with nothing left to try, or after ``node_limit`` nodes; the best solution
+  found then stands.
 
 The plan (completion, repetitions) is a table of at most a few thousand rows, as it depends on the
 number of lengths only. Pieces of one length are numbered without gaps in a distributed way, and a
@@ -24,6 +27,10 @@ from __future__ import annotations
 
 import re
 from array import array
+from bisect import bisect_right
+from collections.abc import Iterator
+from hashlib import blake2b
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -197,85 +204,142 @@ def best_fit(counts: np.ndarray, capacity: int) -> Plan:
     return [(content, n) for entries in rooms.values() for content, n in entries.items()]
 
 
-def _fits_into(small: tuple[int, ...], large: tuple[int, ...]) -> bool:
-    """Whether the items of ``small`` can be laid into the items of ``large`` (so ``large`` dominates)."""
-    if not small:
-        return True
-    head, rest = small[0], small[1:]
-    for i, room in enumerate(large):
-        if room >= head and _fits_into(rest, (*large[:i], room - head, *large[i + 1:])):
-            return True
-    return False
-
-
-def fillings(counts: np.ndarray, room: int, most: int) -> list[tuple[int, ...]]:
-    """Undominated fillings of ``room`` with up to three items, least waste first, at most ``most``."""
-    sizes = np.flatnonzero(counts[:room + 1])
-    if not len(sizes):
-        return [()]
-    largest = int(sizes[-1])
-    if largest == room:
-        return [(largest,)]  # dominates every other filling
-    fit = np.zeros(room + 1, dtype=np.int64)  # the largest size that still fits
-    fit[sizes] = sizes
-    fit = np.maximum.accumulate(fit)
-    found: list[tuple[int, ...]] = [(largest,)]
-
-    def pairs(space: int, top: int, fixed: tuple[int, ...]):
-        a = sizes[sizes <= min(space, top)]
-        b = fit[np.minimum(space - a, a)]
-        total = a + b
-        for i in np.argsort(-total, kind="stable")[:most]:
-            item = tuple(int(x) for x in (*fixed, a[i], b[i]) if x)
-            found.append(item)
-
-    pairs(room, room, ())
-    if sum(found[1]) < room:
-        for a in sizes[::-1][:4 * most]:
-            pairs(room - int(a), int(a), (int(a),))
-    allowed = [f for f in dict.fromkeys(found) if all(f.count(s) <= counts[s] for s in f)]
-    allowed.sort(key=lambda f: (room - sum(f), len(f), [-x for x in f]))
-    kept: list[tuple[int, ...]] = []
-    for f in allowed:
-        if len(kept) < most and not any(_fits_into(f, k) for k in kept):
-            kept.append(f)
-    return kept
-
-
-def bin_completion(counts: np.ndarray, capacity: int, node_limit: int = 6000, branches: int = 4) -> Plan:
+def _reachable(counts: np.ndarray, room: int) -> tuple[list[int], list[int]]:
+    """The sizes up to ``room``, ascending, and for every prefix of them the sums it can make, as bits."""
+    sizes = [int(s) for s in np.flatnonzero(counts[:room + 1]) if s]
+    whole, sums = (1 << (room + 1)) - 1, [1]
+    for s in sizes:
+        known, left, step = sums[-1], min(int(counts[s]), room // s), 1
+        while left:
+            step = min(step, left)
+            known |= (known << (s * step)) & whole
+            left, step = left - step, 2 * step
+        sums.append(known)
+    return sizes, sums
+
+
+def fillings(counts: np.ndarray, room: int) -> Iterator[tuple[int, ...]]:
+    """All fillings of ``room`` that the counts allow, of any number of items, least waste first and
+    then by descending lengths; made one by one as they are asked for.
+
+    An item as large as the room dominates every other filling and is the only one then.
+    """
+    sizes, sums = _reachable(counts, room)
+    if sizes and sizes[-1] == room:
+        yield (room,)
+        return
+
+    def exact(total: int, upto: int, begun: tuple[int, ...]) -> Iterator[tuple[int, ...]]:
+        if not total:
+            yield begun
+            return
+        for i in range(min(upto, bisect_right(sizes, total)) - 1, -1, -1):
+            if not sums[i + 1] >> total & 1:
+                return  # nor do shorter prefixes make it
+            s = sizes[i]
+            for n in range(min(int(counts[s]), total // s), 0, -1):
+                if sums[i] >> (total - n * s) & 1:
+                    yield from exact(total - n * s, i, (*begun, *(s,) * n))
+
+    for total in range(room, -1, -1):
+        if sums[-1] >> total & 1:
+            yield from exact(total, len(sizes), ())
+
+
+def _repetitions(most: int) -> Iterator[int]:
+    """Every number from ``most`` to 1: the most, one less, halves, then the others downwards."""
+    first = list(dict.fromkeys([most, *[most - 1] * (most > 1), *(most >> k for k in range(1, most.bit_length()))]))
+    yield from first
+    known = set(first)
+    yield from (n for n in range(most - 1, 0, -1) if n not in known)
+
+
+def _choices(left: np.ndarray, capacity: int, spare: int) -> Iterator[tuple[tuple[int, ...], int]]:
+    """Every (contents with the largest length, repetitions) that wastes at most ``spare``, by turns: the
+    next filling, and the next smaller repetition of each one before it."""
+    top = int(np.flatnonzero(left)[-1])
+    after = left.copy()
+    after[top] -= 1
+    source, begun = fillings(after, capacity - top), []
+    while source is not None or begun:
+        new = next(source, None) if source is not None else None
+        waste = capacity - top - sum(new or ())
+        if new is None or waste > spare:
+            source = None  # what follows wastes no less
+        else:
+            content = (top, *new)
+            most = min(int(left[s]) // content.count(s) for s in set(content))
+            most = min(most, spare // waste) if waste else most
+            begun.append((content, _repetitions(most)))
+        for entry in reversed(begun[:]):
+            times = next(entry[1], None)
+            if times is None:
+                begun.remove(entry)
+            else:
+                yield entry[0], times
+
+
+def lower_bound(counts: np.ndarray, capacity: int) -> int:
+    """Bins that any solution needs: the best of total over fullest bin, and lengths over half with
+    what does not fit beside them."""
+    counts = np.asarray(counts, dtype=np.int64)
+    tokens = counts * np.arange(capacity + 1)
+    total = int(tokens.sum())
+    if not total:
+        return 0
+    fullest = _reachable(counts, capacity)[1][-1].bit_length() - 1
+    many, much = np.cumsum(counts), np.cumsum(tokens)
+    least = np.arange(capacity // 2 + 1)  # lengths under ``least`` are left out
+    half = capacity // 2
+    alone = many[capacity] - many[capacity - least]
+    large, large_tokens = many[capacity - least] - many[half], much[capacity - least] - much[half]
+    small_tokens = much[half] - np.where(least > 0, much[least - 1], 0)
+    over = np.maximum(0, small_tokens - (large * capacity - large_tokens))
+    return max(-(-total // fullest), int((alone + large + -(-over // capacity)).max()))
+
+
+def bin_completion(counts: np.ndarray, capacity: int, node_limit: int = 6000) -> Plan:
     """(contents, repetitions) with as few bins as the search finds; ``counts[s]`` items of size s."""
     counts = np.asarray(counts, dtype=np.int64)
-    sizes = np.arange(capacity + 1)
-    total = int((counts * sizes).sum())
+    total = int((counts * np.arange(capacity + 1)).sum())
     best = best_fit(counts, capacity)
     bins = sum(n for _, n in best)
-    over_half = int(counts[capacity // 2 + 1:].sum())
-    bound = max(-(-total // capacity), over_half)
-    stack = [(counts, 0, 0, None)]
-    nodes = 0
-    while stack and bins > bound and nodes < node_limit:
+    bound = lower_bound(counts, capacity)
+    if bins <= bound:
+        return best
+    nodes, made, seen = 0, 0, {}
+    # (choices passed over, -sequences filled, running number, node): the fewest passed over go first
+    queue: list[tuple] = [(0, 0, 0, (counts, total, None, _choices(counts, capacity, (bins - 1) * capacity - total)))]
+    while queue and bins > bound and nodes < node_limit:
+        passed, used, _, (left, rest, path, choices) = heappop(queue)
+        used = -used
+        spare = (bins - 1 - used) * capacity - rest  # what an improvement may still waste
+        choice = next(choices, None) if spare >= 0 else None
+        if choice is None:
+            continue
         nodes += 1
-        left, used, waste, path = stack.pop()
-        rest = total - (used * capacity - waste)
-        if used + -(-rest // capacity) >= bins or waste > (bins - 1) * capacity - total:
+        made += 1
+        heappush(queue, (passed + 1, -used, made, (left, rest, path, choices)))
+        content, times = choice
+        spare -= times * (capacity - sum(content))
+        if spare < 0:
             continue
+        state = left.copy()
+        for s in set(content):
+            state[s] -= content.count(s) * times
+        done, way = used + times, (path, content, times)
+        rest -= times * sum(content)
         if not rest:
-            best, bins = [], used
-            while path:
-                path, content, times = path
+            best, bins = [], done
+            while way:
+                way, content, times = way
                 best.append((content, times))
             continue
-        top = int(np.flatnonzero(left)[-1])
-        after = left.copy()
-        after[top] -= 1
-        for f in reversed(fillings(after, capacity - top, branches)):
-            content = (top, *f)
-            need = {s: content.count(s) for s in content}
-            times = min(int(left[s]) // n for s, n in need.items())
-            state = left.copy()
-            for s, n in need.items():
-                state[s] -= n * times
-            stack.append((state, used + times, waste + times * (capacity - sum(content)), (path, content, times)))
+        key = blake2b(state.tobytes(), digest_size=16).digest()
+        if seen.get(key, bins) > done:
+            seen[key] = done
+            made += 1
+            heappush(queue, (passed, -done, made, (state, rest, way, _choices(state, capacity, spare))))
     return best
 
 

@@ -228,6 +228,34 @@ def test_bin_completion_is_optimal_on_small_cases():
         assert sum(n for _, n in plan) == fewest(sizes, capacity)
 
 
+def test_sequences_of_many_pieces_are_packed_without_gaps():
+    n = 60
+    counts = np.zeros(1025, int)
+    counts[210], counts[201] = 2 * n, 3 * n  # {210, 210, 201, 201, 201} is 1023 of 1024
+    assert sum(k for _, k in packing.best_fit(counts, 1024)) > n
+    assert sum(k for _, k in packing.bin_completion(counts, 1024)) == packing.lower_bound(counts, 1024) == n
+    rng = random.Random(31)
+    for kinds, pieces in ((2, 5), (1, 6), (1, 8)):  # perfect sequences, by construction
+        counts, bins = np.zeros(1025, int), 0
+        for _ in range(kinds):
+            cuts = sorted(rng.sample(range(60, 965, 7), pieces - 1))
+            content = np.diff([0, *cuts, 1024])
+            times = rng.randint(5, 40)
+            np.add.at(counts, content, times)
+            bins += times
+        plan = packing.bin_completion(counts, 1024)
+        assert np.array_equal(np.bincount([s for c, k in plan for s in c * k], minlength=1025), counts)
+        assert sum(k for _, k in plan) == bins
+
+
+def test_fillings_are_all_there_by_waste():
+    counts = np.bincount([3, 3, 4, 5, 1, 1, 1], minlength=20)
+    got = list(packing.fillings(counts, 11))
+    want = {(a, b, c, d) for a in range(2) for b in range(2) for c in range(3) for d in range(4) if 5 * a + 4 * b + 3 * c + d <= 11}
+    assert {tuple(f.count(s) for s in (5, 4, 3, 1)) for f in got} == want and len(got) == len(want)
+    assert [sum(f) for f in got] == sorted((sum(f) for f in got), reverse=True)
+
+
 def test_packed_documents(docs, no_docs, rows, spark):
     path = packing.public_path()
     cut = packing.pieces(docs, path, capacity=64)
