@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.compare import connect, differences
-from workload import registry as own
+from workload import evaluation, registry as own
 
 SF = "/root/testdata/sf0.001"
 CHECKED = sorted(own.ORACLES)  # the training-data queries have tests of their own
@@ -56,3 +56,25 @@ def test_scans_read_only_what_they_need(spark):
 def test_one_scan_per_audit(spark):
     assert plan(own.QUERIES["domain_violations"](spark, SF)).count("FileScan") == 2  # the feed unions two reads
     assert plan(own.QUERIES["key_duplicates"](spark, SF)).count("FileScan") == 3
+
+
+def test_models_and_sketches_give_whole_results(spark, monkeypatch):
+    """Queries without SQL give their values at the library's settings; the checks stand beside them."""
+    queries = entry.queries()
+    assert set(own.UNCHECKED) <= set(queries) and not set(own.UNCHECKED) & set(own.ORACLES)
+    assert {f"{name}_check" for name in own.UNCHECKED} <= set(own.ORACLES)
+    asked, fit = [], evaluation.model.train_all
+
+    def smaller(*args, only, overrides):
+        asked.append(overrides)
+        return fit(*args, only=only, overrides={only[0]: evaluation._sized(only[0])})
+
+    monkeypatch.setattr(evaluation.model, "train_all", smaller)
+    metrics = queries["random_forest"](spark, SF).collect()
+    assert {r["split"] for r in metrics} == {"validation", "test"}
+    assert all(0 <= r[c] <= 1 for r in metrics for c in ("accuracy", "precision", "recall", "f1", "roc_auc", "positive_rate_pred"))
+    top = queries["feature_importance"](spark, SF).collect()
+    assert len(top) == 20 and top[0]["importance"] > 0
+    assert asked == [None, None]  # no settings but the library's
+    summary = queries["numeric_summary_approx"](spark, SF)
+    assert {"mean", "std", "p01", "median", "p99"} <= set(summary.columns) and summary.count() > 1
