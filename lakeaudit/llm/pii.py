@@ -1,11 +1,14 @@
 """Personal data: fixed patterns, and a bidirectional LSTM-CRF that adds what they miss.
 
 ``find`` returns the spans of every whole text. Base spans come from four patterns. The tagger reads
-overlapping windows around every digit and at-sign, wherever it stands in the text (a span holds
-one of them by definition, so other stretches cannot hold a span); windows are decoded one by one,
+overlapping windows around every decimal digit of any script, at-sign of any width and word ``at``,
+wherever it stands in the text (what ``_passes`` lets through holds one of them, so other stretches
+cannot hold a span). It reads such digits and wide signs as their ASCII forms; windows are decoded one by one,
 pieces of a span that a window cut are joined, and all proposals of a text are reconciled at once:
 the non-overlapping set with the largest total certainty (weighted interval scheduling), beside the
-base spans. A proposal counts only if it passes the check of its kind (digits, Luhn sum, parts).
+base spans. A proposal counts only if it passes the check of its kind (digits, Luhn sum, parts). Emails
+may have ``(at)``, ``[at]`` or white space around the at-sign and ``(dot)`` for a dot; a bare word ``at``
+counts only with a bare or bracketed ``dot``, as ``at mail.com`` is also plain prose.
 
 ``train`` learns from labelled spans: windows of a bounded sample of documents with their base
 spans, and the same kinds of data written in other ways, planted into windows without any.
@@ -23,6 +26,8 @@ from __future__ import annotations
 
 import random
 import re
+import unicodedata
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +51,12 @@ _IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[0-9]")
-_TRIGGER = re.compile(r"[0-9@]")
+_TRIGGER = re.compile(r"[\d@\uff20\ufe6b]|(?<![^\W_])[A\uff21a\uff41][T\uff34t\uff54](?![^\W_])")
+_BRACKETED = r"\s*[(\[{{<]\s*{}\s*[)\]}}>]\s*"
+_BARE = r"\s+{}\s+"
+_AT = re.compile(_BRACKETED.format("at") + r"|\s*@\s*", re.IGNORECASE)
+_BARE_AT = re.compile(_BARE.format("at"), re.IGNORECASE)
+_DOT = re.compile(_BRACKETED.format("dot") + "|" + _BARE.format("dot"), re.IGNORECASE)
 
 Span = tuple[str, int, int]
 
@@ -58,6 +68,26 @@ def luhn(digits: str) -> bool:
         total += n - 9 * (n > 9)
     return total % 10 == 0
 
+_NAME, _LABEL = r"[A-Za-z0-9._%+-]", r"[A-Za-z0-9-]{1,63}"
+#: An email with its at-sign and dots in any form; proposals that touch one are also proposed as it whole.
+_FORM = re.compile(
+    rf"(?<!{_NAME}){_NAME}{{1,64}}(?:(?:{_AT.pattern}){_LABEL}(?:(?:\.|{_DOT.pattern}){_LABEL})+"
+    rf"|{_BARE.format('at')}{_LABEL}(?:(?:{_DOT.pattern}){_LABEL})+)", re.IGNORECASE)
+
+
+@lru_cache(4096)
+def _folded(char: str) -> str:
+    """A decimal digit of any script, or another form of an ASCII character, as that character."""
+    if char.isdecimal():
+        return str(unicodedata.decimal(char))
+    plain = unicodedata.normalize("NFKC", char)
+    return plain if len(plain) == 1 and plain.isascii() and not plain.isdigit() else char
+
+
+def fold(text: str) -> str:
+    """The text with such characters as ASCII, of the same length."""
+    return text if text.isascii() else "".join(map(_folded, text))
+
 
 def _digits(text: str) -> str:
     return "".join(_DIGITS.findall(text))
@@ -116,6 +146,7 @@ def _forbidden() -> np.ndarray:
 
 
 def characters(text: str) -> np.ndarray:
+    text = fold(text)
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
     ids = np.where(codes < 128, codes, OTHER).astype(np.int16)
     for i in np.flatnonzero(codes >= 128):
@@ -125,8 +156,8 @@ def characters(text: str) -> np.ndarray:
 
 
 def window_places(text: str) -> list[int]:
-    """Starts of windows so that every digit and at-sign has context on both sides, in steps of
-    ``STRIDE`` over stretches of them."""
+    """Starts of windows so that every digit, at-sign and word ``at`` has context on both sides, in steps
+    of ``STRIDE`` over stretches of them."""
     places: list[int] = []
     reach = -1
     for m in _TRIGGER.finditer(text):
@@ -179,9 +210,19 @@ def _proposals(tags: np.ndarray, sure: np.ndarray, start: int, length: int) -> l
     return found
 
 
+def _plain_email(text: str) -> str:
+    """The email with its at-sign and dots as signs."""
+    dotted = _DOT.sub(".", text)
+    if "@" in text or _AT.search(text) or dotted == text:
+        return _AT.sub("@", dotted, count=1)
+    return _BARE_AT.sub("@", dotted, count=1)
+
+
 def _passes(kind: str, text: str) -> bool:
+    text = fold(text)
     d = _digits(text)
     if kind == "email":
+        text = _plain_email(text.strip())
         local, _, domain = text.partition("@")
         return bool(local.strip()) and "." in domain.strip(". ") and not any(c.isspace() for c in text.strip())
     if kind == "ip":
@@ -198,8 +239,13 @@ def reconcile(text: str, proposals: list[tuple[str, int, int, float]], base: lis
     """The non-overlapping set of checked proposals with the largest total certainty.
 
     Pieces of one kind that overlap are also proposed as their union, which makes whole again what a
-    window's edge cut.
+    window's edge cut; emails also as the whole written form that they touch.
     """
+    emails = [p for p in proposals if p[0] == "email"]
+    if emails:
+        forms = [m.span() for m in _FORM.finditer(fold(text))]
+        proposals = proposals + [("email", c, d, w) for _, a, b, w in emails for c, d in forms
+                                 if a < d and c < b and (a, b) != (c, d)]
     weights: dict[Span, float] = {}
     for kind in KINDS:
         own = sorted(p for p in proposals if p[0] == kind)
@@ -303,7 +349,10 @@ def _planted(rng: random.Random) -> list[tuple[str, str]]:
             name = "".join(rng.choice("abcdefghijklmnoprstuvw") for _ in range(rng.randint(2, 9)))
             host = "".join(rng.choice("abcdefghilmnorstu") for _ in range(rng.randint(3, 8)))
             tail = rng.choice(("com", "org", "net", "de", "fr", "es"))
-            return kind, f"{name}{rng.choice(('', '.', '_', '.' + _number(rng, 2)))}@{host}{rng.choice('123456789')}.{tail}"
+            name += rng.choice(("", ".", "_", "." + _number(rng, 2), "." + name[::-1]))
+            at, dot = rng.choice((("@", "."), ("@", "."), (" @ ", "."), (" (at) ", " (dot) "), ("(at)", "(dot)"), ("[at]", "[dot]"),
+                                  (" [at] ", "."), (" (at) ", "."), (" at ", " dot "), (" at ", " dot ")))
+            return kind, f"{name}{at}{host}{rng.choice(('', *'123456789'))}{dot}{tail}"
         if kind == "ip":
             parts = [str(rng.randint(0, 255)) for _ in range(4)]
             return kind, rng.choice((".", ".", ".", "[.]", " . ", "-")).join(parts)
@@ -328,7 +377,7 @@ def training_set(windows: list[tuple[str, list[Span]]], planted: int = PLANTED,
         gold.append(_gold(spans, 0))
 
     for text, spans in windows:
-        if not spans and sum(c.isdigit() for c in text) >= 10:
+        if not spans and (sum(c.isdigit() for c in text) >= 10 or _AT.search(fold(text))):
             continue  # what the base patterns miss is not evidence that there is nothing
         add(text, spans)
     for _ in range(planted):
@@ -344,7 +393,7 @@ def training_set(windows: list[tuple[str, list[Span]]], planted: int = PLANTED,
         at = context.find(" ", rng.randrange(max(len(context), 1))) + 1
         junk = rng.choice((_number(rng, rng.randint(1, 6)), f"{_number(rng, 2)}.{_number(rng, 1)}",
                            f"20{_number(rng, 2)}-{_number(rng, 2)}-{_number(rng, 2)}", f"v{_number(rng, 1)}.{_number(rng, 2)}.{_number(rng, 1)}",
-                           f"{_number(rng, 2)}:{_number(rng, 2)}", f"@{rng.choice(plain).split()[0] if plain[0].split() else 'a'}"))
+                           f"{_number(rng, 2)}:{_number(rng, 2)}", "at the dot", f"at {rng.choice(plain).split(' ')[0]}.", f"@{rng.choice(plain).split()[0] if plain[0].split() else 'a'}"))
         add(context[:at] + junk + " " + context[at:], [])
     return np.stack(ids).astype(np.int64), np.stack(gold).astype(np.int64)
 

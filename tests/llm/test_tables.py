@@ -341,6 +341,41 @@ def test_reconciling_joins_cut_pieces_and_picks_the_best_set():
     assert pii.reconcile(text, proposals, [("ip", 24, 32)]) == [("card", *card)]
 
 
+def test_other_forms_pass_and_are_read():
+    for text in ("bo.li (at) mail (dot) com", "bo at mail dot com", "bo.li\uff20mail.com", "bo.li @ mail.com", "bo[at]mail.com"):
+        assert pii._passes("email", text) and pii.window_places("word " * 40 + text + " word" * 40), text
+    for text in ("look at mail.com", "look at the dot", "bo (at) mail", "a b@c.de"):
+        assert not pii._passes("email", text), text
+    for text in ("\u0661\u0660.0.0.1", "\uff11\uff10.\uff10.\uff10.\uff11"):
+        assert pii._passes("ip", text) and pii.window_places(text)
+        assert (pii.characters(text) == pii.characters("10.0.0.1")).all()
+    assert pii.window_places("\u0664\u0665") and not pii.window_places("that cat attends")
+
+
+def test_recall_on_planted_variants(tagger):
+    rng = random.Random(21)
+    fullwidth = str.maketrans("0123456789@", "\uff10\uff11\uff12\uff13\uff14\uff15\uff16\uff17\uff18\uff19\uff20")
+    arabic = {ord("0") + i: 0x660 + i for i in range(10)}
+
+    def email(at, dot):
+        return lambda: f"{''.join(rng.choices('abcdeiorst', k=6))}{at}{''.join(rng.choices('abcdeiorst', k=6))}{dot}com"
+
+    kinds = {"(at) (dot)": email(" (at) ", " (dot) "), "at dot": email(" at ", " dot "), "wide @": email("\uff20", "."),
+             "spaced @": email(" @ ", "."), "wide phone": lambda: f"+1 ({pii._number(rng, 3)}) 555-{pii._number(rng, 4)}".translate(fullwidth),
+             "arabic card": lambda: pii._card_number(rng).translate(arabic)}
+    recall = {}
+    for name, make in kinds.items():
+        hits = 0
+        for _ in range(30):
+            item = make()
+            text = f"{sentence(rng, 12)} {item} {sentence(rng, 12)}"
+            (base, added), = pii.spans_of([text], tagger)
+            hits += item in {text[a:b] for _, a, b in base + added}
+        recall[name] = hits / 30
+    print(recall)
+    assert min(recall.values()) >= 0.3, recall
+
+
 def test_the_tagger_adds_what_the_patterns_miss(tagger):
     rng = random.Random(12)
     hits = 0
