@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakeaudit.llm import language, neardup, packing, pieces, pii, quality, sharding, substrings, topk, urls
+from lakeaudit.llm import codes, language, neardup, packing, pieces, pii, quality, sharding, substrings, topk, urls
 
 QUERIES = {
     "op1_lstm_crf_pii": pii.op1,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_bin_completion": packing.op8,
     "op9_odd_sketches": neardup.op9,
     "op10_tiled_top_k": topk.op10,
+    "op12_gnat_codes": codes.op12,
 }
 
 ORACLES = {
@@ -22,4 +23,5 @@ ORACLES = {
     "op4_block_anchors": substrings.OP4_SQL,
     "op5_temporal_lists": urls.OP5_SQL,
     "op10_tiled_top_k": topk.OP10_SQL,
+    "op12_gnat_codes": codes.OP12_SQL,
 }
