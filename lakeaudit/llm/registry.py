@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakeaudit.llm import codes, language, neardup, packing, pieces, pii, quality, sharding, substrings, topk, urls
+from lakeaudit.llm import codes, collocations, language, neardup, packing, pieces, pii, quality, sharding, substrings, topk, urls
 
 QUERIES = {
     "op1_lstm_crf_pii": pii.op1,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_odd_sketches": neardup.op9,
     "op10_tiled_top_k": topk.op10,
     "op12_gnat_codes": codes.op12,
+    "op13_stripes": collocations.op13,
 }
 
 ORACLES = {
@@ -24,4 +25,5 @@ ORACLES = {
     "op5_temporal_lists": urls.OP5_SQL,
     "op10_tiled_top_k": topk.OP10_SQL,
     "op12_gnat_codes": codes.OP12_SQL,
+    "op13_stripes": collocations.OP13_SQL,
 }
