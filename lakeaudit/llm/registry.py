@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakeaudit.llm import codes, collocations, language, neardup, packing, pieces, pii, quality, sharding, substrings, topk, urls
+from lakeaudit.llm import codes, collocations, language, neardup, packing, pieces, pii, quality, sharding, substrings, suffixes, topk, urls
 
 QUERIES = {
     "op1_lstm_crf_pii": pii.op1,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_bin_completion": packing.op8,
     "op9_odd_sketches": neardup.op9,
     "op10_tiled_top_k": topk.op10,
+    "op11_two_stage_suffixes": suffixes.op11,
     "op12_gnat_codes": codes.op12,
     "op13_stripes": collocations.op13,
 }
