@@ -133,13 +133,18 @@ def stacked(df: DataFrame, sets: Sequence[Sequence[Column]], names: Sequence[str
         f"unpivot include nulls (({listed}) for place in ({places}))", wide=df.select(*cells))
 
 
+def double_cell(df: DataFrame, name: str) -> Column:
+    """A number column as double, with NaN as missing."""
+    return F.nanvl(quoted(name).try_cast("double"), F.lit(None).cast("double"))
+
+
 def number_cells(df: DataFrame, names: Sequence[str], value: str) -> DataFrame:
     """One row per (row, listed column): the column's place in ``names`` and its value as double.
     NaN counts as missing.
 
     The place is an int because it is part of every shuffled key; ``name_at`` gives the name.
     """
-    cells = stacked(df, [[F.nanvl(quoted(n).try_cast("double"), F.lit(None).cast("double"))] for n in names], [value])
+    cells = stacked(df, [[double_cell(df, n)] for n in names], [value])
     return cells.withColumnRenamed("place", "column_no")
 
 
@@ -175,7 +180,7 @@ def _literal(value: object) -> str:
     if isinstance(value, bool):
         return str(value).lower()
     if isinstance(value, float):
-        return f"{value!r}D"
+        return f"{value!r}D" if math.isfinite(value) else f"double('{value!r}')"
     if isinstance(value, int):
         return str(value)
     return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -8,11 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeaudit.functions.brackets import column_stats
 from lakeaudit.functions.columns import (
-    as_text, content_key, dtype_of, is_numeric, name_at, number_cells, pct, present, quoted, rows_frame, stacked,
+    as_text, content_key, double_cell, dtype_of, is_numeric, name_at, pct, present, quoted, rows_frame, stacked,
 )
 from lakeaudit.functions.ordered import lagged
-from lakeaudit.functions.quantiles import placed_counts, quantile_columns
 from lakeaudit.functions.skew import left_join
 from lakeaudit.spec import ForeignKey
 
@@ -82,8 +82,8 @@ def iqr_outliers(
 ) -> DataFrame:
     """Values beyond ``multiplier`` interquartile ranges; percentages are of all rows.
 
-    Works on (column, value, copies): the table is read once, quartiles come from running counts
-    and the outliers are then counted on the distinct values.
+    Exact quartiles come from brackets, or from one sketch with ``approx``; a pass then counts what
+    lies outside the fences.
     """
     names = present(df, columns)
     if not names:
@@ -91,36 +91,29 @@ def iqr_outliers(
             df, [], "table_name string, column_name string, method string, lower_bound double, "
             "upper_bound double, outlier_count bigint, outlier_pct double, min_value double, "
             "max_value double")
-    cells = number_cells(df, names, "cell")
-    cell, key = F.col("cell"), "column_no"
-    counts = cells.groupBy(key, "cell").agg(F.count(F.lit(1)).alias("_n"))
+    values = [double_cell(df, n) for n in names]
     if approx:
-        quarter = F.percentile_approx(cell, F.array(F.lit(0.25), F.lit(0.75)), 10000)
-        bounds = cells.groupBy(key).agg(quarter.alias("_q")).select(
-            key, F.col("_q")[0].alias("_q1"), F.col("_q")[1].alias("_q3"))
-        values = counts
+        quarters = [F.percentile_approx(v, F.array(F.lit(0.25), F.lit(0.75)), 10000).alias(f"q{i}") for i, v in enumerate(values)]
+        row = df.agg(*quarters).first()
+        bounds = [(None, None) if q is None else tuple(q) for q in row]
     else:
-        # nulls are one row per column; giving them no weight keeps them out of the ranks
-        weight = F.when(cell.isNotNull(), F.col("_n")).otherwise(0)
-        values = placed_counts(counts.withColumns({"_rows": F.col("_n"), "_n": weight}), [key], "cell")
-        picks, results = quantile_columns("cell", {"_q1": 0.25, "_q3": 0.75})
-        bounds = values.groupBy(key).agg(F.max("_n_total").alias("_size"), *picks).select(key, *results)
-    spread = (F.col("_q3") - F.col("_q1")) * F.lit(multiplier)
-    bounds = bounds.select(key, (F.col("_q1") - spread).alias("_low"), (F.col("_q3") + spread).alias("_high"))
-    # one row per audited column
-    judged = values.join(F.broadcast(bounds.where("_low is not null")), key)
-    rows = F.col("_n") if approx else F.col("_rows")
-    outside = (cell < F.col("_low")) | (cell > F.col("_high"))
-    return judged.groupBy(key).agg(
-        F.max("_low").alias("_low"), F.max("_high").alias("_high"), F.sum(rows).alias("_total"),
-        F.coalesce(F.sum(F.when(outside, rows)), F.lit(0)).alias("outlier_count"),
-        F.min("cell").alias("_min"), F.max("cell").alias("_max"),
-    ).select(
-        F.lit(table).alias("table_name"), name_at(names).alias("column_name"), F.lit("iqr").alias("method"),
-        F.round("_low", 6).alias("lower_bound"), F.round("_high", 6).alias("upper_bound"),
-        "outlier_count", pct(F.col("outlier_count"), F.col("_total")).alias("outlier_pct"),
-        F.round("_min", 6).alias("min_value"), F.round("_max", 6).alias("max_value"),
-    )
+        bounds = [tuple(s.quantiles.values()) for s in column_stats(df, values, {"q1": 0.25, "q3": 0.75})]
+    judged = [(n, v, q1 - (q3 - q1) * multiplier, q3 + (q3 - q1) * multiplier)
+              for n, v, (q1, q3) in zip(names, values, bounds) if q1 is not None]
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    for i, (_, v, low, high) in enumerate(judged):
+        aggs += [F.count_if((v < F.lit(low)) | (v > F.lit(high))).alias(f"o{i}"), F.min(v).alias(f"l{i}"), F.max(v).alias(f"h{i}")]
+    cells = [
+        F.struct(
+            F.lit(table).alias("table_name"), F.lit(n).alias("column_name"), F.lit("iqr").alias("method"),
+            F.round(F.lit(low), 6).alias("lower_bound"), F.round(F.lit(high), 6).alias("upper_bound"),
+            F.col(f"o{i}").alias("outlier_count"), pct(F.col(f"o{i}"), F.col("_rows")).alias("outlier_pct"),
+            F.round(f"l{i}", 6).alias("min_value"), F.round(f"h{i}", 6).alias("max_value"))
+        for i, (n, _, low, high) in enumerate(judged)
+    ]
+    if not cells:
+        return iqr_outliers(df, table, [])
+    return df.agg(*aggs).select(F.inline(F.array(*cells)))
 
 
 def domain_violations(df: DataFrame, table: str, rules: list[tuple[str, str]]) -> DataFrame:

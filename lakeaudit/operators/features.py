@@ -11,8 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeaudit.functions.brackets import group_medians
 from lakeaudit.functions.columns import pct, present, quoted
-from lakeaudit.functions.quantiles import exact_quantiles
 from lakeaudit.functions.skew import left_join
 
 # Search terms per message count. A term matches anywhere in the upper-cased
@@ -67,16 +67,10 @@ def lap_aggregates(
 def grouped_with_median(
     df: DataFrame, keys: list[str], value: str, name: str, aggs: list[Column], approx: bool = False
 ) -> DataFrame:
-    """``groupBy(keys).agg(aggs)`` plus the exact median of ``value``.
-
-    The aggregates are combined before their shuffle. For the median only (key, value, count) rows
-    travel, through range partitions, so a group of any size is spread.
-    """
-    plain = df.groupBy(*keys).agg(*aggs, *([F.percentile_approx(value, 0.5).alias(name)] if approx else []))
+    """``groupBy(keys).agg(aggs)`` plus the median of ``value``: exact, or sketched with ``approx``."""
     if approx:
-        return plain
-    medians = exact_quantiles(df.select(*keys, value), keys, value, {name: 0.5})
-    return _join_same_keys(plain, medians, keys)
+        return df.groupBy(*keys).agg(*aggs, F.percentile_approx(value, 0.5).alias(name))
+    return group_medians(df, keys, value, name, aggs)
 
 
 def lap_features(

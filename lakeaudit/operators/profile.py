@@ -7,11 +7,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeaudit.functions.brackets import column_stats
 from lakeaudit.functions.columns import (
-    CELL_PARTS, as_text, content_key, dtype_of, groupable, is_numeric, name_at, not_nan, number_cells, pct, quoted,
+    CELL_PARTS, as_text, content_key, double_cell, dtype_of, groupable, is_numeric, name_at, not_nan, number_cells, pct, quoted,
     rows_frame, value_cells,
 )
-from lakeaudit.functions.quantiles import placed_counts, quantile_columns, value_counts
 
 # The percentiles of the numeric summary.
 SUMMARY_QUANTILES = {
@@ -83,8 +83,8 @@ def numeric_summary(
 ) -> DataFrame:
     """count, mean, std, min, percentiles and max per numeric column, to 6 decimals.
 
-    The default is exact for any size: distinct values are counted first, and the percentiles are
-    picked from running counts over range partitions. ``approx`` uses one sketch per column.
+    The default is exact for any size: sketches give brackets round the percentiles, and the few
+    values inside are ranked. ``approx`` uses one sketch per column.
     """
     names = [
         c for c in (columns or df.columns)
@@ -95,9 +95,8 @@ def numeric_summary(
             df, [], "table_name string, column_name string, count bigint, mean double, std double, "
             "min double, p01 double, p05 double, p25 double, median double, p75 double, "
             "p95 double, p99 double, max double")
-    cells = number_cells(df, names, "cell").where("cell is not null")
-    v = F.col("cell")
     if approx:
+        cells, v = number_cells(df, names, "cell").where("cell is not null"), F.col("cell")
         probs = F.array(*[F.lit(p) for p in SUMMARY_QUANTILES.values()])
         stats = cells.groupBy("column_no").agg(
             F.count(F.lit(1)).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
@@ -107,21 +106,11 @@ def numeric_summary(
         for i, q in enumerate(SUMMARY_QUANTILES):
             stats = stats.withColumn(q, F.col("_q")[i])
     else:
-        # everything below works on the materialised distinct values, not on the table
-        placed = placed_counts(value_counts(cells, ["column_no"], "cell"), ["column_no"], "cell")
-        picks, results = quantile_columns("cell", SUMMARY_QUANTILES)
-        n = F.col("_n")
-        stats = placed.groupBy("column_no").agg(
-            F.sum(n).alias("count"), (F.sum(v * n) / F.sum(n)).alias("mean"), F.min(v).alias("min"),
-            F.max(v).alias("max"), *picks,
-        ).withColumn("_size", F.col("count"))
-        stats = stats.select("column_no", "count", "mean", "min", "max", *results)
-        # one row per numeric column of the schema
-        means = F.broadcast(stats.select("column_no", "mean"))
-        squares = placed.join(means, "column_no").groupBy("column_no").agg(
-            F.sum(n * (v - F.col("mean")) * (v - F.col("mean"))).alias("_squares"))
-        stats = stats.join(F.broadcast(squares), "column_no").withColumn(
-            "std", F.sqrt(F.try_divide(F.col("_squares"), F.col("count") - 1)))
+        found = column_stats(df, [double_cell(df, n) for n in names], SUMMARY_QUANTILES)
+        stats = rows_frame(
+            df, [(i, s.count, s.mean, s.std, s.least, s.most, *s.quantiles.values()) for i, s in enumerate(found) if s.count],
+            "column_no int, count bigint, mean double, std double, min double, max double, "
+            + ", ".join(f"{q} double" for q in SUMMARY_QUANTILES))
     stats = stats.withColumn("column_name", name_at(names))
     rounded = ["mean", "std", "min", *SUMMARY_QUANTILES, "max"]
     return stats.withColumn("std", F.coalesce("std", F.lit(0.0))).select(
