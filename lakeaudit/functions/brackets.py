@@ -10,13 +10,14 @@ than a bounded number of values.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeaudit.functions.columns import rows_frame
 from lakeaudit.functions.durable import durable
 from lakeaudit.functions.skew import left_join
 
@@ -86,21 +87,74 @@ def _inside(b: _Bracket) -> Column:
     return F.when((v > F.lit(b.low)) & (v < F.lit(b.high)), v)
 
 
-def _count(values: DataFrame, brackets: list[_Bracket]) -> None:
-    same: dict[tuple, list[_Bracket]] = {}
+def _segment(v: Column, ends: list[float], first: int, stop: int) -> Column:
+    """The segment of ``v`` among ``ends[first:stop]``, by halving: few comparisons for every row."""
+    if first == stop:
+        return F.lit(2 * first)
+    middle = (first + stop) // 2
+    return F.when(v < F.lit(ends[middle]), _segment(v, ends, first, middle)).when(
+        v == F.lit(ends[middle]), F.lit(2 * middle + 1)).otherwise(_segment(v, ends, middle + 1, stop))
+
+
+def _each(values: DataFrame, columns: Sequence[int], use: Callable[[DataFrame, int], DataFrame]) -> DataFrame:
+    """``use`` on every column alone, as one job: a columnar scan reads each column once either way, and
+    small expressions stay in generated code."""
+    parts = [use(values.select(F.col(f"v{i}").alias("v")).where("v is not null"), i).select(F.lit(i).alias("place"), "*")
+             for i in columns]
+    return reduce(DataFrame.unionAll, parts)
+
+
+def _ends(brackets: list[_Bracket]) -> dict[int, list[float]]:
+    """The sorted bracket ends of every column.
+
+    Segment 2i + 1 is the i-th end itself and 2i what lies before it, so brackets are unions of segments.
+    """
+    ends: dict[int, set[float]] = {}
     for b in brackets:
-        same.setdefault((b.column, b.low, b.high), []).append(b)
-    aggs = []
-    for i, (column, low, high) in enumerate(same):
-        v, kept = F.col(f"v{column}"), _inside(_Bracket(column, low, high, (0, 0)))
-        aggs += [F.count_if(v < F.lit(low)).alias(f"b{i}"), F.count_if(v == F.lit(low)).alias(f"l{i}"),
-                 F.count(kept).alias(f"i{i}"), F.count_if((v == F.lit(high)) & F.lit(low < high)).alias(f"h{i}"),
-                 F.min(kept).alias(f"least{i}"), F.max(kept).alias(f"most{i}")]
-    row = values.agg(*aggs).first()
-    for i, group in enumerate(same.values()):
-        for b in group:
-            b.below, b.at_low, b.inside, b.at_high = (row[f"{c}{i}"] for c in "blih")
-            b.least, b.most = row[f"least{i}"], row[f"most{i}"]
+        ends.setdefault(b.column, set()).update((b.low, b.high))
+    return {c: sorted(e) for c, e in ends.items()}
+
+
+def _gathered(values: DataFrame, brackets: list[_Bracket], centres: dict[int, float]) -> DataFrame:
+    """(place, s, kept, n, least, most, off): counts of all segments, and the values inside brackets each by itself.
+
+    ``off`` adds up distances from the column's centre, for a mean without the rounding of a long sum.
+    """
+    ends = _ends(brackets)
+    kept: dict[int, set[int]] = {c: set() for c in ends}
+    for b in brackets:
+        own = ends[b.column]
+        kept[b.column].update(range(2 * own.index(b.low) + 2, 2 * own.index(b.high) + 1))
+    v = F.col("v")
+
+    def read(df: DataFrame, column: int) -> DataFrame:
+        cells = df.select("v", _segment(v, ends[column], 0, len(ends[column])).alias("s"))
+        cells = cells.groupBy("s", F.when(F.col("s").isin(sorted(kept[column])), v).alias("kept"))
+        return cells.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("least"), F.max("v").alias("most"),
+                         F.sum(v - F.lit(centres[column])).alias("off"))
+
+    return durable(_each(values, list(ends), read))
+
+
+def _count(gathered: DataFrame, brackets: list[_Bracket]) -> dict[int, float]:
+    """Fills in the counts of the brackets; gives the summed distances from the centres."""
+    ends = _ends(brackets)
+    found: dict[int, dict[int, tuple]] = {c: {} for c in ends}
+    off = dict.fromkeys(ends, 0.0)
+    for row in gathered.groupBy("place", "s").agg(
+            F.sum("n").alias("n"), F.min("least").alias("least"), F.max("most").alias("most"), F.sum("off").alias("off")).collect():
+        found[row["place"]][row["s"]] = (row["n"], row["least"], row["most"])
+        off[row["place"]] += row["off"]
+    for b in brackets:
+        own, known = ends[b.column], found[b.column]
+        low, high = 2 * own.index(b.low) + 1, 2 * own.index(b.high) + 1
+        total = lambda r: sum(known[s][0] for s in r if s in known)  # noqa: B023, E731
+        between = [known[s] for s in range(low + 1, high) if s in known]
+        b.below, b.at_low, b.inside = total(range(low)), total([low]), sum(x[0] for x in between)
+        b.at_high = total([high]) if low < high else 0
+        b.least = min((x[1] for x in between), default=None)
+        b.most = max((x[2] for x in between), default=None)
+    return off
 
 
 def _narrow(values: DataFrame, brackets: list[_Bracket]) -> None:
@@ -115,12 +169,16 @@ def _narrow(values: DataFrame, brackets: list[_Bracket]) -> None:
         b.low, b.high = row[f"q{i}"]
 
 
-def _ranked(values: DataFrame, brackets: list[_Bracket]) -> list[dict[int, float]]:
+def _ranked(gathered: DataFrame, every: list[_Bracket], brackets: list[_Bracket]) -> list[dict[int, float]]:
     """{rank: value} of each bracket; its inside holds a bounded number of values."""
-    marks = [F.when(_inside(b).isNotNull(), F.struct(F.lit(i).alias("bracket"), F.col(f"v{b.column}").alias("v")))
-             for i, b in enumerate(brackets)]
-    found = values.select(F.explode(F.array_compact(F.array(*marks))).alias("m")).select("m.*")
-    found = found.groupBy("bracket", "v").agg(F.count(F.lit(1)).alias("n"))
+    ends = _ends(every)
+    held = []
+    for i, b in enumerate(brackets):
+        own = ends[b.column]
+        held += [(b.column, s, i) for s in range(2 * own.index(b.low) + 2, 2 * own.index(b.high) + 1)]
+    # a row per bracket and segment
+    held = F.broadcast(rows_frame(gathered, held, "place int, s int, bracket int"))
+    found = gathered.where("kept is not null").select("place", "s", F.col("kept").alias("v"), "n").join(held, ["place", "s"])
     up_to = F.sum("n").over(Window.partitionBy("bracket").orderBy("v"))
     found = found.withColumn("after", up_to)
     wanted = F.lit(False)
@@ -142,16 +200,18 @@ def column_stats(df: DataFrame, columns: Sequence[Column], probs: dict[str, floa
     A number per column and probability reaches the driver.
     """
     values = df.select(*[c.alias(f"v{i}") for i, c in enumerate(columns)])
-    margin, aggs = _margin(COLUMN_SKETCH), []
-    rough = F.array(*[F.lit(min(max(p + side * margin, 0.0), 1.0)) for p in probs.values() for side in (-1, 1)])
-    for i in range(len(columns)):
-        v = F.col(f"v{i}")
-        aggs += [F.count(v).alias(f"n{i}"), F.avg(v).alias(f"mean{i}"), F.stddev_samp(v).alias(f"std{i}"),
-                 F.min(v).alias(f"least{i}"), F.max(v).alias(f"most{i}")]
-        if probs:
-            sketch = F.kll_sketch_agg_double(v, F.lit(COLUMN_SKETCH))
-            aggs.append(F.when(F.count(v) > 0, F.kll_sketch_get_quantile_double(sketch, rough)).alias(f"q{i}"))
-    row = values.agg(*aggs).first()
+    wide = range(len(columns))
+    cell = F.col("v")
+    aggs = [F.count(cell).alias("n"), F.avg(cell).alias("mean"), F.stddev_samp(cell).alias("std"), F.min(cell).alias("least"),
+            F.max(cell).alias("most")]
+    if probs:
+        margin = _margin(COLUMN_SKETCH)
+        rough = F.array(*[F.lit(min(max(p + side * margin, 0.0), 1.0)) for p in probs.values() for side in (-1, 1)])
+        sketch = F.kll_sketch_agg_double(cell, F.lit(COLUMN_SKETCH))
+        aggs.append(F.when(F.count(cell) > 0, F.kll_sketch_get_quantile_double(sketch, rough)).alias("q"))
+    found = _each(values, wide, lambda df, _: df.agg(*aggs)).collect()
+    row = {f"{c}{r['place']}": r[c] for r in found for c in r.asDict() if c != "place"}
+    row = {f"n{i}": 0 for i in wide} | {f"{c}{i}": None for i in wide for c in ("mean", "std", "least", "most")} | row
     stats, brackets = [], []
     for i in range(len(columns)):
         n = row[f"n{i}"]
@@ -160,25 +220,31 @@ def column_stats(df: DataFrame, columns: Sequence[Column], probs: dict[str, floa
             brackets.append(_Bracket(i, row[f"q{i}"][2 * j], row[f"q{i}"][2 * j + 1], place(n, p)[:2]))
 
     known: dict[int, dict[int, float]] = {}
-    few, open_ones = [], brackets
+    open_ones, first = brackets, True
     while open_ones:
-        _count(values, open_ones)
-        missed, wide = [], []
+        gathered = _gathered(values, open_ones, {i: s.mean or 0.0 for i, s in enumerate(stats)})
+        off = _count(gathered, open_ones)
+        if first:
+            for i, s in enumerate(stats):
+                s.mean = s.mean + off[i] / s.count if s.count else None
+        missed, wide, few, first = [], [], [], False
         for b in open_ones:
             if b.below > b.ranks[0] or b.below + b.at_low + b.inside + b.at_high <= b.ranks[1]:
-                if b.below > b.ranks[0]:
-                    b.low = row[f"least{b.column}"]
-                else:
-                    b.high = row[f"most{b.column}"]
                 missed.append(b)
-            elif None not in (found := {r: b.value(r) for r in b.ranks}).values():
-                known[id(b)] = found
+            elif None not in (values_at := {r: b.value(r) for r in b.ranks}).values():
+                known[id(b)] = values_at
             else:
                 (few if b.inside <= RANKED_VALUES else wide).append(b)
+        if few:
+            known |= {id(b): values_at for b, values_at in zip(few, _ranked(gathered, open_ones, few))}
+        for b in missed:
+            if b.below > b.ranks[0]:
+                b.low = row[f"least{b.column}"]
+            else:
+                b.high = row[f"most{b.column}"]
         if wide:
             _narrow(values, wide)
         open_ones = missed + wide
-    known |= {id(b): found for b, found in zip(few, _ranked(values, few) if few else ())}
     at = iter(brackets)
     for s in stats:
         for name, p in probs.items() if s.count else ():

@@ -115,7 +115,8 @@ def numeric_summary(
     rounded = ["mean", "std", "min", *SUMMARY_QUANTILES, "max"]
     return stats.withColumn("std", F.coalesce("std", F.lit(0.0))).select(
         F.lit(table).alias("table_name"), "column_name", F.col("count"),
-        *[F.round(F.col(c), 6).alias(c) for c in rounded],
+        # the last bits of a mean do not decide which way a tie is rounded
+        *[F.round(F.round(F.col(c), 12) if c == "mean" else F.col(c), 6).alias(c) for c in rounded],
     )
 
 
