@@ -9,10 +9,9 @@ stripe and those to the left the entries whose phrase without its first word it
 phrase is never more frequent than the phrase between, the largest count over extensions by one word
 to either side decides about all longer phrases that contain a candidate.
 
-Phrases of three and four words are counted only where every pair of neighbouring words, and then
-every triple, can be frequent: a bitmap of bounded size (``MOST_BITS``) marks the frequent phrases
-that are one word shorter. A marked place too many costs a row that the threshold takes away later; it never changes
-a count. A stripe is split by the hash of the next word, so a hot prefix spreads over many tasks.
+Phrases of more than one word are counted only where both phrases that are one word shorter can be
+frequent: a bitmap of bounded size (``MOST_BITS``) marks those. A marked place too many costs a row
+that the threshold takes away later; it never changes a count. A stripe is split by the hash of the next word, so a hot prefix spreads over many tasks.
 
 Defined results
   * Null and empty texts have no words. A null language is the language ``und``.
@@ -42,8 +41,8 @@ BLOCK_BYTES = 1 << 23
 HASH_BYTES = 1 << 20
 #: Buckets of next words: of the empty prefix, which every word follows, and of any other.
 ROOT_BUCKETS, BUCKETS = 1024, 16
-#: Bits of the marks of frequent phrases: 32 a phrase, up to 32 MB.
-LEAST_BITS, MOST_BITS = 16, 28
+#: Bits of the marks of frequent phrases: 32 a phrase, up to 16 MB for a number of words.
+LEAST_BITS, MOST_BITS = 16, 27
 _SEGMENT = 16
 
 STRIPES = "lang string, k int, prefix string, bucket int, next array<string>, n array<long>"
@@ -252,10 +251,9 @@ def phrase_counts(docs: DataFrame, least: int = 30, most_words: int = 4, text_co
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                         F.col(text_col).cast("string").alias("text"))
     out, marks = None, {}
-    # words and pairs in one reading, then every further word where the marks of shorter phrases allow it
-    for size in range(2, most_words + 1):
-        sizes = range(1 if size == 2 else size, size + 1)
-        stripes = texts.mapInArrow(_stripes(dict(marks), sizes), STRIPES)
+    # words first, then one word more where the marks of shorter phrases allow it
+    for size in range(1, most_words + 1):
+        stripes = texts.mapInArrow(_stripes(dict(marks), range(size, size + 1)), STRIPES)
         level = durable(merged(stripes, least).withColumn("phrase", _phrase()))
         out = level if out is None else out.unionByName(level)
         if size < most_words:
