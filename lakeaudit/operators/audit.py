@@ -12,7 +12,7 @@ from lakeaudit.functions.brackets import column_stats
 from lakeaudit.functions.columns import (
     as_text, content_key, double_cell, dtype_of, is_numeric, name_at, pct, present, quoted, rows_frame, stacked,
 )
-from lakeaudit.functions.ordered import lagged
+from lakeaudit.functions.ordered import falls_in_time
 from lakeaudit.functions.skew import left_join
 from lakeaudit.spec import ForeignKey
 
@@ -157,8 +157,12 @@ def outlier_report(
 
 def _anomaly_rows(df: DataFrame, table: str, checks: list[tuple[str, str, Column, str]]) -> DataFrame:
     """(type, column, condition, note) checks in one aggregate."""
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    aggs += [F.count_if(cond).alias(f"a{i}") for i, (_, _, cond, _) in enumerate(checks)]
+    counts = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count_if(c).alias(f"a{i}") for i, (_, _, c, _) in enumerate(checks)])
+    return _anomaly_report(counts, table, [(kind, column, note) for kind, column, _, note in checks])
+
+
+def _anomaly_report(counts: DataFrame, table: str, checks: list[tuple[str, str, str]]) -> DataFrame:
+    """The report of one row with ``_rows`` and a count ``a0``, ``a1``… per (type, column, note)."""
     cells = [
         F.struct(
             F.lit(table).alias("table_name"), F.lit(kind).alias("anomaly_type"),
@@ -166,9 +170,9 @@ def _anomaly_rows(df: DataFrame, table: str, checks: list[tuple[str, str, Column
             pct(F.col(f"a{i}"), F.col("_rows")).alias("anomaly_pct"), F.lit(note).alias("notes"),
             F.col("_rows").alias("_rows"),
         )
-        for i, (kind, column, _, note) in enumerate(checks)
+        for i, (kind, column, note) in enumerate(checks)
     ]
-    return df.agg(*aggs).select(F.inline(F.array(*cells))).where("_rows > 0").drop("_rows")
+    return counts.select(F.inline(F.array(*cells))).where("_rows > 0").drop("_rows")
 
 
 def unparseable(df: DataFrame, column: str) -> Column:
@@ -209,15 +213,12 @@ def lag_decrease(
     df: DataFrame, table: str, keys: list[str], number: str, time: str | None
 ) -> DataFrame:
     """Rows whose number is below that of the row before in time (or in number, without a time)."""
-    columns = [*keys, number] + ([time] if time else [])
-    rows = df.select(*columns).withColumn("_number", quoted(number).try_cast("double"))
-    order = ([time] if time else []) + ["_number"]
-
-    compared = lagged(rows, keys, order, "_number", "_before")
-    return _anomaly_rows(compared, table, [(
-        "lap_number_decrease_within_stint", number, F.col("_number") < F.col("_before"),
-        "Number decreased when ordered within its group",
-    )])
+    if time:
+        counts = falls_in_time(df, keys, time, number).select(F.col("rows").alias("_rows"), F.col("falls").alias("a0"))
+    else:  # in its own order a number never falls
+        counts = df.agg(F.count(F.lit(1)).alias("_rows"), F.lit(0).cast("bigint").alias("a0"))
+    return _anomaly_report(counts, table, [(
+        "lap_number_decrease_within_stint", number, "Number decreased when ordered within its group")])
 
 
 def outside_bounds(
@@ -228,7 +229,8 @@ def outside_bounds(
     bounds = parent.groupBy(key).agg(
         F.min(start).alias("_start"), F.max(end).alias("_end")
     )
-    joined = left_join(child.select(key, moment), bounds, [key])
+    # both sides come straight out of a shuffle on the key, so adaptive execution splits a hot key
+    joined = child.select(key, moment).join(bounds.repartition(key), key, "left")
     at = quoted(moment)
     outside = F.col("_start").isNotNull() & ((at < F.col("_start")) | (at > F.col("_end")))
     return _anomaly_rows(joined, table, [("weather_outside_session_bounds", moment, outside, note)])

@@ -4,6 +4,7 @@ import random
 import statistics
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from lakeaudit.functions.ordered import lagged, prefix_sums, row_rank
@@ -115,3 +116,33 @@ def test_lag_decrease_usual(spark):
 def test_lag_decrease_hot(spark):
     got, want = _decreases(spark)
     assert got == want
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "date", "string", "bigint", "double"])
+@pytest.mark.parametrize("bucket_rows", [1_000_000, 40])
+def test_falls_in_time(spark, monkeypatch, kind, bucket_rows):
+    """A hot key, equal and null moments, null numbers and null keys, over one bucket and over many."""
+    from lakeaudit.functions import ordered
+
+    monkeypatch.setattr(ordered, "BUCKET_ROWS", bucket_rows)
+    rng = np.random.default_rng(len(kind))
+    rows = [(None if i % 40 == 0 else ("hot" if i % 3 else f"k{i % 7}"), None if i % 31 == 0 else int(rng.integers(0, 300)) if i % 5 else 77,
+             None if i % 17 == 0 else float(rng.integers(0, 20))) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g string, m int, lap double").repartition(4)
+    moment = {"timestamp": "timestamp_seconds(m * 977)", "date": "date_add(date'2020-01-01', m)", "string": "lpad(m, 6, '0')",
+              "bigint": "cast(m - 50 as bigint)", "double": "m / 7.0D"}[kind]
+    got = ordered.falls_in_time(df.selectExpr("g", "lap", f"{moment} as t"), ["g"], "t", "lap").first()
+    want = 0
+    for g in {r[0] for r in rows}:
+        own = sorted((r[1:] for r in rows if r[0] == g), key=lambda r: tuple((x is not None, x or 0) for x in r))
+        want += sum(a[1] is not None and b[1] is not None and b[1] < a[1] for a, b in zip(own, own[1:]))
+    assert (got.rows, got.falls) == (len(rows), want)
+
+
+def test_one_moment_of_many_rows_is_one_row(spark):
+    from lakeaudit.functions import ordered
+
+    df = spark.range(1_000_000).selectExpr("1 as g", "cast(id as double) as lap", "date'2020-01-01' as t")
+    got = ordered.falls_in_time(df, ["g"], "t", "lap").first()
+    assert (got.rows, got.falls) == (1_000_000, 0)
+    assert ordered.falls_in_time(df.where("false"), ["g"], "t", "lap").first()[:] == (0, 0)
