@@ -25,10 +25,11 @@ Defined results
 
 from __future__ import annotations
 
-import re
-from array import array
+import functools
+import json
+import uuid
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from hashlib import blake2b
 from heapq import heappop, heappush
 
@@ -37,42 +38,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeaudit.functions.durable import shared_folder
 from lakeaudit.llm.common import durable, gapless, ready, table, text_slices
 
 CAPACITY = 1024
 END_ID = 2
-#: Words kept with their ids in a worker; the cache is emptied when it is full.
-CACHE_WORDS = 900_000
-_CACHED_CHARS = 64
-
-_CODERS: dict[str, tuple] = {}
-#: White space other than the space and the line end. Fixed values.
-_OTHER_SPACES = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
-    chr(c) for c in range(0x2000, 0x200B))
-_CUT = re.compile(r"(?<=\S)(?=[ \n])")
-
-
-def _coder(path: str):
-    if path not in _CODERS:
-        from tokenizers import Tokenizer
-
-        coder = Tokenizer.from_file(path)
-        coder.encode_special_tokens = True
-        _CODERS[path] = (coder, {})
-    return _CODERS[path]
-
-
-def chunks(text: str) -> list[str]:
-    """The text cut before spaces and line ends that follow other characters.
-
-    Byte-level vocabularies split a text where white space follows something else before they merge
-    anything, so the ids of a text are the ids of its chunks in a row.
-    """
-    if "\x01" in text or "  " in text or "\n\n" in text or " \n" in text or "\n " in text \
-            or any(c in text for c in _OTHER_SPACES):
-        return [c for c in _CUT.split(text) if c]
-    parts = text.replace(" ", "\x01 ").replace("\n", "\x01\n").split("\x01")
-    return parts if parts[0] else parts[1:]
+#: Fixed value: how byte-level vocabularies split a text before they merge.
+SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 def _byte_letters() -> dict[int, str]:
@@ -83,53 +55,39 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
-_BYTE_LETTERS = _byte_letters()
-
-
-def _encoded_words(coder, words: list[str]) -> dict[str, bytes]:
-    """Ids of single chunks. A run of letters is merged as one piece, so the library's merge model can
-    have it without the steps before it; other chunks take all steps."""
-    known, rest, merge = {}, [], coder.model.tokenize
-    for w in words:
-        if w[1:].isalpha() and w[0] == " ":
-            letters = w.encode().decode("latin-1").translate(_BYTE_LETTERS)
-            known[w] = array("I", [t.id for t in merge(letters)]).tobytes()
-        else:
-            rest.append(w)
-    for w, x in zip(rest, coder.encode_batch_fast(rest, add_special_tokens=False)):
-        known[w] = array("I", x.ids).tobytes()
-    return known
-
-
-def _learn(coder, known: dict[str, bytes], missing: set[str]) -> None:
-    """Adds the ids of ``missing`` chunks. A letter before a mark ends a piece of text that is merged
-    alone, so a word with one mark behind it is the word's ids and the mark's."""
-    marked = {w for w in missing if w[-1] in ",." and len(w) > 2 and w[-2].isalpha()}
-    words = (missing - marked) | ({w[:-1] for w in marked} - known.keys())
-    known.update(_encoded_words(coder, list(words)))
-    marks = _encoded_words(coder, [",", "."])
-    for w in marked:
-        known[w] = known[w[:-1]] + marks[w[-1]]
-
+@functools.lru_cache(maxsize=1)
+def _coder(path: str):
+    """A function from a text to its ids.
 
-def encoded(path: str, texts: list[str]) -> list[bytes]:
+    Where the file is a plain byte-level vocabulary whose ids follow the order of its merges, ids are
+    ranks, and the rank coder of the same vocabulary gives the same ids in half the time and without
+    a cache of words. Any other file is read by the library it was made for.
+    """
+    from tokenizers import Tokenizer
+
+    with open(path, encoding="utf-8") as file:
+        parts = json.load(file)
+    model, split = parts["model"], parts.get("pre_tokenizer") or {}
+    vocabulary, merges = model.get("vocab", {}), model.get("merges", [])
+    plain = model.get("type") == "BPE" and split.get("type") == "ByteLevel" and split.get("use_regex", True) \
+        and not split.get("add_prefix_space", True) and not parts.get("normalizer") and not model.get("ignore_merges") \
+        and all(vocabulary.get("".join(m if isinstance(m, list) else m.split(" "))) == 256 + i for i, m in enumerate(merges)) \
+        and len(vocabulary) == 256 + len(merges)
+    if plain:
+        import tiktoken
+
+        letter_bytes = {c: b for b, c in _byte_letters().items()}
+        ranks = {bytes(letter_bytes[c] for c in token): i for token, i in vocabulary.items()}
+        return tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    library = Tokenizer.from_file(path)
+    library.encode_special_tokens = True
+    return lambda text: library.encode(text, add_special_tokens=False).ids
+
+
+def encoded(path: str, texts: Iterable[str]) -> list[bytes]:
     """The ids of each text as little-endian unsigned 32-bit integers."""
-    coder, known = _coder(path)
-    cut = [chunks(t) for t in texts]
-    found = [list(map(known.get, parts)) for parts in cut]
-    gaps = [i for i, ids in enumerate(found) if None in ids]
-    missing = {c for i in gaps for c, ids in zip(cut[i], found[i]) if ids is None}
-    if missing:
-        if len(known) + len(missing) > CACHE_WORDS:
-            known.clear()  # what this batch had found, it holds
-        _learn(coder, known, missing)
-        for i in gaps:
-            found[i] = [known[c] if ids is None else ids for c, ids in zip(cut[i], found[i])]
-        for c in missing:
-            if len(c) > _CACHED_CHARS:
-                known.pop(c, None)
-                known.pop(c[:-1], None)
-    return [b"".join(ids) for ids in found]
+    coder = _coder(path)
+    return [np.array(coder(text), dtype="<u4").tobytes() for text in texts]
 
 
 def cut_lengths(total: int, capacity: int) -> list[int]:
@@ -408,12 +366,22 @@ def public_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def packed_documents(docs: DataFrame) -> DataFrame:
-    cut = pieces(docs, public_path())
-    digests = cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
-    return pack(digests)
+def packed_documents(docs: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
+    """(doc_id, piece, start, length, ids, sequence_id, offset): every document's pieces with their tokens.
+
+    The pieces are written once; numbers and places are found on their short columns alone, and the
+    tokens meet their place again by the number of the piece.
+    """
+    spark = ready(docs.sparkSession)
+    folder = f"{shared_folder(spark)}/pieces-{uuid.uuid4().hex[:12]}"
+    cut = pieces(docs, tokenizer_path or public_path())
+    cut.withColumn("_piece_no", F.monotonically_increasing_id()).write.parquet(folder)
+    stored = spark.read.parquet(folder)
+    placed = pack(stored.select("length", "_piece_no")).drop("length")
+    return stored.join(placed, "_piece_no").drop("_piece_no")
 
 
 def op8(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return packed_documents(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    cut = pieces(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), public_path())
+    return pack(cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))

@@ -191,7 +191,8 @@ def test_encoder_matches_the_library():
     library.encode_special_tokens = True
     rng = random.Random(6)
     texts = ["".join(rng.choice("ab é中\n\t 　\x1c\x01'st12²!?ñ .,") for _ in range(rng.randint(0, 60))) for _ in range(1500)]
-    texts += ["", " ", "\n\n", "<|endoftext|> x", "z" * 3000, sentence(rng, 500)]
+    texts += ["".join(chr(rng.randrange(32, 0x2FFF)) for _ in range(60)) for _ in range(300)]
+    texts += ["", " ", "\n\n", "<|endoftext|> x", "a" * 50_000, " " * 20_000, "z" * 3000, sentence(rng, 500)]
     want = [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
     assert [np.frombuffer(b, "<u4").tolist() for b in packing.encoded(path, texts)] == want
 
@@ -423,3 +424,28 @@ def test_digest_columns(spark):
         assert r["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
         assert set(joined.split(",")) - {""} <= set(r["spans"].split(","))
         assert r["n_email"] == sum(k == "email" for k, _, _ in base)
+
+
+def test_numbers_that_look_like_letters_are_no_letters():
+    import pyarrow as pa
+
+    from lakeaudit.llm import language
+
+    texts = ["½ ² ① Ⅷ", "12 ☃", "", None, "É", "中", "1a"]
+    has = [bool(h) for _, _, part in language.vectors(pa.array(texts)) for h in part]
+    assert has == [any(map(str.isalpha, t or "")) for t in texts] == [False] * 4 + [True] * 3
+
+
+def test_packed_documents_carry_their_tokens(docs, rows):
+    from collections import Counter
+
+    found = packing.packed_documents(docs.select("doc_id", "text")).collect()
+    whole = {}
+    for r in sorted(found, key=lambda r: r.start):
+        whole.setdefault(r.doc_id, []).append((r.start, r.length, len(r.ids)))
+    assert all(n == size // 4 for parts in whole.values() for _, n, size in parts)
+    want = Counter(len(b) // 4 + 1 for b in packing.encoded(packing.public_path(), [r[1] or "" for r in rows]))
+    assert sum(r.length for r in found) == sum(n * k for n, k in want.items())
+    places = sorted((r.sequence_id, r.offset, r.length) for r in found)
+    for (s, o, n), (s2, o2, _) in zip(places, places[1:]):
+        assert (s2 == s and o2 == o + n) or (s2 > s and o2 == 0)
