@@ -103,7 +103,7 @@ def _powers(base: int, n: int) -> np.ndarray:
         steps = np.full(size, base & (2**64 - 1), dtype=np.uint64)
         steps[0] = 1
         have = np.cumprod(steps, dtype=np.uint64)
-        if n <= 1 << 22:  # a single longer text does not stay in the worker's memory
+        if n <= 1 << 20:  # 8 MB; those of a single longer text do not stay in the worker's memory
             _POWERS[base] = have
     return have[:n]
 
@@ -133,13 +133,14 @@ def _string_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def text_slices(column: pa.Array, most_bytes: int = 1 << 20):
-    """(start, stop, bytes, offsets) of runs of rows with about ``most_bytes``; long texts stand alone."""
+def text_slices(column: pa.Array, most_bytes: int = 1 << 20, most_rows: int | None = None):
+    """(start, stop, bytes, offsets) of runs of rows with about ``most_bytes``, and ``most_rows`` rows if given;
+    long texts stand alone."""
     data, offsets = _string_buffers(column)
     start, rows = 0, len(offsets) - 1
     while start < rows:
         stop = int(np.searchsorted(offsets, offsets[start] + most_bytes, "right")) - 1
-        stop = min(max(stop, start + 1), rows)
+        stop = min(max(stop, start + 1), rows, rows if most_rows is None else start + most_rows)
         yield start, stop, data[offsets[start]:offsets[stop]], offsets[start:stop + 1] - offsets[start]
         start = stop
 

@@ -18,7 +18,6 @@ Defined results
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -34,8 +33,9 @@ ROWS_PER_LANGUAGE = 400
 RUNS = (3, 8, 30)
 WIDTH = 4096
 UNKNOWN = "und"
+#: Texts of one matrix of features (16 MB).
+MOST_ROWS = 1024
 
-_LETTER = re.compile(r"[^\W\d_]")
 _LOWER = np.arange(256, dtype=np.uint32)
 _LOWER[65:91] += 32
 _ASCII_LETTER = np.zeros(256, dtype=bool)
@@ -44,7 +44,7 @@ _ASCII_LETTER[65:91] = _ASCII_LETTER[97:123] = True
 
 def vectors(column: pa.Array):
     """(first row, matrix of feature vectors, whether each text has a letter) for runs of rows."""
-    for start, stop, data, offsets in text_slices(column):
+    for start, stop, data, offsets in text_slices(column, most_rows=MOST_ROWS):
         low = _LOWER[data]
         letters = np.concatenate([[0], np.cumsum(_ASCII_LETTER[data])])
         has = letters[offsets[1:]] > letters[offsets[:-1]]
@@ -60,7 +60,7 @@ def vectors(column: pa.Array):
                 counts = np.sqrt(np.bincount(own, minlength=WIDTH).astype(np.float32))
                 out[i] = counts / np.sqrt(max(len(own), 1))
             if not has[i] and b > a:
-                has[i] = _LETTER.search(data[a:b].tobytes().decode("utf-8", "replace")) is not None
+                has[i] = any(map(str.isalpha, data[a:b].tobytes().decode("utf-8", "replace")))
         yield start, out, has
 
 
@@ -109,12 +109,13 @@ class Model:
 
     def predict(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(language numbers, scores) of feature vectors."""
-        x = np.hstack([x, np.ones((len(x), 1), dtype=np.float32)])
-        sure = np.ones((len(x), 1)) if len(self.groups) == 1 else _logistic(x @ self.family_weights.T)
+        # the last weight is the bias
+        sure = np.ones((len(x), 1)) if len(self.groups) == 1 else _logistic(
+            x @ self.family_weights[:, :-1].T + self.family_weights[:, -1])
         family = sure.argmax(1)
         share = sure[np.arange(len(x)), family] / np.maximum(sure.sum(1), 1e-12)
         language, score = np.zeros(len(x), dtype=np.int64), share.copy()
-        margins = x @ self.pair_weights.T if self.pairs else None
+        margins = x @ self.pair_weights[:, :-1].T + self.pair_weights[:, -1] if self.pairs else None
         for f, members in enumerate(self.groups):
             rows = np.flatnonzero(family == f)
             if len(members) == 1:
