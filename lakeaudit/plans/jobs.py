@@ -6,6 +6,8 @@ their declared schemas, written once, and audited from what was written.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,15 +17,29 @@ from lakeaudit.operators import (
     reconcile as recon, report, split,
 )
 from lakeaudit.plans import race
-from lakeaudit.sources import files
+from lakeaudit.sources import files, publish
 
 MART_NAME = "driver_race_feature_mart"
 
+#: By which columns the files of a report are sorted.
+REPORT_ORDER = {
+    "bronze_row_counts": ["endpoint", "file_path"],
+    "bronze_schema_report": ["endpoint", "column_name"],
+    "bronze_schema_drift_report": ["endpoint", "column_name"],
+    "bronze_manifest_file_reconciliation": ["endpoint", "year", "session_key"],
+    "silver_cleaning_rules": ["table_name", "rule_id"],
+    "silver_missingness_before": ["table_name", "column_name"],
+    "silver_missingness_after": ["table_name", "column_name"],
+    "silver_cleaning_impact_summary": ["table_name"],
+    "gold_feature_missingness": ["column_name"],
+    "feature_dictionary": ["feature_name"],
+}
+
 
 def _save(frames: dict[str, DataFrame], folder: str | None) -> dict[str, DataFrame]:
     if folder:
         for name, df in frames.items():
-            files.csv_sink(df, f"{folder.rstrip('/')}/{name}.csv")
+            files.csv_sink(df, f"{folder.rstrip('/')}/{name}.csv", REPORT_ORDER.get(name))
     return frames
 
 
@@ -73,14 +89,20 @@ def read_bronze(spark: SparkSession, root: str, infer: bool = False) -> dict[str
 
 
 def silver_job(
-    spark: SparkSession, bronze: str, silver: str, reports: str | None = None
+    spark: SparkSession, bronze: str, silver: str, reports: str | None = None,
+    reconciled: DataFrame | None = None, judge: Callable[[dict[str, DataFrame]], list[str]] | None = None,
 ) -> dict[str, DataFrame]:
-    """Cleans and writes the ten tables, then audits them before and after.
+    """Cleans and writes the ten tables as a new version, audits them before and after, and publishes.
 
-    The JSON is parsed once, into Parquet below ``_staged``; the cleaning and every audit of the
-    raw rows read that.
+    With ``reconciled`` (the manifest laid against the files) nothing is built while slices block. The
+    JSON is parsed once, into Parquet below ``_staged`` of the version; the cleaning and every audit of
+    the raw rows read that. ``judge`` names what is wrong with the reports (``silver_faults`` unless
+    given); with any fault the version is not published and the current one stays.
     """
-    root = silver.rstrip("/")
+    if reconciled is not None:
+        recon.assert_gate(reconciled)
+    version = publish.new_version(spark, silver)
+    root = publish.version_folder(silver, version)
     before, after = {}, {}
     for name, df in read_bronze(spark, bronze).items():
         files.parquet_sink(df, f"{root}/_staged/{name}.parquet")
@@ -91,7 +113,24 @@ def silver_job(
         path = f"{root}/{name}_clean.parquet"
         files.parquet_sink(cleaning.clean(df, race.SPECS[name]), path)
         after[name] = spark.read.parquet(path)
-    return _save(silver_reports(before, after), reports)
+    frames = silver_reports(before, after)
+    faults = (judge or silver_faults)(frames)
+    _save(frames, reports)
+    if faults:
+        raise ValueError(f"version {version} of {silver} is not published: {'; '.join(faults)}")
+    publish.publish(spark, silver, version)
+    return frames
+
+
+def silver_faults(frames: dict[str, DataFrame]) -> list[str]:
+    """What must not be published: natural keys that repeat though they were made unique, and tables emptied."""
+    unique = [n for n, s in race.SPECS.items() if s.dedupe_keys and set(s.dedupe_keys) <= set(race.NATURAL_KEYS[n])]
+    repeated = frames["silver_duplicate_report"].where(
+        "stage = 'after' and duplicate_type = 'key_duplicate' and duplicate_key_count > 0").where(F.col("table_name").isin(unique))
+    emptied = frames["silver_cleaning_impact_summary"].where("rows_before > 0 and rows_after = 0")
+    # a row per table at most
+    return [f"{r['table_name']}: repeated keys" for r in repeated.collect()] + [
+        f"{r['table_name']}: no row left" for r in emptied.collect()]
 
 
 def silver_reports(before: dict[str, DataFrame], after: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -151,10 +190,9 @@ def temporal_report(tables: dict[str, DataFrame], stage: str) -> DataFrame:
 # --- gold -------------------------------------------------------------------------------------
 
 def read_silver(spark: SparkSession, silver: str) -> dict[str, DataFrame]:
-    """The cleaned tables that exist."""
-    found = {
-        n: files.parquet_optional(spark, f"{silver.rstrip('/')}/{n}_clean.parquet") for n in race.TABLE_ORDER
-    }
+    """The cleaned tables that exist, all of the current version."""
+    root = publish.current_folder(spark, silver)
+    found = {n: files.parquet_optional(spark, f"{root}/{n}_clean.parquet") for n in race.TABLE_ORDER}
     return {n: df for n, df in found.items() if df is not None}
 
 

@@ -261,9 +261,31 @@ def jsonl_sink(df: DataFrame, path: str, slices: list[str] | None = None) -> Non
         df.write.mode("overwrite").json(path)
 
 
-def csv_sink(report: DataFrame, path: str) -> None:
-    """A report as CSV files, one per task that has rows; adaptive execution keeps small ones together."""
-    report.write.mode("overwrite").option("header", "true").csv(path)
+def csv_sink(report: DataFrame, path: str, order: list[str] | None = None, rows_per_file: int = 0) -> None:
+    """A report as CSV files, one per task that has rows; adaptive execution keeps small ones together.
+
+    With ``order`` the rows are laid out in ranges of these columns (nulls first) and sorted within: the
+    files in the order of their names, read one after the other, are the sorted report. No task sees all
+    rows. ``rows_per_file`` cuts longer files.
+    """
+    by = [F.col(f"`{c}`").asc_nulls_first() for c in order or () if c in report.columns]
+    if by:
+        report = report.repartitionByRange(*by).sortWithinPartitions(*by)
+    report.write.mode("overwrite").option("header", "true").option("maxRecordsPerFile", rows_per_file).csv(path)
+
+
+def in_file_order(rows: DataFrame, name: str = "row_no") -> DataFrame:
+    """Numbers the rows of scanned files from 1, file by file in the order of their names.
+
+    Files are counted each on its own and then moved by the rows of the files before.
+    """
+    seen = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_seen"))
+    inside = F.row_number().over(Window.partitionBy("_file").orderBy("_seen"))
+    sizes = seen.groupBy("_file").agg(F.count(F.lit(1)).alias("_size"))
+    earlier = Window.partitionBy(F.lit(0)).orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_file", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"))  # a row per file
+    numbered = seen.withColumn("_inside", inside).join(F.broadcast(starts), "_file")
+    return numbered.select(*rows.columns, (F.col("_start") + F.col("_inside")).alias(name))
 
 
 def csv_source(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:

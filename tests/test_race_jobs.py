@@ -234,3 +234,50 @@ def test_models_and_reports(spark, lake):
     grid = {r["actual"]: (r["predicted_0"], r["predicted_1"]) for r in tables["confusion_grid"].collect()}
     assert sum(map(sum, grid.values())) == 2 * len(DRIVERS)
     assert files.csv_source(spark, f"{folder}/tables/data_volume_by_layer.csv", tables["data_volume_by_layer"].schema).count() == tables["data_volume_by_layer"].count()
+
+
+def test_a_failed_audit_leaves_the_current_version(spark, lake, tmp_path):
+    from lakeaudit.operators import reconcile as recon
+    from lakeaudit.sources import publish
+
+    root = f"{lake['root']}/silver"
+    before = publish.published(spark, root)
+    rows = {n: df.count() for n, df in jobs.read_silver(spark, root).items()}
+    with pytest.raises(ValueError, match="not published"):
+        jobs.silver_job(spark, f"{lake['root']}/bronze", root, judge=lambda frames: ["laps: too few"])
+    assert publish.published(spark, root) == before and len(before) == 1
+    assert {n: df.count() for n, df in jobs.read_silver(spark, root).items()} == rows
+    # a blocking slice stops the job before it writes
+    blocked = spark.createDataFrame([("missing_file",)], "reconciliation_status string").select(
+        F.lit(recon.BLOCKING_STATUSES[0]).alias("reconciliation_status"))
+    with pytest.raises(ValueError, match="blocking"):
+        jobs.silver_job(spark, f"{lake['root']}/bronze", root, reconciled=blocked)
+    assert publish.published(spark, root) == before
+
+
+def test_versions(spark, tmp_path):
+    from lakeaudit.sources import publish
+
+    root = str(tmp_path / "layer")
+    assert publish.published(spark, root) == [] and publish.current_folder(spark, root) == root
+    names = []
+    for i in range(3):
+        names.append(publish.new_version(spark, root))
+        assert publish.current_folder(spark, root) == (publish.version_folder(root, names[-2]) if i else root)
+        publish.publish(spark, root, names[-1])
+        assert publish.current_folder(spark, root) == publish.version_folder(root, names[-1])
+    assert publish.published(spark, root) == names == sorted(names)
+    with pytest.raises(FileExistsError):
+        publish.publish(spark, root, names[0])
+    publish.withdraw(spark, root, names[2])
+    assert publish.current_folder(spark, root) == publish.version_folder(root, names[1])
+
+
+def test_faults_name_repeated_keys_and_emptied_tables(spark):
+    repeated = spark.createDataFrame(
+        [("laps", "key_duplicate", 2, "after"), ("laps", "key_duplicate", 2, "before"), ("race_control", "full_row", 3, "after")],
+        "table_name string, duplicate_type string, duplicate_key_count long, stage string")
+    impact = spark.createDataFrame([("pit", 5, 0), ("weather", 5, 4), ("drivers", 0, 0)], "table_name string, rows_before long, rows_after long")
+    found = jobs.silver_faults({"silver_duplicate_report": repeated, "silver_cleaning_impact_summary": impact})
+    assert "pit: no row left" in found and not any(f.startswith(("weather", "drivers", "race_control")) for f in found)
+    assert ("laps: repeated keys" in found) == bool(race.SPECS["laps"].dedupe_keys)

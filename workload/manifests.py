@@ -307,6 +307,16 @@ def roundtrip_sinks(spark, sf_dir):
     return out
 
 
+def sorted_report_files(spark, sf_dir):
+    """A report written in order over several files, and its rows in the order of the files."""
+    path = f"{scratch_path(spark, 'sorted')}/report.csv"
+    lines = table(spark, sf_dir, "lineitem")
+    report = lines.groupBy("l_suppkey", "l_returnflag").agg(
+        F.count(F.lit(1)).alias("line_count"), F.sum("l_linenumber").alias("numbers"))
+    files.csv_sink(report, path, ["l_returnflag", "l_suppkey"], rows_per_file=50)
+    return files.in_file_order(files.csv_source(spark, path, report.schema))
+
+
 def endpoint_row_counts(spark, sf_dir):
     return ops.rows_by_endpoint(_frame(spark, sf_dir, "files"))
 
@@ -419,6 +429,7 @@ BRONZE_CHECKS = (
 )
 
 QUERIES = {
+    "sorted_report_files": sorted_report_files,
     "latest_preferred": latest_preferred,
     "largest_per_key": largest_per_key,
     "reconcile": reconcile,
@@ -452,6 +463,9 @@ QUERIES = {
 }
 
 ORACLES = {
+    "sorted_report_files": "select *, row_number() over (order by l_returnflag, l_suppkey) as row_no from ("
+    "select l_suppkey, l_returnflag, count(*) as line_count, cast(sum(l_linenumber) as bigint) as numbers "
+    "from lineitem group by all)",
     "latest_preferred": f"with {RECONCILED_SQL} select * exclude (nth) replace (cast(record_count as bigint) as record_count) from m",
     "largest_per_key": f"with {RECONCILED_SQL} select * exclude (nth) from f",
     "reconcile": f"with {RECONCILED_SQL} select * from reconciled",
