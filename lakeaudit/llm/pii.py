@@ -47,7 +47,8 @@ WINDOW, STRIDE, MARGIN = 80, 32, 24
 # The patterns are fixed by the contract of the query.
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+# a match begins where its digits begin, so the rest of a long run need not be tried
+_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++)(?:\.[0-9]++)(?:\.[0-9]++)")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[0-9]")
@@ -94,7 +95,8 @@ def _digits(text: str) -> str:
 
 
 def _is_ip(text: str) -> bool:
-    return all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in text.split("."))
+    parts = [p.lstrip("0") or "0" for p in text.split(".")]
+    return all(len(p) <= 3 and int(p) <= 255 for p in parts)
 
 
 def _is_card(text: str) -> bool:
@@ -400,14 +402,15 @@ def training_set(windows: list[tuple[str, list[Span]]], planted: int = PLANTED,
 
 def train(docs: DataFrame, text_col: str = "text", sample_docs: int = SAMPLE_DOCS, planted: int = PLANTED,
           steps: int = STEPS) -> Tagger:
-    """A tagger fitted on at most ``sample_docs`` texts, chosen by a hash of the text."""
+    """A tagger fitted on at most ``sample_docs`` different texts, those with the least hashes of a share."""
     ready(docs.sparkSession)
     texts = docs.where(F.col(text_col).isNotNull()).select(
         F.col(text_col).cast("string").alias("t"), F.abs(F.xxhash64(text_col)).alias("seed"))
     rows = texts.count()
     places = 1_000_003
     some = texts.where(F.pmod(F.col("seed"), F.lit(places)) < int(places * min(1.0, 1.3 * sample_docs / max(rows, 1))))
-    windows = some.limit(sample_docs).mapInArrow(
+    some = some.dropDuplicates(["seed"]).orderBy("seed", "t").limit(sample_docs)
+    windows = some.mapInArrow(
         _sampled_windows, "window string, kinds array<string>, starts array<int>, ends array<int>")
     found = sorted((r["window"], list(zip(r["kinds"], r["starts"], r["ends"]))) for r in windows.collect())
     tagger = Tagger(_TAGS, _forbidden())

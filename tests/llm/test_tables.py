@@ -449,3 +449,20 @@ def test_packed_documents_carry_their_tokens(docs, rows):
     places = sorted((r.sequence_id, r.offset, r.length) for r in found)
     for (s, o, n), (s2, o2, _) in zip(places, places[1:]):
         assert (s2 == s and o2 == o + n) or (s2 > s and o2 == 0)
+
+
+def test_long_digit_runs_are_read_in_linear_time():
+    import re
+    import time
+
+    from lakeaudit.llm import pii
+
+    plain = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+    rng = random.Random(8)
+    for _ in range(3000):
+        text = "".join(rng.choice("0123 ..x-+") for _ in range(40))
+        assert [m.span() for m in pii._IP.finditer(text)] == [m.span() for m in plain.finditer(text)]
+    start = time.monotonic()
+    assert [k for k, _, _ in pii.base_spans("0" * 5000 + ".1.1.1")] == ["ip"]
+    assert pii.base_spans("9" * 1_000_000) == []
+    assert time.monotonic() - start < 20
