@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from lakeaudit.functions.brackets import column_stats
 from lakeaudit.functions.columns import (
-    as_text, content_key, double_cell, dtype_of, is_numeric, name_at, pct, present, quoted, rows_frame, stacked,
+    as_text, content_key, double_cell, dtype_of, is_numeric, name_at, pct, present, quoted, row_digest, rows_frame, stacked,
 )
 from lakeaudit.functions.ordered import falls_in_time
 from lakeaudit.functions.skew import left_join
@@ -27,8 +27,7 @@ KEY_DUPLICATES_DDL = (
 def full_row_duplicates(df: DataFrame, table: str, columns: list[str] | None = None) -> DataFrame:
     """Copies beyond the first of rows with equal content."""
     names = columns or df.columns
-    keys = [content_key(quoted(c), dtype_of(df, c)).alias(c) for c in names]
-    copies = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
+    copies = df.select(row_digest(df, names).alias("_row")).groupBy("_row").agg(F.count(F.lit(1)).alias("_copies"))
     return copies.agg(
         F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("_extra"),
         F.coalesce(F.sum("_copies"), F.lit(0)).alias("_rows"),

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from lakeaudit.functions.brackets import column_stats
 from lakeaudit.functions.columns import (
-    CELL_PARTS, as_text, content_key, double_cell, dtype_of, groupable, is_numeric, name_at, not_nan, number_cells, pct, quoted,
-    rows_frame, value_cells,
+    CELL_PARTS, as_text, double_cell, dtype_of, groupable, is_numeric, name_at, not_nan, number_cells, pct, quoted,
+    row_digest, rows_frame, value_cells,
 )
 
 # The percentiles of the numeric summary.
@@ -123,15 +123,15 @@ def numeric_summary(
 def table_profile(df: DataFrame, table: str) -> DataFrame:
     """Rows, columns, copies beyond the first of identical rows, empty cells.
 
-    Rows are grouped on their whole content once; the empty cells of a group are counted on its key.
+    Rows are grouped on a digest of their content, which carries their number of empty cells along.
     """
     nulls = sum((not_nan(quoted(c), dtype_of(df, c)).isNull().cast("bigint") for c in df.columns), F.lit(0).cast("bigint"))
-    keys = [content_key(quoted(c), dtype_of(df, c)).alias(c) for c in df.columns]
-    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
+    rows = df.select(row_digest(df, df.columns).alias("_row"), nulls.alias("_nulls"))
+    groups = rows.groupBy("_row", "_nulls").agg(F.count(F.lit(1)).alias("_copies"))
     width = F.lit(len(df.columns)).cast("bigint")
     rows = F.coalesce(F.sum("_copies"), F.lit(0))
     empty = F.coalesce(F.sum(F.col("_copies") * F.col("_nulls")), F.lit(0))
-    return groups.select("_copies", nulls.alias("_nulls")).agg(
+    return groups.agg(
         rows.alias("row_count"), F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_full_rows"),
         empty.alias("total_missing_cells"),
     ).select(
