@@ -13,6 +13,10 @@ from lakeaudit.functions.columns import dtype_of, is_numeric, quoted, rows_frame
 from lakeaudit.functions.durable import durable
 
 WEIGHT = "class_weight"
+#: Training rows of a task at least: every pass of a fit starts its tasks anew.
+ROWS_PER_TASK = 50_000
+#: Node statistics that a task of the forest holds.
+NODE_MEMORY_MB = 768
 
 
 def split_types(df: DataFrame, features: list[str]) -> tuple[list[str], list[str]]:
@@ -47,6 +51,11 @@ def usable_features(train: DataFrame, features: list[str]) -> list[str]:
     return [c for i, c in enumerate(features) if filled[f"f{i}"] > 0]
 
 
+def in_few_tasks(train: DataFrame) -> DataFrame:
+    """Small tables in few partitions, without a shuffle; large ones keep theirs."""
+    return train.coalesce(max(1, -(-train.count() // ROWS_PER_TASK)))
+
+
 def most_frequent(df: DataFrame, text: list[str]) -> dict[str, str]:
     """Mode of each text column (the smallest on a tie); one small row per column reaches the driver.
 
@@ -97,7 +106,11 @@ def classifiers(target: str, seed: int = 42, forest_depth: int = 30) -> dict[str
     common = {"labelCol": target, "featuresCol": "features", "weightCol": WEIGHT}
     return {
         "logistic_regression": LogisticRegression(maxIter=1000, **common),
-        "random_forest": RandomForestClassifier(numTrees=200, seed=seed, maxDepth=forest_depth, **common),
+        # how trees are grown, not what they are: rows keep their node instead of trees being sent
+        # with every pass, and a pass grows as many nodes as fit
+        "random_forest": RandomForestClassifier(
+            numTrees=200, seed=seed, maxDepth=forest_depth, cacheNodeIds=True, checkpointInterval=10,
+            maxMemoryInMB=NODE_MEMORY_MB, **common),
         "boosted_trees": GBTClassifier(maxIter=200, stepSize=0.05, seed=seed, maxDepth=5, **common),
     }
 
@@ -109,7 +122,7 @@ def fit(
     features = usable_features(train, features)
     stages, modes = preprocess_stages(train, features, scale)
     weighted = train.fillna(modes).withColumn(WEIGHT, class_weight(train, target))
-    return Pipeline(stages=[*stages, classifier]).fit(weighted), modes, features
+    return Pipeline(stages=[*stages, classifier]).fit(in_few_tasks(weighted)), modes, features
 
 
 def score(
