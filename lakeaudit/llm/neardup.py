@@ -21,7 +21,8 @@ Defined results
   * Words are lower-cased (A to Z) and split at white space. A text with fewer words than a shingle
     is one shingle; a text without words, or null, has an empty set and is linked with nothing.
   * Rows with a null key are linked with nothing: ``component_id`` is null and they are kept.
-  * Rows that repeat a key are the same document: all of them are kept or none.
+  * Rows that repeat a key with the same text are kept together or dropped together; a key with several
+    texts is judged text by text.
   * Shingles and sets are compared by 64-bit hashes. Only the named columns are read.
 """
 
