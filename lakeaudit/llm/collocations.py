@@ -37,7 +37,7 @@ from lakeaudit.llm.common import _byte_values, _powers, _BASE, durable, mix, rea
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 BLANKS = b" \t"
 #: Bytes of text that a block holds, and bytes hashed at a time.
-BLOCK_BYTES = 1 << 23
+BLOCK_BYTES = 1 << 22
 HASH_BYTES = 1 << 20
 #: Buckets of next words: of the empty prefix, which every word follows, and of any other.
 ROOT_BUCKETS, BUCKETS = 1024, 16
