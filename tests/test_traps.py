@@ -207,6 +207,25 @@ def test_left_join_of_keys_alone(spark):
     assert got == sorted([(1, "a")] * 9 + [(2, None), (None, None)], key=str)
 
 
+def test_left_join_neither_copies_nor_broadcasts(spark):
+    left = spark.range(100).selectExpr("id % 7 as k", "id as i")
+    right = spark.range(5).groupBy(F.col("id").alias("k")).agg(F.max("id").alias("v"))
+    df = skew.left_join(left, right, ["k"])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Broadcast" not in plan
+    # both sides are shuffled for the join itself, where a hot key can be split
+    assert plan.count("hashpartitioning(k") == 2
+    assert sorted(map(tuple, df.collect())) == sorted((i % 7, i, i % 7 if i % 7 < 5 else None) for i in range(100))
+
+
+@pytest.mark.parametrize("kinds", [("double", "double"), ("int", "bigint"), ("string", "int"), ("string collate UTF8_LCASE",) * 2])
+def test_left_join_keys_that_are_equal_but_not_alike(spark, kinds):
+    given = [("a", "A")] if "collate" in kinds[0] else [("0", "-0"), ("7", "7")]
+    left = spark.createDataFrame([(a,) for a, _ in given], "k string").select(F.col("k").cast(kinds[0]))
+    right = spark.createDataFrame([(b, "x") for _, b in given], "k string, v string").select(F.col("k").cast(kinds[1]), "v")
+    assert [r["v"] for r in skew.left_join(left, right, ["k"]).collect()] == ["x"] * len(given)
+
+
 def test_building_a_join_runs_no_job(spark):
     left = spark.createDataFrame([(1, i) for i in range(9)] + [(2, 0)], "k int, i int")
     look = spark.createDataFrame([(1, 5), (2, 6)], "k int, m int")
