@@ -58,6 +58,16 @@ def test_one_scan_per_audit(spark):
     assert plan(own.QUERIES["key_duplicates"](spark, SF)).count("FileScan") == 3
 
 
+def test_sketches_are_checked_without_shuffling_cells(spark):
+    """Only partial aggregates and the sketches, a row per column, leave the scan of the cells."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(own.QUERIES["numeric_summary_approx_check"](spark, SF))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in text and "BroadcastHashJoin" in text
+
+
 def test_models_and_sketches_give_whole_results(spark, monkeypatch):
     """Queries without SQL give their values at the library's settings; the checks stand beside them."""
     queries = entry.queries()

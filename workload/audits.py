@@ -44,7 +44,7 @@ def numeric_summary_approx_check(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
     sketched = profile.numeric_summary(lines, "lineitem", approx=True)
     cells = lines.select(*[F.col(c).cast("double").alias(c) for c in NUMERIC]).unpivot([], NUMERIC, "column_name", "cell")
-    joined = cells.join(sketched, "column_name")
+    joined = cells.join(F.broadcast(sketched), "column_name")  # a row per column
     ranks = [
         (F.avg((F.col("cell") < F.col(q)).cast("int")) <= p + 0.01) & (F.avg((F.col("cell") <= F.col(q)).cast("int")) >= p - 0.01)
         for q, p in profile.SUMMARY_QUANTILES.items()]
