@@ -475,3 +475,29 @@ def test_missing_columns_do_not_fail_a_check(spark):
 def test_mixed_types(spark):
     df = spark.createDataFrame([("1", "a", None), ("2.5", "3", None)], "n string, m string, e string")
     assert dict(profile.mixed_type_columns(df).dtypes) == {"n": "double", "m": "string", "e": "string"}
+
+
+def test_training_vectors_are_stored_once(spark):
+    """A classifier gets stored vectors, not the stages before it, and learns what it learned in one pipeline."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import RandomForestClassifier
+
+    seen = []
+
+    class Spied(RandomForestClassifier):
+        def fit(self, dataset, params=None):
+            seen.append(dataset)
+            return super().fit(dataset, params)
+
+    rows = spark.range(400).selectExpr(
+        "if(id % 9 = 0, null, id % 50) as a", "cast(id % 7 as double) as b", "if(id % 11 = 0, null, concat('t', id % 3)) as c",
+        "cast(id % 50 > 20 and id % 3 > 0 as int) as y")
+    common = {"labelCol": "y", "featuresCol": "features", "weightCol": model.WEIGHT, "numTrees": 5, "maxDepth": 4, "seed": 42}
+    fitted, modes, used = model.fit(rows, ["a", "b", "c"], "y", Spied(**common), scale=False)
+    assert seen[0].columns == ["features", "y", model.WEIGHT]
+    assert "RDD" in seen[0]._jdf.queryExecution().optimizedPlan().toString().splitlines()[0]
+    inputs = model.as_inputs(rows, used)
+    stages, _ = model.preprocess_stages(inputs, used, False)
+    weighted = inputs.fillna(modes).withColumn(model.WEIGHT, model.class_weight(inputs, "y"))
+    whole = Pipeline(stages=[*stages, RandomForestClassifier(**common)]).fit(model.in_few_tasks(weighted))
+    assert fitted.stages[-1].toDebugString.split("\n", 1)[1] == whole.stages[-1].toDebugString.split("\n", 1)[1]
