@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeaudit.llm.common import _byte_values, _powers, _BASE, durable, mix, ready, salted_join
+from lakeaudit.llm.common import _byte_values, _powers, _BASE, durable, give_back, mix, ready, run_starts, salted_join
 
 #: Fixed by the contract: what ends a piece, and what separates words.
 BREAKS = b".,;:!?\n\x0b\x0c\r"
@@ -40,6 +40,8 @@ BLANKS = b" \t"
 #: Bytes of text that a block holds, and bytes hashed at a time.
 BLOCK_BYTES = 1 << 23
 HASH_BYTES = 1 << 20
+#: Rows read, and stripes given, at a time, so that a worker and the JVM hold little of them.
+ROWS_AT_A_TIME, STRIPES_AT_A_TIME = 256, 1 << 14
 #: Buckets of next words: of the empty prefix, which every word follows, and of any other.
 ROOT_BUCKETS, BUCKETS = 1024, 16
 #: Bits of the marks of frequent phrases: 32 a phrase, up to 32 MB.
@@ -76,8 +78,7 @@ def words_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     kind = _KIND[data]
     inside = np.concatenate([[False], kind == 0, [False]])
     starts, ends = np.flatnonzero(inside[1:] & ~inside[:-1]), np.flatnonzero(~inside[1:] & inside[:-1])
-    breaks = np.concatenate([[0], np.cumsum(kind == 2, dtype=np.int64)])
-    piece = breaks[starts] if len(starts) else starts
+    piece = np.searchsorted(np.flatnonzero(kind == 2), starts)  # breaks before each word: no number per byte
     return starts, ends, _span_hashes(data, starts, ends), piece[1:] == piece[:-1]
 
 
@@ -105,19 +106,27 @@ class Marks:
         return (self.cells[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
 
 
-def _groups(lang: str, k: int, prefix: pa.Array, prefix_id: np.ndarray, bucket: np.ndarray,
-            following: pa.Array, n: np.ndarray) -> pa.RecordBatch:
-    """Stripes: entries ordered by prefix and bucket and cut into lists. ``prefix`` has a text per entry."""
+def _groups(lang: str, k: int, prefixes: pa.Array, prefix_id: np.ndarray, bucket: np.ndarray,
+            words: pa.Array, word_id: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Stripes: entries ordered by prefix and bucket and cut into lists, some thousand stripes at a time.
+
+    An entry's prefix and next word are numbers into ``prefixes`` and ``words``; texts are made once, in order.
+    """
     order = np.lexsort((bucket, prefix_id))
     key = prefix_id[order] * np.int64(ROOT_BUCKETS) + bucket[order]
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-    offsets = pa.array(np.append(first, len(key)), pa.int32())
-    heads = order[first]
-    return pa.RecordBatch.from_arrays(
-        [pa.array([lang] * len(heads), pa.string()), pa.array(np.full(len(heads), k, np.int32)), prefix.take(pa.array(heads)),
-         pa.array(bucket[heads].astype(np.int32)), pa.ListArray.from_arrays(offsets, following.take(pa.array(order))),
-         pa.ListArray.from_arrays(offsets, pa.array(n[order].astype(np.int64)))],
-        names=["lang", "k", "prefix", "bucket", "next", "n"])
+    del key
+    ends = np.append(first[1:], len(order))
+    for i in range(0, len(first), STRIPES_AT_A_TIME):
+        start, end = first[i:i + STRIPES_AT_A_TIME], ends[i:i + STRIPES_AT_A_TIME]
+        own, heads = order[start[0]:end[-1]], order[start]
+        offsets = pa.array(np.append(start, end[-1]) - start[0], pa.int32())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([lang] * len(heads), pa.string()), pa.array(np.full(len(heads), k, np.int32)),
+             prefixes.take(pa.array(prefix_id[heads])), pa.array(bucket[heads].astype(np.int32)),
+             pa.ListArray.from_arrays(offsets, words.take(pa.array(word_id[own]))),
+             pa.ListArray.from_arrays(offsets, pa.array(n[own].astype(np.int64)))],
+            names=["lang", "k", "prefix", "bucket", "next", "n"])
 
 
 def block_stripes(lang: str, text: bytes, marks: dict[int, Marks] | None, sizes: range) -> Iterator[pa.RecordBatch]:
@@ -129,12 +138,14 @@ def block_stripes(lang: str, text: bytes, marks: dict[int, Marks] | None, sizes:
     unique, where, ids = np.unique(hashes, return_index=True, return_inverse=True)
     raw, v = data.tobytes(), len(unique)
     words = pa.array([raw[a:b] for a, b in zip(starts[where].tolist(), ends[where].tolist())], pa.binary()).cast(pa.string())
+    del text, data, raw, starts, ends, where
     own = _lang_hash(lang)
     if 1 in sizes:
         bucket = (unique % np.uint64(ROOT_BUCKETS)).astype(np.int64)
-        empty = pa.array([""] * v, pa.string())
-        yield _groups(lang, 0, empty, np.zeros(v, np.int64), bucket, words, np.bincount(ids, minlength=v))
-        yield _groups(lang, -1, pa.array([""]), np.zeros(1, np.int64), np.zeros(1, np.int64), pa.array([""]), np.array([len(ids)]))
+        none = pa.array([""])
+        yield from _groups(lang, 0, none, np.zeros(v, np.int64), bucket, words, np.arange(v), np.bincount(ids, minlength=v))
+        zero = np.zeros(1, np.int64)
+        yield from _groups(lang, -1, none, zero, zero, none, zero, np.array([len(ids)]))
     place = np.arange(len(ids))  # where phrases of the present size begin
     number, texts = ids.astype(np.int64), words  # their number in the block, and the text of each number
     for size in range(2, sizes.stop):
@@ -149,15 +160,22 @@ def block_stripes(lang: str, text: bytes, marks: dict[int, Marks] | None, sizes:
             place, number = place[first], number[first]
             second = known.hold([hashes[place + 1 + i] for i in range(size - 1)], own)
             place, number = place[second], number[second]
-        last = ids[place + size - 1].astype(np.int64)
-        code, number, n = np.unique(number * v + last, return_inverse=True, return_counts=True)
+        code = number * v + ids[place + size - 1]
+        if size + 1 < sizes.stop:
+            code, number, n = np.unique(code, return_inverse=True, return_counts=True)
+        else:  # the last size: nothing is read from here on but the phrases
+            del place, number, ids, hashes, joined
+            code.sort()
+            first = run_starts(code)
+            n = np.diff(first, append=len(code))
+            code = code[first]
         head, tail = code // v, code % v
-        prefix, following = texts.take(pa.array(head)), words.take(pa.array(tail))
-        if size in sizes and len(code):
-            bucket = (unique[tail] % np.uint64(BUCKETS)).astype(np.int64)
-            yield _groups(lang, size - 1, prefix, head, bucket, following, n)
+        del code
+        if size in sizes and len(head):
+            bucket = (unique % np.uint64(BUCKETS)).astype(np.int64)[tail]
+            yield from _groups(lang, size - 1, texts, head, bucket, words, tail, n)
         if size + 1 < sizes.stop:
-            texts = pc.binary_join_element_wise(prefix, following, " ")
+            texts = pc.binary_join_element_wise(texts.take(pa.array(head)), words.take(pa.array(tail)), " ")
 
 
 def _pieces(text: bytes) -> Iterator[bytes]:
@@ -172,28 +190,40 @@ def _pieces(text: bytes) -> Iterator[bytes]:
     yield text[start:] if start else text
 
 
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes | None]]:
+    """(lang, text) of all rows; a batch holds up to 10,000 texts, of which some at a time become Python's."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS_AT_A_TIME):
+            part = batch.slice(at, ROWS_AT_A_TIME)
+            yield from zip(part.column("lang").to_pylist(), part.column("text").cast(pa.binary()).to_pylist())
+
+
 def _stripes(marks: dict[int, Marks] | None, sizes: range):
     def run(batches):
         held: dict[str, list[bytes]] = {}
         size: dict[str, int] = {}
         total = 0
-        for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
-                if not text:
-                    continue
-                for part in _pieces(text):
-                    held.setdefault(lang, []).append(part)
-                    size[lang] = size.get(lang, 0) + len(part)
-                    total += len(part)
-                    if size[lang] >= BLOCK_BYTES:
-                        total -= size.pop(lang)
-                        yield from block_stripes(lang, b"\n".join(held.pop(lang)), marks, sizes)
-                    while total >= 4 * BLOCK_BYTES:  # many small languages
-                        most = max(size, key=size.get)
-                        total -= size.pop(most)
-                        yield from block_stripes(most, b"\n".join(held.pop(most)), marks, sizes)
-        for lang, parts in held.items():
-            yield from block_stripes(lang, b"\n".join(parts), marks, sizes)
+        for lang, text in _rows(batches):
+            if not text:
+                continue
+            for part in _pieces(text):
+                held.setdefault(lang, []).append(part)
+                size[lang] = size.get(lang, 0) + len(part)
+                total += len(part)
+                if size[lang] >= BLOCK_BYTES:
+                    total -= size.pop(lang)
+                    yield from block_stripes(lang, b"\n".join(held.pop(lang)), marks, sizes)
+                while total >= 4 * BLOCK_BYTES:  # many small languages
+                    most = max(size, key=size.get)
+                    total -= size.pop(most)
+                    yield from block_stripes(most, b"\n".join(held.pop(most)), marks, sizes)
+        while held:
+            lang, parts = held.popitem()
+            text = b"\n".join(parts)
+            del parts
+            yield from block_stripes(lang, text, marks, sizes)
+            del text
+        give_back()
     return run
 
 

@@ -2,9 +2,11 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lakeaudit.llm import collocations as co
@@ -83,3 +85,25 @@ def test_marks_never_lose_a_phrase(spark):
         assert marks.hold([hashes[:1], hashes[1:]], co._lang_hash(lang)).all()
     strange = co.words_of(np.frombuffer(" ".join(f"q{i}" for i in range(4000)).encode(), dtype=np.uint8))[2].reshape(-1, 2)
     assert marks.hold([strange[:, 0], strange[:, 1]], co._lang_hash("x")).mean() < 0.1
+
+
+def test_a_block_is_worked_on_in_little_memory():
+    rng = np.random.default_rng(4)
+    text = " ".join(f"w{i}" for i in (rng.zipf(1.3, 400_000) % 60_000).tolist()).encode()
+    tracemalloc.start()
+    largest = 0
+    for batch in co.block_stripes("x", text, None, range(1, 3)):
+        largest = max(largest, batch.num_rows)
+        del batch
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50 * len(text) and largest <= co.STRIPES_AT_A_TIME, (peak / len(text), largest)
+
+
+def test_texts_of_a_batch_are_read_some_at_a_time():
+    batch = pa.RecordBatch.from_pydict({"lang": ["x"] * 9000, "text": ["some words of a text " * 40] * 8999 + [None]})
+    tracemalloc.start()
+    rows = sum(1 for _ in co._rows(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 9000 and peak < 9000 * 800 / 4, peak
