@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeaudit.llm.common import ready, table, text_slices
+from lakeaudit.llm.common import give_back, ready, table, text_slices
 
 #: Bound of the sample that the classifiers are fitted on, per language.
 ROWS_PER_LANGUAGE = 400
@@ -64,21 +64,31 @@ def vectors(column: pa.Array):
         yield start, out, has
 
 
-def linear_svm(x: np.ndarray, positive: np.ndarray, c: float = 10.0, epochs: int = 12) -> np.ndarray:
-    """Weights of an L2-loss SVM; both classes weigh the same in total. The last column of ``x`` is 1."""
+def linear_svm(x: np.ndarray, positive: np.ndarray, c: float = 10.0, epochs: int = 12,
+               rows: np.ndarray | None = None) -> np.ndarray:
+    """Weights of an L2-loss SVM; both classes weigh the same in total. The last column of ``x`` is 1.
+
+    ``rows`` are the rows of ``x`` to learn from (all, if not given); they are read one by one, not copied.
+    """
+    rows = np.arange(len(x)) if rows is None else rows
     y = np.where(positive, 1.0, -1.0)
     share = np.where(positive, 0.5 / max(positive.mean(), 1e-9), 0.5 / max(1 - positive.mean(), 1e-9))
     damp = 0.5 / (c * share)
-    square = np.einsum("ij,ij->i", x, x).astype(np.float64) + damp
-    alpha, w = np.zeros(len(x)), np.zeros(x.shape[1])
+    square = np.empty(len(rows))
+    for at in range(0, len(rows), MOST_ROWS):
+        part = x[rows[at:at + MOST_ROWS]].astype(np.float32)
+        square[at:at + MOST_ROWS] = np.einsum("ij,ij->i", part, part)
+    square += damp
+    alpha, w = np.zeros(len(rows)), np.zeros(x.shape[1])
     order = np.random.default_rng(3)
     for _ in range(epochs):
-        for i in order.permutation(len(x)):
-            slope = y[i] * (x[i] @ w) - 1 + damp[i] * alpha[i]
+        for i in order.permutation(len(rows)):
+            row = x[rows[i]].astype(np.float64)
+            slope = y[i] * (row @ w) - 1 + damp[i] * alpha[i]
             step = max(alpha[i] - slope / square[i], 0.0) - alpha[i]
             if step:
                 alpha[i] += step
-                w += step * y[i] * x[i]
+                w += step * y[i] * row
     return w.astype(np.float32)
 
 
@@ -175,19 +185,27 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "lang", ke
     sample = known.where(F.pmod(F.col("seed"), F.lit(1_000_003)) < part * 1_000_003)
     seat = F.row_number().over(Window.partitionBy("label").orderBy("seed", F.crc32("t")))
     sample = sample.withColumn("_seat", seat).where(F.col("_seat") <= rows_per_language).drop("_seat")
-    found = sample.mapInArrow(_examples, "label string, whole boolean, x binary").where("x is not null").toPandas()
-    languages = sorted(found["label"].unique())
+    found = sample.mapInArrow(_examples, "label string, whole boolean, x binary").where("x is not null").toArrow()
+    labels = found["label"].to_pylist()
+    languages = sorted(set(labels))
     if not languages:
         return Model([], [], np.zeros((0, WIDTH + 1), dtype=np.float32))
-    y = found["label"].map({n: i for i, n in enumerate(languages)}).to_numpy()
-    order = np.lexsort((found["x"].map(hash_of).to_numpy(), y))  # the same model for any order of rows
-    y, whole, blobs = y[order], found["whole"].to_numpy()[order], found["x"].to_numpy()[order]
-    x = np.ones((len(y), WIDTH + 1), dtype=np.float32)  # one copy: this is most of what the driver holds
-    for i, blob in enumerate(blobs):
-        x[i, :WIDTH] = np.frombuffer(blob, dtype=np.float16)
-    del found, blobs
-    groups = families(np.stack([x[(y == i) & whole, :WIDTH].mean(0) if ((y == i) & whole).any() else x[y == i, :WIDTH].mean(0)
-                                for i in range(len(languages))]))
+    number = {n: i for i, n in enumerate(languages)}
+    y = np.array([number[n] for n in labels])
+    order = np.lexsort(([hash_of(b.as_py()) for b in found["x"]], y))  # the same model for any order of rows
+    y, whole = y[order], found["whole"].to_numpy()[order]
+    x = np.ones((len(y), WIDTH + 1), dtype=np.float16)  # as sent, and one copy: this is most of what the driver holds
+    seat = np.empty(len(order), dtype=np.int64)
+    seat[order] = np.arange(len(order))
+    for i, blob in zip(seat.tolist(), found["x"]):
+        x[i, :WIDTH] = np.frombuffer(blob.as_py(), dtype=np.float16)
+    del found
+    give_back()
+    means = []
+    for i in range(len(languages)):
+        own = (y == i) & whole
+        means.append(x[own if own.any() else y == i, :WIDTH].astype(np.float32).mean(0))
+    groups = families(np.stack(means))
     family = np.zeros(len(languages), dtype=np.int64)
     for f, members in enumerate(groups):
         family[members] = f
@@ -195,8 +213,8 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "lang", ke
     pairs = [(a, b) for members in groups for i, a in enumerate(members) for b in members[i + 1:]]
     pair_weights = []
     for a, b in pairs:
-        rows = (y == a) | (y == b)
-        pair_weights.append(linear_svm(x[rows], y[rows] == a))
+        rows = np.flatnonzero((y == a) | (y == b))
+        pair_weights.append(linear_svm(x, y[rows] == a, rows=rows))
     return Model(languages, groups, np.array(weights), pairs, np.array(pair_weights) if pairs else None)
 
 
@@ -218,9 +236,11 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
                 for i in np.flatnonzero(has):
                     names[start + i] = model.languages[picked[i]]
                     scores[start + i] = score[i]
+        give_back()
         return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores)], ["lang_pred", "score"])
 
-    found = docs.withColumn("_language", language(F.col(text_col).cast("string")))
+    # a filter on the language would otherwise be pushed below it and predict every text a second time
+    found = docs.withColumn("_language", language.asNondeterministic()(F.col(text_col).cast("string")))
     return found.withColumns({
         "lang_pred": F.col("_language")["lang_pred"], "score": F.col("_language")["score"]}).drop("_language")
 

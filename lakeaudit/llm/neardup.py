@@ -33,7 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeaudit.llm.common import durable, mix, ready, salted_join, table, text_slices, window_hashes, word_hashes
+from lakeaudit.llm.common import (
+    durable, give_back, mix, ready, salted_join, table, text_slices, window_hashes, word_hashes)
 from lakeaudit.llm.components import components
 
 BANDS, ROWS = 24, 3
@@ -143,6 +144,7 @@ def _signatures(key: str, size: int):
                 yield pa.record_batch({
                     key: batch.column(0).slice(start, stop - start), "n_shingles": pa.array(np.diff(at)),
                     "node": pa.array(_nodes(flat, at), mask=~full), "bands": keys.take(picked), "sketch": sketch.take(picked)})
+        give_back()
     return sign
 
 
@@ -161,6 +163,7 @@ def _full_sets(size: int):
                 sketch = odd_sketches(samples(own, np.concatenate([[0], np.cumsum(sizes)])))
                 yield pa.record_batch({
                     "node": pa.array(nodes[rows]), "sketch": pa.array([x.tobytes() for x in sketch], pa.binary()), "full": pa.array([flat[at[i]:at[i + 1]].tobytes() for i in rows], pa.binary())})
+        give_back()
     return build
 
 
@@ -192,16 +195,20 @@ def _sketched(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
 
     theirs = sketches.select(F.col("node").alias("hub"), F.col("sketch").alias("theirs"))
     both = salted_join(pairs, theirs, ["hub"], salts=8).join(sketches.select("node", F.col("sketch").alias("own")), "node")
-    return both.select("node", "hub", ones("own", "theirs").alias("ones")).where(F.col("ones") <= most)
+    # else the filter would count the ones a second time
+    counted = ones.asNondeterministic()("own", "theirs").alias("ones")
+    return both.select("node", "hub", counted).where(F.col("ones") <= most)
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs whose full sets reach the similarity, as edges (a, b)."""
     def check(batches):
         for batch in batches:
-            a, b = batch.column("own").to_pylist(), batch.column("theirs").to_pylist()
-            good = [alike(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in zip(a, b)]
+            # the sets of one pair at a time leave Arrow's memory
+            good = [alike(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64), percent)
+                    for x, y in zip(batch.column("own"), batch.column("theirs"))]
             yield pa.record_batch({"a": batch.column("node"), "b": batch.column("hub")}).filter(pa.array(good, pa.bool_()))
+        give_back()
 
     both = _with_sets(pairs, sets)
     return both.select("node", "hub", "own", "theirs").mapInArrow(check, "a long, b long")

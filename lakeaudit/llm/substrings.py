@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeaudit.llm.common import (
-    pack_sorted, ready, run_starts, table, text_slices, unpack_sorted, window_hashes, word_hashes)
+    give_back, pack_sorted, ready, run_starts, table, text_slices, unpack_sorted, window_hashes, word_hashes)
 
 WINDOW = 50
 #: Bytes of text in a batch; there are some batches at least, so that small tables too are spread.
@@ -88,6 +88,7 @@ class _Batch:
 
 def _probe(window: int, ranges: int):
     def send(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        give_back()
         probes, blocks = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
         for _, hashes, aligned in _Batch(rows, window).anchors():
             probes.append(np.unique(hashes))
@@ -102,19 +103,27 @@ def _probe(window: int, ranges: int):
     return send
 
 
+def _among(hashes: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Those of the hashes that are among the sorted known ones."""
+    if not len(known):
+        return hashes[:0]
+    return hashes[known[np.minimum(np.searchsorted(known, hashes), len(known) - 1)] == hashes]
+
+
 def _match(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
     """Probes of two batches or more that hit an indexed block, for each batch that has them."""
+    give_back()
     batches = rows.column("_batch").to_numpy()
-    probes = [unpack_sorted(b) for b in rows.column("probes").to_pylist()]
-    blocks = np.unique(np.concatenate([unpack_sorted(b) for b in rows.column("blocks").to_pylist()]))
+    blocks = np.unique(np.concatenate([unpack_sorted(b.as_py()) for b in rows.column("blocks")]))
+    # most probes hit no block: those go before the batches are put together
+    probes = [_among(unpack_sorted(b.as_py()), blocks) for b in rows.column("probes")]
     hashes = np.concatenate(probes)
     owner = np.repeat(np.arange(len(probes), dtype=np.int32), [len(p) for p in probes])
     order = np.argsort(hashes, kind="stable")
     hashes, owner = hashes[order], owner[order]
     starts = run_starts(hashes)
     sizes = np.diff([*starts, len(hashes)])
-    indexed = np.isin(hashes[starts], blocks, assume_unique=True)
-    chosen = np.repeat((sizes > 1) & indexed, sizes)
+    chosen = np.repeat(sizes > 1, sizes)
     hashes, owner = hashes[chosen], owner[chosen]
     order = np.argsort(owner, kind="stable")  # hashes stay sorted within an owner
     hashes, owner = hashes[order], owner[order]
@@ -127,6 +136,7 @@ def _match(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
 
 def _extend(window: int, ranges: int):
     def send(key, rows: pa.Table, answers: pa.Table) -> pa.Table:
+        give_back()
         batch = _Batch(rows, window)
         anchors = list(batch.anchors())
         # hits: what the hash ranges answered, and indexed blocks found twice in this batch
@@ -162,6 +172,7 @@ def _extend(window: int, ranges: int):
 
 def _least(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
     """For each batch: its windows that start in an earlier document of another batch, and that one."""
+    give_back()
     batches = rows.column("_batch").to_numpy()
     windows = [unpack_sorted(b) for b in rows.column("windows").to_pylist()]
     owners = np.concatenate([np.frombuffer(b, np.int64) for b in rows.column("owners").to_pylist()])
@@ -185,6 +196,7 @@ def _least(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
 
 def _remove(window: int, as_is: bool):
     def cut(key, rows: pa.Table, answers: pa.Table) -> pa.Table:
+        give_back()
         batch = _Batch(rows, window)
         hashes = [unpack_sorted(b) for b in answers.column("windows").to_pylist()]
         owners = [np.frombuffer(b, np.int64) for b in answers.column("owners").to_pylist()]

@@ -104,3 +104,10 @@ def test_components(spark):
     got = {r["node"]: r["label"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 0, 200: 200, 201: 200, 202: 200}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_a_filter_on_the_ones_counts_once(spark):
+    sketches = spark.createDataFrame([(i, bytes(neardup.SKETCH_BITS // 8)) for i in range(3)], "node long, sketch binary")
+    pairs = neardup._sketched(spark.createDataFrame([(0, 1), (2, 1)], "node long, hub long"), sketches, 80)
+    assert pairs._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert sorted(map(tuple, pairs.collect())) == [(0, 1, 0), (2, 1, 0)]

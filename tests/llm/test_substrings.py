@@ -1,8 +1,10 @@
 """Exact substring de-duplication against brute force."""
 
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lakeaudit.llm import substrings
@@ -58,3 +60,22 @@ def test_packed_integers_come_back():
         values = np.unique(rng.integers(0, 2**bits - 1, n, dtype=np.uint64))
         assert (unpack_sorted(pack_sorted(values)) == values).all()
     assert len(unpack_sorted(pack_sorted(np.zeros(0, np.uint64)))) == 0
+
+
+def test_a_hash_range_holds_little_more_than_its_hits():
+    rng = np.random.default_rng(4)
+    common = rng.integers(0, 1 << 48, 200, dtype=np.uint64)
+    probes = [np.unique(np.concatenate([rng.integers(0, 1 << 48, 12_000, dtype=np.uint64), common])) for _ in range(40)]
+    probes.append(np.unique(common[:5]))
+    rows = pa.table({
+        "_range": pa.array([0] * 41, pa.int64()), "_batch": pa.array(range(41), pa.int64()),
+        "probes": pa.array([pack_sorted(p) for p in probes], pa.binary()),
+        "blocks": pa.array([pack_sorted(p[::25]) for p in probes[:-1]] + [b""], pa.binary())})
+    tracemalloc.start()
+    out = substrings._match((pa.scalar(0),), rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    count, indexed = Counter(h for p in probes for h in p.tolist()), {h for p in probes[:-1] for h in p[::25].tolist()}
+    wanted = {i: [h for h in p.tolist() if count[h] > 1 and h in indexed] for i, p in enumerate(probes)}
+    assert {r["_batch"]: unpack_sorted(r["hits"]).tolist() for r in out.to_pylist()} == {i: h for i, h in wanted.items() if h}
+    assert peak < 2 * rows.nbytes, peak / rows.nbytes

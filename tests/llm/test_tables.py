@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -174,6 +175,27 @@ def test_language_of_awkward_rows(docs, no_docs, rows):
     assert language.predict(no_docs, model).collect() == []
 
 
+def test_a_filter_on_the_language_predicts_once(docs):
+    found = language.predict(docs, language.fit(docs)).where(F.col("lang_pred") != language.UNKNOWN)
+    assert found._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
+def test_classifiers_read_half_precision_rows_without_copies():
+    rng = np.random.default_rng(1)
+    x = np.ones((1200, language.WIDTH + 1), dtype=np.float16)
+    x[:, :-1] = np.sqrt(rng.poisson(0.05, (1200, language.WIDTH))) / 10
+    y = rng.integers(0, 3, 1200)
+    x[np.arange(1200), y] += 0.2
+    rows = np.flatnonzero(y < 2)
+    alone = language.linear_svm(x[rows].astype(np.float32), y[rows] == 0)
+    language.linear_svm(x, y[rows] == 0, epochs=1, rows=rows)
+    tracemalloc.start()
+    assert (language.linear_svm(x, y[rows] == 0, rows=rows) == alone).all()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 * language.MOST_ROWS * x.shape[1] * 1.8, peak
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = language.op7(spark, "/root/testdata/sf0.01").join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
