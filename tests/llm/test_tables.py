@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -180,6 +181,12 @@ def test_a_filter_on_the_language_predicts_once(docs):
     assert found._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
 
 
+def test_examples_pass_through_the_driver_compressed():
+    batch = pa.RecordBatch.from_pydict({"t": ["some words of a text " * 9] * 20, "label": ["x"] * 20, "seed": list(range(20))})
+    sent = pa.Table.from_batches(language._examples([batch])).column("x").to_pylist()
+    assert len(sent) == 80 and sum(map(len, sent)) < 80 * 2 * language.WIDTH / 8
+
+
 def test_classifiers_read_half_precision_rows_without_copies():
     rng = np.random.default_rng(1)
     x = np.ones((1200, language.WIDTH + 1), dtype=np.float16)
