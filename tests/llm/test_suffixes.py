@@ -104,3 +104,26 @@ def test_empty_table_and_digest(spark, tmp_path):
     want = {(i, *b[:3], hashlib.sha256(b[3]).hexdigest()) for (i, _), b in zip(rows, brute([t for _, t in rows], 400))}
     got = sx.op11(spark, str(tmp_path))
     assert got.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] and set(map(tuple, got.collect())) == want
+
+
+def test_workers_pass_on_runs_of_texts_not_whole_batches(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(sx, "CHUNK_BYTES", 3000)
+    rng = random.Random(7)
+    rows = ["".join(rng.choice("abcé") for _ in range(500)) for _ in range(40)]
+    once = pa.array([[{"start": 5, "run": 10}] if i % 2 else None for i in range(40)], pa.list_(pa.struct([("start", pa.int64()), ("run", pa.int32())])))
+    out = list(sx._cut(100)([pa.RecordBatch.from_arrays([pa.array(range(40)), pa.array(rows), once], names=["_rest0", "_text", "_once"])]))
+    assert len(out) > 5 and max(b.column("_text").nbytes for b in out) < 6000
+    assert [t for b in out for t in b.column("_text").to_pylist()] == rows
+    assert [n for b in out for n in b.column("n_bytes").to_pylist()] == [len(t.encode()) for t in rows]
+
+    wanted = [[{"anchor": i, "content": -i, "different": 2, "n": 1, "start": j, "run": 3} for j in range(i % 4)] for i in range(40)]
+    kind = pa.list_(pa.struct([(c, pa.int64()) for c in ("anchor", "content", "different", "n", "start")] + [("run", pa.int32())]))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(rows), pa.array(range(40)), pa.array(range(40), pa.int32()), pa.array(wanted, kind)], names=["_text", "own", "spread", "_asked"])
+    out = list(sx._cut_out(100)([batch.slice(1)]))
+    assert 5 < len(out) < 20
+    got = [r for b in out for r in b.to_pylist()]
+    assert [(r["own"], r["spread"], r["anchor"], r["content"], r["start"], r["bytes"]) for r in got] == [
+        (i, i, i, -i, j, rows[i].encode()[j:j + 102]) for i in range(1, 40) for j in range(i % 4)]
