@@ -30,16 +30,20 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeaudit.llm.common import ready, table, text_slices
+from lakeaudit.llm.common import give_back, ready, table, text_slices
 
 MARK = "▁"
-#: Words kept with their ids in a worker; emptied when full.
-CACHE_WORDS = 700_000
+#: Words of a generation kept with their ids in a worker: a full one becomes the older, which only words in use survive.
+CACHE_WORDS = 300_000
 _CACHED_CHARS = 64
-_PAIRS = 2_000_000
+#: Pairs whose answer is kept; emptied when full.
+_PAIRS = 500_000
+#: Bytes of ids decoded at a time.
+RUN_BYTES = 1 << 18
 _WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
@@ -58,22 +62,33 @@ class Coder:
         self.scores, self.ids, self.unknown, self.merges = scores, ids, unknown, merges
         self.longest = max(map(len, scores), default=1)
         self.lowest = min(scores.values(), default=0.0) - 10.0
+        #: what pieces end in, with the score of those that are pieces themselves
+        self.tails: dict[str, float | None] = dict.fromkeys(p[i:] for p in scores for i in range(1, len(p))) | scores
         self.pairs: dict[tuple[str, str], bool] = {}
         self.known: dict[str, bytes] = {}
-
-    def merged(self, text: str) -> list[str]:
-        """Pieces of a short text by merging the best-ranked neighbours, the leftmost first."""
-        parts = list(text)
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                score = self.scores.get(parts[i] + parts[i + 1])
-                if score is not None and (best is None or score > best):
-                    best, at = score, i
-            if best is None:
+        self.older: dict[str, bytes] = {}
+
+    def side_by_side(self, left: str, right: str) -> bool:
+        """Whether merging the best-ranked neighbours of both texts' characters, the leftmost first, ends in these two."""
+        get, none = self.scores.get, -float("inf")
+        parts, edge = [*left, *right], len(left)
+        ranks = [get(a + b, none) for a, b in zip(parts, parts[1:])]
+        while ranks:
+            best = max(ranks)
+            if best == none:
                 break
+            at = ranks.index(best)
+            if at + 1 == edge:  # a merge across the border
+                return False
+            if at < edge:
+                edge -= 1
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        return parts
+            del ranks[at]
+            if at:
+                ranks[at - 1] = get(parts[at - 1] + parts[at], none)
+            if at < len(ranks):
+                ranks[at] = get(parts[at] + parts[at + 1], none)
+        return len(parts) == (2 if left else 1)
 
     def together(self, left: str, right: str) -> bool:
         pair = (left, right)
@@ -81,19 +96,21 @@ class Coder:
         if held is None:
             if len(self.pairs) >= _PAIRS:
                 self.pairs.clear()
-            held = self.pairs[pair] = self.merged(left + right) == ([left, right] if left else [right])
+            held = self.pairs[pair] = self.side_by_side(left, right)
         return held
 
     def _state(self, word: str, end: int, states: list[tuple[float, str]]) -> tuple[float, str]:
         """The best way to write ``word[:end]``, from the states of its prefixes."""
         best: tuple[float, str] | None = None
-        scores, pairs = self.scores, self.pairs
+        tails, pairs = self.tails, self.pairs
         for start in range(end - 1, max(end - self.longest, 0) - 1, -1):
             piece = word[start:end]
-            score = scores.get(piece)
-            if score is None:
+            score = tails.get(piece, 0)
+            if score is None or score == 0 and piece not in tails:
                 if end - start > 1:
-                    continue
+                    if score is None:
+                        continue
+                    break  # no piece ends so, and none that is longer
                 score = self.lowest
             before, last = states[start]
             if self.merges:  # one way at most is the model's own, so the first found is it
@@ -137,11 +154,15 @@ class Coder:
         missing = {w for i in gaps for w, ids in zip(cut[i], found[i]) if ids is None}
         if missing:
             if len(known) + len(missing) > CACHE_WORDS:
-                known.clear()
-            self.learn(list(missing))
+                self.older, self.known = known, {}
+                known = self.known
+            again = {w: self.older[w] for w in missing if w in self.older}
+            known.update(again)
+            new = [w for w in missing if w not in again]
+            self.learn(new)
             for i in gaps:
                 found[i] = [known[w] if ids is None else ids for w, ids in zip(cut[i], found[i])]
-            for w in missing:
+            for w in new:
                 if len(w) > _CACHED_CHARS:
                     del known[w]
         return [b"".join(ids) for ids in found]
@@ -210,6 +231,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", name: str = "ids"
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array([b if k else None for b, k in zip(ids, known)], pa.binary())],
                     names=[f"c{i}" for i in range(len(columns) + 1)])
+            give_back()
 
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     schema = ", ".join([f"c{i} {kinds[c]}" for i, c in enumerate(columns)] + [f"c{len(columns)} binary"])
@@ -217,13 +239,24 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", name: str = "ids"
     return numbered.mapInArrow(run, schema).toDF(*columns, name)
 
 
+def _runs(ids: pa.Array) -> list[tuple[int, int]]:
+    """(start, stop) of runs of rows of ``RUN_BYTES`` of ids."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(ids), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    cuts = np.flatnonzero(np.diff(sizes // RUN_BYTES)) + 1
+    ends = [*cuts.tolist(), len(ids)] if len(ids) else []
+    return list(zip([0, *ends], ends))
+
+
 def decode(rows: DataFrame, path: str, ids_col: str = "ids", name: str = "decoded") -> DataFrame:
     """The rows with the text of the ids as a further column."""
     ready(rows.sparkSession)
 
     @F.arrow_udf("string")
     def run(ids: pa.Array) -> pa.Array:
-        return pa.array([None if b is None else decode_ids(path, np.frombuffer(b, "<u4")) for b in ids.to_pylist()], pa.string())
+        parts = [pa.array([None if b is None else decode_ids(path, np.frombuffer(b, "<u4")) for b in ids[start:stop].to_pylist()],
+                          pa.string()) for start, stop in _runs(ids)]
+        give_back()
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
     return rows.withColumn(name, run(ids_col))
 

@@ -56,3 +56,18 @@ def test_words_are_cut_before_marks():
     assert pieces.words("▁a▁▁b▁") == ["▁a", "▁▁b", "▁"]
     assert pieces.words("▁a▁b") == ["▁a", "▁b"]
     assert pieces.words("") == [] or pieces.words("") == [""]
+
+
+def test_words_kept_in_a_worker_are_bounded(monkeypatch):
+    monkeypatch.setattr(pieces, "CACHE_WORDS", 300)
+    rng = random.Random(6)
+    word = lambda: pieces.MARK + "".join(rng.choice("abcdef") for _ in range(12))
+    coder = pieces.Coder(dict.fromkeys(pieces.MARK + "abcdef", -1.0), {c: i for i, c in enumerate(pieces.MARK + "abcdef")}, lambda p: [99], False)
+    often = [word() for _ in range(50)]
+    for _ in range(40):
+        texts = ["".join(often), "".join(word() for _ in range(100))]
+        for text, ids in zip(texts, coder.encode(texts)):
+            assert np.frombuffer(ids, "<u4").tolist() == [coder.ids[c] for c in text]
+        assert len(coder.known) <= 300 and len(coder.older) <= 300
+    # words that come again and again are kept
+    assert set(often) <= set(coder.known) | set(coder.older)
