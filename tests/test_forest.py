@@ -114,3 +114,32 @@ def test_few_rows_one_class_and_wrong_labels(spark):
         forest.RandomForest(numTrees=4, maxDepth=30, seed=3, **COMMON).fit(frame(spark, [[0.0]], [1]).limit(0))
     with pytest.raises(Exception, match="labels must be 0 or 1"):
         forest.RandomForest(numTrees=4, maxDepth=30, seed=3, **COMMON).fit(frame(spark, [[0.0], [1.0]], [1, 2]))
+
+
+def test_nodes_split_alike_however_they_are_counted():
+    """Small nodes from sorted rows, large ones one by one, others by one histogram."""
+    rng = np.random.default_rng(2)
+    for rows, m in ((400, 60), (3000, 5), (60, 1)):
+        bins, y = rng.integers(0, 32, (rows, 9)).astype(np.uint8), rng.integers(0, 2, rows)
+        bins[:, 3], bins[:, 4] = 7, y
+        w, at = rng.integers(1, 5, rows) * 0.75, np.sort(np.r_[np.arange(m), rng.integers(0, m, rows - m)])
+        slots, cells = forest.chosen(np.arange(m), np.ones(m), 9, 4, 1), forest._cells(bins, y == 1)
+        totals = np.stack([np.bincount(at, w * (y == c), m) for c in (0, 1)], 1)
+        hist = forest._histogram(cells, at, w, slots, counted=True)
+        assert (hist[:, :, :2].sum(3) == totals[:, None]).all()
+        assert (hist[:, :, 2].sum(2) == np.bincount(at)[:, None]).all()
+        assert (hist[:, :, :2] == forest._counted_apart(cells, w, slots, np.cumsum(np.bincount(at)))).all()
+        slot, cut, gain = forest.best_split(hist[:, :, :2])
+        other = forest._sorted_split(cells, at, w, totals, slots)
+        assert (other[2] == gain).all() and (gain > 0).any()
+        assert (np.stack(other[:2])[:, gain > 0] == np.stack([slot, cut])[:, gain > 0]).all()
+
+
+def test_a_row_to_score_moves_once_and_not_once_per_tree(noisy, monkeypatch):
+    """Before, each row went to the subtrees of every tree and the votes of all of them were added up by a shuffle."""
+    fitted = forest.RandomForest(numTrees=6, maxDepth=30, seed=42, node_rows=100, **COMMON).fit(noisy)
+    scored = fitted.transform(noisy)
+    assert "Aggregate" not in scored._jdf.queryExecution().executedPlan().toString()
+    few = scores(fitted, noisy)
+    monkeypatch.setattr(forest, "GROUP_BYTES", 600)
+    assert scores(fitted, noisy) == few and len(few) == 600
