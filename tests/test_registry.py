@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from lakeaudit.operators import forest
 from tests.compare import connect, differences
 from workload import evaluation, registry as own
 
@@ -88,3 +89,19 @@ def test_models_and_sketches_give_whole_results(spark, monkeypatch):
     assert asked == [None, None]  # no settings but the library's
     summary = queries["numeric_summary_approx"](spark, SF)
     assert {"mean", "std", "p01", "median", "p99"} <= set(summary.columns) and summary.count() > 1
+
+
+def test_the_check_of_the_forest_grows_the_forest_of_its_query(spark, monkeypatch):
+    """Before, it fitted 20 of Spark's trees of depth 6 instead of the library's 200 of full depth."""
+    asked, fit = [], evaluation.model.train_all
+
+    def smaller(*args, only, overrides):
+        specs = overrides or evaluation.model.classifiers("points_finish")
+        asked.append((type(specs[only[0]]), overrides))
+        specs[only[0]].trees, specs[only[0]].depth = 3, 2
+        return fit(*args, only=only, overrides={only[0]: specs[only[0]]})
+
+    monkeypatch.setattr(evaluation.model, "train_all", smaller)
+    rows = own.QUERIES["random_forest_check"](spark, SF).collect()
+    assert asked == [(forest.RandomForest, None)]
+    assert {r["split"] for r in rows} == {"validation", "test"} and all(r["scores_hold"] and r["shares_hold"] for r in rows)
